@@ -27,15 +27,14 @@ def with_job_flags(jobs: DataFrame) -> DataFrame:
 
 
 def shipments_conformed(feeds: Feeds) -> DataFrame:
-    out = staging.stg_shipments(feeds)
-    out = lookup(out, feeds.dim_carrier, "carrier_key", {"carrier_name": "carrier_name", "carrier_mode": "carrier_mode"})
-    out = lookup(
-        out,
-        feeds.dim_customer,
-        "customer_key",
-        {"customer_name": "customer_name", "payment_terms_days": "payment_terms_days"},
-    )
-    return with_job_flags(out)
+    """Staged jobs with the flags, carrier name and mode, customer name and terms."""
+    return with_job_flags(
+        staging.with_dimensions(
+            feeds,
+            ("customer_code", "customer_name", "payment_terms_days"),
+            ("carrier_code", "carrier_name", "carrier_mode"),
+        )
+    )
 
 
 def jobs_core(feeds: Feeds) -> DataFrame:

@@ -51,9 +51,18 @@ def typed_shipments(raw: DataFrame) -> DataFrame:
 
 def stg_shipments(feeds: Feeds) -> DataFrame:
     """Typed jobs with the codes behind their five keys."""
+    return with_dimensions(feeds, ("customer_code",), ("carrier_code",))
+
+
+def with_dimensions(feeds: Feeds, customer: tuple[str, ...], carrier: tuple[str, ...]) -> DataFrame:
+    """Typed jobs with the chosen customer and carrier columns, one lookup per dimension.
+
+    Customers and carriers are the two dimensions that grow; asking for all of their
+    columns at once keeps a large one from being shuffled to twice.
+    """
     out = typed_shipments(feeds.shipments)
-    out = lookup(out, feeds.dim_customer, "customer_key", {"customer_code": "customer_code"})
-    out = lookup(out, feeds.dim_carrier, "carrier_key", {"carrier_code": "carrier_code"})
+    out = lookup(out, feeds.dim_customer, "customer_key", {c: c for c in customer})
+    out = lookup(out, feeds.dim_carrier, "carrier_key", {c: c for c in carrier})
     out = lookup(out, feeds.dim_mode, "mode_key", {"mode": "mode", "service_level": "service_level"})
     out = lookup(out, feeds.dim_origin_port, "origin_port_key", {"port_code": "origin_port_code"}, "port_key")
     out = lookup(out, feeds.dim_destination_port, "destination_port_key", {"port_code": "destination_port_code"}, "port_key")

@@ -2,22 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from datetime import date, datetime
 
 
-def days_between(start: Column | str, end: Column | str) -> Column:
-    return F.datediff(end, start)
+def day(value: date) -> str:
+    """A SQL date literal."""
+    return f"date'{value.isoformat()}'"
 
 
-def plus_days(day: Column, n: Column) -> Column:
-    return F.date_add(day, n.cast("int"))
+def instant(value: datetime) -> str:
+    """A SQL literal of a timestamp without zone."""
+    return f"timestamp_ntz'{value.isoformat(sep=' ')}'"
 
 
-def monday_on_or_after(day: Column) -> Column:
-    return F.next_day(F.date_sub(day, 1), "MON")
+def days_between(start: str, end: str) -> str:
+    return f"datediff({end}, {start})"
 
 
-def reporting_lag_days(completed: Column) -> Column:
+def plus_days(start: str, n: str) -> str:
+    return f"date_add({start}, cast({n} as int))"
+
+
+def monday_on_or_after(d: str) -> str:
+    return f"next_day(date_sub({d}, 1), 'MON')"
+
+
+def reporting_lag_days(completed: str) -> str:
     """Completion plus one reconciliation day, surfaced in the next Monday report."""
-    return F.datediff(monday_on_or_after(F.date_add(completed, 1)), completed)
+    return days_between(completed, monday_on_or_after(f"date_add({completed}, 1)"))

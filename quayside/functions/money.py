@@ -1,4 +1,4 @@
-"""Exact money columns.
+"""Exact money.
 
 Amounts are decimal(14,2); sums are decimal(24,2), which is what Spark's own `sum` of
 an amount yields, so group totals of any realistic size stay exact and in range.
@@ -6,37 +6,32 @@ an amount yields, so group totals of any realistic size stay exact and in range.
 
 from __future__ import annotations
 
-from decimal import Decimal
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 AMOUNT = "decimal(14,2)"
 TOTAL = "decimal(24,2)"
 
 
-def amount(c: Column | str) -> Column:
-    return (F.col(c) if isinstance(c, str) else c).cast(AMOUNT)
+def amount(c: str) -> str:
+    return f"cast({c} as {AMOUNT})"
 
 
-def total(c: Column) -> Column:
-    return F.round(c, 2).cast(TOTAL)
+def total(c: str) -> str:
+    return f"cast(round({c}, 2) as {TOTAL})"
 
 
-def scaled(c: Column, factor: str) -> Column:
+def scaled(c: str, factor: str) -> str:
     """Amount times a decimal factor, rounded to cents without passing through doubles."""
-    return (c * F.lit(Decimal(factor))).cast(AMOUNT)
+    return amount(f"({c}) * {factor}BD")
 
 
-def or_zero(c: Column | str) -> Column:
-    return F.coalesce(c, F.lit(Decimal("0.00")))
+def or_zero(c: str) -> str:
+    return f"coalesce({c}, 0.00BD)"
 
 
-def sum_where(condition: Column, c: Column | str) -> Column:
+def sum_where(condition: str, c: str) -> str:
     """Conditional sum that is 0, not NULL, for a group without a matching row."""
-    return F.sum(F.when(condition, F.col(c) if isinstance(c, str) else c).otherwise(F.lit(Decimal("0.00"))))
+    return f"sum(case when {condition} then {c} else 0.00BD end)"
 
 
-def ratio(numerator: Column, denominator: Column) -> Column:
+def ratio(numerator: str, denominator: str) -> str:
     """Double quotient; NULL when the denominator is zero or NULL."""
-    return F.try_divide(numerator.cast("double"), denominator.cast("double"))
+    return f"try_divide(cast({numerator} as double), cast({denominator} as double))"

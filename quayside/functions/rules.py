@@ -3,85 +3,65 @@
 from __future__ import annotations
 
 from datetime import date
-from decimal import Decimal
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from quayside.functions.dates import day, days_between
 
-from quayside.functions.dates import days_between
+SETTLED_TOLERANCE = "0.01BD"
 
-SETTLED_TOLERANCE = Decimal("0.01")
 
-
-def on_time(delivered: Column | str = "actual_delivery_date", committed: Column | str = "committed_delivery_date") -> Column:
+def on_time(delivered: str = "actual_delivery_date", committed: str = "committed_delivery_date") -> str:
     """Delivered by the promised day. NULL while undelivered, so open jobs leave the mean."""
-    delivered, committed = _c(delivered), _c(committed)
-    return F.when(delivered.isNotNull(), delivered <= committed)
-
-
-def transit_variance() -> Column:
-    return F.col("actual_transit_days") - F.col("committed_transit_days")
+    return f"case when {delivered} is not null then {delivered} <= {committed} end"
 
 
-def has_exception() -> Column:
-    return F.col("exception_count") > 0
+TRANSIT_VARIANCE = "actual_transit_days - committed_transit_days"
+HAS_EXCEPTION = "exception_count > 0"
 
 
-def post_closure(charge_day: Column | str, completed: Column | str) -> Column:
+def post_closure(charge_day: str, completed: str) -> str:
     """Strictly after completion; an open (or unknown) job has no post-closure charges."""
-    return F.coalesce(_c(charge_day) > _c(completed), F.lit(False))
+    return f"coalesce({charge_day} > {completed}, false)"
 
 
-def lifecycle(departed: Column, delivered: Column, completed: Column, as_of: date) -> Column:
+def lifecycle(departed: str, delivered: str, completed: str, as_of: date) -> str:
     """How far a job has come by `as_of`, from its full planned timeline."""
-    day = F.lit(as_of)
+    d = day(as_of)
     return (
-        F.when(departed > day, "Booked")
-        .when(delivered > day, "In Transit")
-        .when(completed > day, "Delivered")
-        .otherwise("Closed")
+        f"case when {departed} > {d} then 'Booked' when {delivered} > {d} then 'In Transit'"
+        f" when {completed} > {d} then 'Delivered' else 'Closed' end"
     )
 
 
-def known_by(day: Column, as_of: date) -> Column:
+def known_by(c: str, as_of: date) -> str:
     """The date, or NULL while it still lies in the future."""
-    return F.when(day <= F.lit(as_of), day)
+    return f"case when {c} <= {day(as_of)} then {c} end"
 
 
-def run_status(failed: Column, rejected: Column) -> Column:
-    return F.when(failed, "Failed").when(rejected > 0, "Partial").otherwise("Success")
+def run_status(failed: str, rejected: str) -> str:
+    return f"case when {failed} then 'Failed' when {rejected} > 0 then 'Partial' else 'Success' end"
 
 
-def balance(total_due: Column | str, received: Column | str) -> Column:
-    return F.round(_c(total_due) - _c(received), 2)
+def balance(total_due: str, received: str) -> str:
+    return f"round({total_due} - {received}, 2)"
 
 
-def is_settled(balance_due: Column) -> Column:
-    return balance_due <= F.lit(SETTLED_TOLERANCE)
+def is_settled(balance_due: str) -> str:
+    return f"({balance_due} <= {SETTLED_TOLERANCE})"
 
 
-def outstanding(balance_due: Column) -> Column:
-    return F.greatest(balance_due, F.lit(Decimal("0.00")))
+def outstanding(balance_due: str) -> str:
+    return f"greatest({balance_due}, 0.00BD)"
 
 
-def overdue_days(balance_due: Column, due: Column | str, as_of: date) -> Column:
+def overdue_days(balance_due: str, due: str, as_of: date) -> str:
     """Days past the due date as of the snapshot; 0 when settled, not yet due or undated."""
-    late = F.greatest(days_between(due, F.lit(as_of)), F.lit(0))
-    return F.when(is_settled(balance_due), 0).otherwise(late)
+    return f"case when {is_settled(balance_due)} then 0 else greatest({days_between(due, day(as_of))}, 0) end"
 
 
-def aging_bucket(balance_due: Column, due: Column | str, as_of: date) -> Column:
+def aging_bucket(balance_due: str, due: str, as_of: date) -> str:
     """Shelf of an invoice. The order of the arms matters: an undated open invoice falls to the last."""
-    late = days_between(due, F.lit(as_of))
+    late = days_between(due, day(as_of))
     return (
-        F.when(is_settled(balance_due), "Settled")
-        .when(late <= 0, "Current")
-        .when(late <= 30, "0-30")
-        .when(late <= 60, "31-60")
-        .when(late <= 90, "61-90")
-        .otherwise("90+")
+        f"case when {is_settled(balance_due)} then 'Settled' when {late} <= 0 then 'Current' when {late} <= 30 then '0-30'"
+        f" when {late} <= 60 then '31-60' when {late} <= 90 then '61-90' else '90+' end"
     )
-
-
-def _c(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # Accepted spellings of each voucher type, compared in lower case.
 VOUCHER_SPELLINGS = {
     "Original": ("original",),
@@ -13,32 +10,36 @@ VOUCHER_SPELLINGS = {
 }
 
 
-def code(c: Column | str) -> Column:
+def literal(value: str) -> str:
+    """A SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def code(c: str) -> str:
     """A natural key: surrounding spaces removed, upper case."""
-    return F.upper(F.trim(c))
+    return f"upper(trim({c}))"
 
 
-def voucher_type(c: Column | str) -> Column:
+def voucher_type(c: str) -> str:
     """One spelling per voucher type; unknown types pass through trimmed."""
-    typed = F.trim(c)
-    out = None
-    for name, spellings in VOUCHER_SPELLINGS.items():
-        hit = F.lower(typed).isin(*spellings)
-        out = F.when(hit, name) if out is None else out.when(hit, name)
-    return out.otherwise(typed)
+    arms = " ".join(
+        f"when lower(trim({c})) in ({', '.join(map(literal, spellings))}) then {literal(name)}"
+        for name, spellings in VOUCHER_SPELLINGS.items()
+    )
+    return f"case {arms} else trim({c}) end"
 
 
-def credited_invoice(narration: Column | str) -> Column:
+def credited_invoice(narration: str) -> str:
     """Invoice number named at the end of a credit-note narration; '' when none is named.
 
     `(?d)` and `\\z` keep a trailing line break from being skipped, so the target is the
     rest of the text or nothing.
     """
-    return F.regexp_extract(narration, r"(?d)against (.+)\z", 1)
+    return f"regexp_extract({narration}, r'(?d)against (.+)\\z', 1)"
 
 
-def lane_label(origin_name: Column | str, destination_name: Column | str) -> Column:
+def lane_label(origin_name: str, destination_name: str) -> str:
     """Short `origin → destination` label from two full port names."""
-    origin = F.substring_index(F.substring_index(origin_name, " — ", 1), " (", 1)
-    dest = F.substring_index(F.substring_index(destination_name, " Port", 1), " International", 1)
-    return F.concat(origin, F.lit(" → "), F.replace(dest, F.lit("Port of "), F.lit("")))
+    origin = f"substring_index(substring_index({origin_name}, ' — ', 1), ' (', 1)"
+    dest = f"substring_index(substring_index({destination_name}, ' Port', 1), ' International', 1)"
+    return f"concat({origin}, ' → ', replace({dest}, 'Port of ', ''))"

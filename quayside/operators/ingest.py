@@ -5,9 +5,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quayside.functions.dates import day, instant
+from quayside.functions.text import literal
 from quayside.params import Outage, Params
 
 
@@ -48,32 +50,30 @@ class Split:
 
 def judged_receipts(raw: DataFrame) -> DataFrame:
     """Untyped receipts with typed columns and the reason a row cannot be used, NULL when it can."""
-    amount = F.col("amount_text").try_cast("decimal(14,2)")
-    day = F.col("date_text").try_cast("date")
-    reason = (
-        F.when(F.col("amount_text").isNull(), "missing amount")
-        .when(amount.isNull(), "unreadable amount")
-        .when(F.col("date_text").isNull(), "missing date")
-        .when(day.isNull(), "unreadable date")
+    return raw.selectExpr(
+        "*", "try_cast(amount_text as decimal(14,2)) as amount_inr", "try_cast(date_text as date) as payment_date"
+    ).selectExpr(
+        "*",
+        """case when amount_text is null then 'missing amount' when amount_inr is null then 'unreadable amount'
+                when date_text is null then 'missing date' when payment_date is null then 'unreadable date'
+           end as reject_reason""",
     )
-    return raw.withColumns({"amount_inr": amount, "payment_date": day, "reject_reason": reason})
 
 
 def quarantine_split(raw: DataFrame) -> Split:
     judged = judged_receipts(raw)
     return Split(
-        judged.where(F.col("reject_reason").isNull()).drop("reject_reason", "amount_text", "date_text"),
-        judged.where(F.col("reject_reason").isNotNull()).select(*raw.columns, "reject_reason"),
+        judged.where("reject_reason is null").drop("reject_reason", "amount_text", "date_text"),
+        judged.where("reject_reason is not null").select(*raw.columns, "reject_reason"),
     )
 
 
 def quarantine_counts(raw: DataFrame) -> DataFrame:
     """Per batch: rows accepted, rows rejected and the accepted amount."""
-    rejected = F.col("reject_reason").isNotNull()
     return judged_receipts(raw).groupBy("batch_id").agg(
-        F.count_if(~rejected).alias("records_processed"),
-        F.count_if(rejected).alias("records_rejected"),
-        F.sum(F.when(~rejected, F.col("amount_inr"))).cast("decimal(24,2)").alias("amount_inr"),
+        F.expr("count_if(reject_reason is null) as records_processed"),
+        F.expr("count_if(reject_reason is not null) as records_rejected"),
+        F.expr("cast(sum(if(reject_reason is null, amount_inr, null)) as decimal(24,2)) as amount_inr"),
     )
 
 
@@ -99,19 +99,15 @@ def outage_tagging(runs: DataFrame, outages: tuple[Outage, ...]) -> DataFrame:
     """
     merged = _merged(outages)
     if not merged:
-        return runs.withColumns({"in_outage": F.lit(False), "outage_message": F.lit(None).cast("string")})
-    rows = ", ".join(
-        f"('{o.source}', timestamp_ntz'{o.start}', timestamp_ntz'{o.end}', '{o.message}')" for o in merged
-    )
-    windows = runs.sparkSession.sql(f"SELECT * FROM VALUES {rows} AS t(outage_source, outage_start, outage_end, outage_message)")
-    inside = (
-        (F.col("source_system") == F.col("outage_source"))
-        & (F.col("run_timestamp") >= F.col("outage_start"))
-        & (F.col("run_timestamp") < F.col("outage_end"))
+        return runs.selectExpr("*", "cast(null as string) as outage_message", "false as in_outage")
+    rows = ", ".join(f"({literal(o.source)}, {instant(o.start)}, {instant(o.end)}, {literal(o.message)})" for o in merged)
+    windows = runs.sparkSession.sql(
+        f"SELECT * FROM VALUES {rows} AS t(outage_source, outage_start, outage_end, outage_message)"
     )
+    inside = "source_system = outage_source and run_timestamp >= outage_start and run_timestamp < outage_end"
     return (
-        runs.join(windows, inside, "left")
-        .withColumn("in_outage", F.col("outage_source").isNotNull())
+        runs.join(windows, F.expr(inside), "left")
+        .withColumn("in_outage", F.expr("outage_source is not null"))
         .drop("outage_source", "outage_start", "outage_end")
     )
 
@@ -128,46 +124,45 @@ def _merged(outages: tuple[Outage, ...]) -> list[Outage]:
 
 def source_freshness(runs: DataFrame, now: datetime, warn_hours: int, error_hours: int) -> DataFrame:
     """Age of the newest run of each source at `now`, and its verdict."""
-    age = F.timestamp_diff("SECOND", F.col("newest_run"), F.lit(now).cast("timestamp_ntz"))
-    status = F.when(age > error_hours * 3600, "error").when(age > warn_hours * 3600, "warn").otherwise("pass")
     return (
         runs.groupBy("source_system")
-        .agg(F.max("run_timestamp").alias("newest_run"))
-        .withColumns({"age_seconds": age, "status": status})
+        .agg(F.expr("max(run_timestamp) as newest_run"))
+        .selectExpr("*", f"timestampdiff(SECOND, newest_run, {instant(now)}) as age_seconds")
+        .selectExpr(
+            "*",
+            f"""case when age_seconds > {error_hours * 3600} then 'error' when age_seconds > {warn_hours * 3600} then 'warn'
+                     else 'pass' end as status""",
+        )
     )
 
 
 # ---------------------------------------------------------------- reporting --
 def overdue_in_transit(jobs: DataFrame, params: Params) -> DataFrame:
     """Undelivered jobs past their promised day, counted per status."""
-    late = F.col("actual_delivery_date").isNull() & (F.col("committed_delivery_date") < F.lit(params.as_of))
-    days = F.datediff(F.lit(params.as_of), F.col("committed_delivery_date"))
-    return jobs.where(late).groupBy("shipment_status").agg(F.count("*").alias("overdue_jobs"), F.max(days).alias("worst_days"))
+    as_of = day(params.as_of)
+    return (
+        jobs.where(f"actual_delivery_date is null and committed_delivery_date < {as_of}")
+        .groupBy("shipment_status")
+        .agg(F.expr("count(*) as overdue_jobs"), F.expr(f"max(datediff({as_of}, committed_delivery_date)) as worst_days"))
+    )
 
 
 def ar_summary(settlement: DataFrame) -> DataFrame:
     """Open and settled receivables per customer and ageing shelf."""
     return settlement.groupBy("customer_key", "aging_bucket").agg(
-        F.count("*").alias("invoices"),
-        F.sum("invoice_total_inr").cast("decimal(24,2)").alias("invoice_total_inr"),
-        F.sum("outstanding_inr").cast("decimal(24,2)").alias("outstanding_inr"),
+        F.expr("count(*) as invoices"),
+        *[F.expr(f"cast(sum({c}) as decimal(24,2)) as {c}") for c in ("invoice_total_inr", "outstanding_inr")],
     )
 
 
-def dim_date(jobs: DataFrame, day: str = "booking_date") -> DataFrame:
+def dim_date(jobs: DataFrame, column: str = "booking_date") -> DataFrame:
     """One row per calendar day between the first and last date seen."""
-    d: Column = F.col("date_day")
     return (
-        jobs.agg(F.min(day).alias("lo"), F.max(day).alias("hi"))
-        .select(F.explode(F.sequence("lo", "hi")).alias("date_day"))
-        .select(
-            d,
-            F.year(d).alias("year"),
-            F.quarter(d).alias("quarter"),
-            F.month(d).alias("month"),
-            F.dayofmonth(d).alias("day_of_month"),
-            (F.weekday(d) + 1).alias("iso_weekday"),
-            F.weekofyear(d).alias("iso_week"),
-            (F.weekday(d) >= 5).alias("is_weekend"),
+        jobs.agg(F.expr(f"min({column}) as lo"), F.expr(f"max({column}) as hi"))
+        .selectExpr("explode(sequence(lo, hi)) as date_day")
+        .selectExpr(
+            "date_day", "year(date_day) as year", "quarter(date_day) as quarter", "month(date_day) as month",
+            "dayofmonth(date_day) as day_of_month", "weekday(date_day) + 1 as iso_weekday", "weekofyear(date_day) as iso_week",
+            "weekday(date_day) >= 5 as is_weekend",
         )
     )

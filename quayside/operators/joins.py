@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -12,18 +12,18 @@ def lookup(left: DataFrame, dim: DataFrame, key: str, columns: dict[str, str], d
     No hint is given: Catalyst broadcasts the dimension while its size statistics allow it,
     and adaptive execution re-decides at run time (or splits a hot key) beyond that.
     """
-    right = dim.select(F.col(dim_key or key).alias("__key"), *[F.col(c).alias(n) for c, n in columns.items()])
-    return left.join(right, left[key] == right["__key"], "left").drop("__key")
+    right = dim.selectExpr(f"{dim_key or key} as {key}", *[f"{c} as {n}" for c, n in columns.items()])
+    return left.join(right, key, "left")
 
 
-def reference(key: Column, row_id: Column) -> Column:
+def reference(key: str, row_id: str) -> str:
     """Join key for a typed job reference.
 
     A missing reference can match nothing, yet an outer join would send every such row to
     one task. Each gets its own placeholder instead; job numbers are upper case, so a
     placeholder starting in lower case never equals one.
     """
-    return F.coalesce(key, F.concat(F.lit("none:"), row_id.cast("string")))
+    return f"coalesce({key}, concat('none:', cast({row_id} as string)))"
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
@@ -39,6 +39,5 @@ def orphan_keys(child: DataFrame, parent: DataFrame, key: str, parent_key: str |
     Rows are counted per key before the shuffle, so a key held by a third of the rows
     travels as one count per task.
     """
-    counted = child.groupBy(F.col(key).alias("key")).agg(F.count("*").alias("row_count"))
-    parents = parent.select(F.col(parent_key or key).alias("key"))
-    return counted.join(parents, "key", "left_anti")
+    counted = child.groupBy(key).agg(F.expr("count(*) as row_count"))
+    return counted.join(parent.selectExpr(f"{parent_key or key} as {key}"), key, "left_anti")

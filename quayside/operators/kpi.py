@@ -6,13 +6,16 @@ selects it, and Catalyst prunes the other aggregates with their columns and join
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.functions import expr
 
-from quayside.functions.dates import reporting_lag_days
+from quayside.functions.dates import day, reporting_lag_days
 from quayside.functions.money import ratio
+from quayside.functions.text import literal
 from quayside.operators.joins import broadcast_if_small, lookup, orphan_keys
 from quayside.params import Params
 
@@ -20,17 +23,13 @@ from quayside.params import Params
 # ---------------------------------------------------------------- cohorts --
 def members(dim: DataFrame, key: str, code_column: str, codes: tuple[str, ...]) -> DataFrame:
     """Keys of the listed codes; broadcast once counted to be few."""
-    return broadcast_if_small(dim.where(F.col(code_column).isin(*codes)).select(key).distinct())
+    return broadcast_if_small(dim.where(F.col(code_column).isin(*codes)).select(key)).distinct()
 
 
 def with_membership(df: DataFrame, group: DataFrame, key: str, flag: str) -> DataFrame:
     """Whether the row's key is in the group; NULL for a row without a key."""
-    marked = group.withColumn("__hit", F.lit(True))
-    return (
-        df.join(marked, key, "left")
-        .withColumn(flag, F.when(F.col(key).isNotNull(), F.coalesce("__hit", F.lit(False))))
-        .drop("__hit")
-    )
+    marked = group.withColumn("member", F.lit(True))
+    return df.join(marked, key, "left").withColumn(flag, expr(f"if({key} is not null, member is not null, null)")).drop("member")
 
 
 def with_focus_customers(df: DataFrame, dim_customer: DataFrame, params: Params) -> DataFrame:
@@ -43,31 +42,42 @@ def booked_financials(financials: DataFrame, shipments: DataFrame) -> DataFrame:
     return financials.join(shipments.select("shipment_key", "booking_date"), "shipment_key")
 
 
-def _share(condition: Column) -> Column:
-    return F.when(condition, 1.0).otherwise(0.0)
+def _share(condition: str) -> str:
+    return f"case when {condition} then 1.0D else 0.0D end"
 
 
 # ---------------------------------------------------------------- metrics --
-def shipment_metrics(shipments: DataFrame, dim_mode: DataFrame, dim_carrier: DataFrame, dim_customer: DataFrame, params: Params) -> DataFrame:
-    """One row: volume, mix, on-time rates, focus volume share and reporting lag."""
-    jobs = lookup(shipments, dim_mode, "mode_key", {"mode": "mode"})
-    carrier = members(dim_carrier, "carrier_key", "carrier_code", (params.focus_carrier,))
-    jobs = with_membership(jobs, carrier, "carrier_key", "is_focus_carrier")
-    jobs = with_focus_customers(jobs, dim_customer, params)
-    go_live = F.lit(params.go_live)
-    before, after = F.col("booking_date") < go_live, F.col("booking_date") >= go_live
-    delivered = F.col("actual_delivery_date").isNotNull()
-    on_time = F.col("is_on_time").cast("int")
-    lag = F.when(F.col("job_completion_date") < go_live, reporting_lag_days(F.col("job_completion_date")))
-    return jobs.agg(
-        F.count("*").alias("total_jobs"),
-        F.avg(_share(F.col("mode") == "Ocean")).alias("ocean_share"),
-        F.avg(F.when(before & delivered, on_time)).alias("otd_before"),
-        F.avg(F.when(after & delivered, on_time)).alias("otd_after"),
-        F.avg(F.when(F.col("is_focus_carrier") & delivered, on_time)).alias("otd_focus_carrier"),
-        F.avg(F.when(before, _share(F.col("is_problem")))).alias("volume_share"),
-        (F.avg(lag) + F.lit(params.skip_rate) * 7).alias("reporting_lag"),
-    )
+def shipment_metrics(shipments: DataFrame, dims: Mapping[str, DataFrame], params: Params, names: tuple[str, ...] | None = None) -> DataFrame:
+    """One row of the wanted metrics: volume, mix, on-time rates, focus volume share, reporting lag.
+
+    Only the lookups that the wanted metrics read are joined.
+    """
+    go_live = day(params.go_live)
+    before, after = f"booking_date < {go_live}", f"booking_date >= {go_live}"
+
+    def on_time_rate(cohort: str) -> str:
+        return f"avg(case when {cohort} and actual_delivery_date is not null then cast(is_on_time as int) end)"
+
+    lag = reporting_lag_days("job_completion_date")
+    metrics = {
+        "total_jobs": "count(*)",
+        "ocean_share": f"avg({_share("mode = 'Ocean'")})",
+        "otd_before": on_time_rate(before),
+        "otd_after": on_time_rate(after),
+        "otd_focus_carrier": on_time_rate("is_focus_carrier"),
+        "volume_share": f"avg(case when {before} then {_share('is_problem')} end)",
+        "reporting_lag": f"avg(case when job_completion_date < {go_live} then {lag} end) + {params.skip_rate}D * 7",
+    }
+    wanted = names or tuple(metrics)
+    jobs = shipments
+    if "ocean_share" in wanted:
+        jobs = lookup(jobs, dims["dim_mode"], "mode_key", {"mode": "mode"})
+    if "otd_focus_carrier" in wanted:
+        carrier = members(dims["dim_carrier"], "carrier_key", "carrier_code", (params.focus_carrier,))
+        jobs = with_membership(jobs, carrier, "carrier_key", "is_focus_carrier")
+    if "volume_share" in wanted:
+        jobs = with_focus_customers(jobs, dims["dim_customer"], params)
+    return jobs.agg(*[expr(f"{metrics[n]} as {n}") for n in wanted])
 
 
 def otd_by_carrier(shipments: DataFrame, dim_carrier: DataFrame, params: Params) -> DataFrame:
@@ -77,43 +87,43 @@ def otd_by_carrier(shipments: DataFrame, dim_carrier: DataFrame, params: Params)
     A carrier without a code drops out, as does the focus carrier.
     """
     per_key = (
-        shipments.where(F.col("actual_delivery_date").isNotNull())
+        shipments.where("actual_delivery_date is not null")
         .groupBy("carrier_key")
-        .agg(F.count("is_on_time").alias("n"), F.sum(F.col("is_on_time").cast("long")).alias("hits"))
+        .agg(expr("count(is_on_time) as n"), expr("count_if(is_on_time) as hits"))
     )
-    coded = lookup(per_key, dim_carrier, "carrier_key", {"carrier_code": "carrier_code"})
     return (
-        coded.where(F.col("carrier_code") != params.focus_carrier)
+        lookup(per_key, dim_carrier, "carrier_key", {"carrier_code": "carrier_code"})
+        .where(f"carrier_code != {literal(params.focus_carrier)}")
         .groupBy("carrier_code")
-        .agg(F.sum("n").alias("delivered_jobs"), ratio(F.sum("hits"), F.sum("n")).alias("otd_rate"))
+        .agg(expr("sum(n) as delivered_jobs"), expr(f"{ratio('sum(hits)', 'sum(n)')} as otd_rate"))
     )
 
 
 def margin_metrics(booked: DataFrame, dim_customer: DataFrame, params: Params) -> DataFrame:
     """One row: focus margin share, margin-rate uplift and surcharge capture, over billed jobs."""
-    jobs = with_focus_customers(booked.where("is_fully_billed"), dim_customer, params)
-    margin, revenue = F.col("gross_margin_inr"), F.col("revenue_billed_inr")
-    before = F.col("booking_date") < F.lit(params.go_live)
-    last_quarter = F.col("booking_date") >= F.lit(params.last_quarter_start)
-    focus = F.col("is_problem")
-    costed = before & (F.col("surcharge_cost_inr") > 0)
-
-    def total(condition: Column, c: str | Column) -> Column:
-        return F.sum(F.when(condition, F.col(c) if isinstance(c, str) else c))
-
-    focus_margin = F.when(focus, margin).otherwise(F.lit(0).cast("decimal(24,2)"))
-    return jobs.agg(
-        ratio(total(before, focus_margin), total(before, margin)).alias("margin_share"),
-        (ratio(total(last_quarter, margin), total(last_quarter, revenue)) - ratio(total(before, margin), total(before, revenue))).alias(
-            "margin_uplift"
-        ),
-        ratio(total(costed & focus, "surcharge_billed_inr"), total(costed & focus, "surcharge_cost_inr")).alias("capture_focus"),
-        ratio(total(costed & ~focus, "surcharge_billed_inr"), total(costed & ~focus, "surcharge_cost_inr")).alias("capture_others"),
+    before, quarter = f"booking_date < {day(params.go_live)}", f"booking_date >= {day(params.last_quarter_start)}"
+    costed = f"{before} and surcharge_cost_inr > 0"
+
+    def total(c: str, condition: str) -> str:
+        return f"sum(case when {condition} then {c} end)"
+
+    def rate(cohort: str) -> str:
+        return ratio(total("gross_margin_inr", cohort), total("revenue_billed_inr", cohort))
+
+    def capture(cohort: str) -> str:
+        return ratio(total("surcharge_billed_inr", cohort), total("surcharge_cost_inr", cohort))
+
+    focus_margin = "(case when is_problem then gross_margin_inr else 0.00BD end)"
+    return with_focus_customers(booked.where("is_fully_billed"), dim_customer, params).agg(
+        expr(f"{ratio(total(focus_margin, before), total('gross_margin_inr', before))} as margin_share"),
+        expr(f"{rate(quarter)} - {rate(before)} as margin_uplift"),
+        expr(f"{capture(f'{costed} and is_problem')} as capture_focus"),
+        expr(f"{capture(f'{costed} and not is_problem')} as capture_others"),
     )
 
 
 def billing_lag(financials: DataFrame) -> DataFrame:
-    return financials.agg(F.avg("billing_lag_days").alias("billing_lag"))
+    return financials.agg(expr("avg(billing_lag_days) as billing_lag"))
 
 
 def orphan_counts(charges: DataFrame, exceptions: DataFrame, payments: DataFrame, shipments: DataFrame, settlement: DataFrame) -> DataFrame:
@@ -121,49 +131,51 @@ def orphan_counts(charges: DataFrame, exceptions: DataFrame, payments: DataFrame
 
     The two children of the job table share one pass over it.
     """
-    by_job = reduce(
-        DataFrame.unionByName,
-        [
-            df.groupBy("shipment_key").agg(F.count("*").alias("row_count")).withColumn("child", F.lit(name))
-            for name, df in (("charges", charges), ("exceptions", exceptions))
-        ],
+    charge_keys, exception_keys = (
+        df.groupBy("shipment_key").agg(expr("count(*) as row_count")).withColumn("child", F.lit(name))
+        for name, df in (("charges", charges), ("exceptions", exceptions))
+    )
+    lost_jobs = charge_keys.unionByName(exception_keys).join(shipments.select("shipment_key"), "shipment_key", "left_anti")
+    lost_receipts = orphan_keys(payments, settlement, "invoice_number").withColumn("child", F.lit("payments"))
+    found = (
+        lost_jobs.select("child", "row_count")
+        .unionByName(lost_receipts.select("child", "row_count"))
+        .groupBy("child")
+        .agg(expr("sum(row_count) as orphan_rows"))
     )
-    lost_jobs = by_job.join(shipments.select("shipment_key"), "shipment_key", "left_anti").select("child", "row_count")
-    lost_receipts = orphan_keys(payments, settlement, "invoice_number").select(F.lit("payments").alias("child"), "row_count")
-    found = lost_jobs.unionByName(lost_receipts).groupBy("child").agg(F.sum("row_count").alias("orphan_rows"))
     names = charges.sparkSession.sql("SELECT * FROM VALUES ('charges'), ('exceptions'), ('payments') AS t(child)")
-    return names.join(found, "child", "left").withColumn("orphan_rows", F.coalesce("orphan_rows", F.lit(0).cast("long")))
+    return names.join(found, "child", "left").selectExpr("child", "coalesce(orphan_rows, 0L) as orphan_rows")
 
 
 def unmatched_rate(invoice_lines: DataFrame) -> DataFrame:
-    return invoice_lines.agg(F.avg(_share(F.col("shipment_key").isNull())).alias("unmatched_rate"))
+    return invoice_lines.agg(expr(f"avg({_share('shipment_key is null')}) as unmatched_rate"))
 
 
 # ------------------------------------------------------------- assertions --
-def _long(row: DataFrame, names: list[str]) -> DataFrame:
+def _long(row: DataFrame) -> DataFrame:
     """One-row metrics as (metric, subject, actual) rows."""
-    pairs = ", ".join(f"'{n}', cast({n} as double)" for n in names)
-    return row.selectExpr(f"stack({len(names)}, {pairs}) as (metric, actual)").withColumn("subject", F.lit(""))
+    pairs = ", ".join(f"'{n}', cast({n} as double)" for n in row.columns)
+    return row.selectExpr(f"stack({len(row.columns)}, {pairs}) as (metric, actual)").withColumn("subject", F.lit(""))
 
 
-def outcome_metrics(facts: dict[str, DataFrame], booked: DataFrame, dims: dict[str, DataFrame], params: Params) -> DataFrame:
+def outcome_metrics(facts: Mapping[str, DataFrame], booked: DataFrame, dims: Mapping[str, DataFrame], params: Params) -> DataFrame:
     """All assertion metrics as rows (metric, subject, actual)."""
     shipments = facts["fact_shipments"]
-    jobs = shipment_metrics(shipments, dims["dim_mode"], dims["dim_carrier"], dims["dim_customer"], params)
-    carriers = otd_by_carrier(shipments, dims["dim_carrier"], params).select(
-        F.lit("otd_carrier").alias("metric"), F.col("otd_rate").alias("actual"), F.col("carrier_code").alias("subject")
+    jobs = shipment_metrics(shipments, dims, params)
+    carriers = otd_by_carrier(shipments, dims["dim_carrier"], params).selectExpr(
+        "'otd_carrier' as metric", "otd_rate as actual", "carrier_code as subject"
     )
     margins = margin_metrics(booked, dims["dim_customer"], params)
     orphans = orphan_counts(
         facts["fact_charges"], facts["fact_exceptions"], facts["fact_payments"], shipments, facts["fact_invoice_settlement"]
-    ).agg(F.sum("orphan_rows").alias("orphan_keys"))
+    ).agg(expr("sum(orphan_rows) as orphan_keys"))
     parts = [
-        _long(jobs, ["total_jobs", "ocean_share", "otd_before", "otd_after", "otd_focus_carrier", "volume_share", "reporting_lag"]),
+        _long(jobs),
         carriers,
-        _long(margins, ["margin_share", "margin_uplift", "capture_focus", "capture_others"]),
-        _long(billing_lag(booked), ["billing_lag"]),
-        _long(orphans, ["orphan_keys"]),
-        _long(unmatched_rate(facts["fact_invoice_lines"]), ["unmatched_rate"]),
+        _long(margins),
+        _long(billing_lag(booked)),
+        _long(orphans),
+        _long(unmatched_rate(facts["fact_invoice_lines"])),
     ]
     return reduce(DataFrame.unionByName, parts)
 
@@ -182,23 +194,21 @@ def bands_table(spark: SparkSession, params: Params) -> DataFrame:
 
 def outcome_report(metrics: DataFrame, params: Params) -> DataFrame:
     """Every assertion with its verdict: pass, fail, or no_data where the metric is NULL."""
-    a, low, high = F.col("actual"), F.col("low"), F.col("high")
-    outside = (a < low) | F.when(F.col("open_top"), a >= high).otherwise(a > high)
-    off = F.when(F.col("centre").isNotNull(), a - F.col("centre")).when(a < low, a - low).otherwise(a - high)
-    digits = F.col("digits")
+    off = "case when centre is not null then actual - centre when actual < low then actual - low else actual - high end"
 
-    def rounded(c: Column) -> Column:
-        return F.when(digits == 0, F.round(c, 0)).when(digits == 2, F.round(c, 2)).otherwise(F.round(c, 4))
+    def rounded(c: str) -> str:
+        return f"case digits when 0 then round({c}, 0) when 2 then round({c}, 2) else round({c}, 4) end"
 
-    return metrics.join(bands_table(metrics.sparkSession, params), "metric").select(
-        F.concat("name", "subject").alias("assertion_name"),
+    return metrics.join(bands_table(metrics.sparkSession, params), "metric").selectExpr(
+        "concat(name, subject) as assertion_name",
         "target",
-        rounded(a).alias("actual"),
-        rounded(off).alias("difference"),
-        F.when(a.isNull(), "no_data").when(outside, "fail").otherwise("pass").alias("verdict"),
+        f"{rounded('actual')} as actual",
+        f"{rounded(off)} as difference",
+        """case when actual is null then 'no_data'
+                when actual < low or actual > high or (open_top and actual = high) then 'fail' else 'pass' end as verdict""",
     )
 
 
 def outcome_failures(metrics: DataFrame, params: Params) -> DataFrame:
     """Only the violated assertions; empty means every outcome holds."""
-    return outcome_report(metrics, params).where(F.col("verdict") == "fail").drop("verdict")
+    return outcome_report(metrics, params).where("verdict = 'fail'").drop("verdict")

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from quayside.functions.text import code
 from quayside.operators import rules, staging
+from quayside.operators.staging import casts, trims
 from quayside.params import Params
 from quayside.sources.frames import Feeds
 
@@ -65,18 +65,13 @@ def fact_shipment_financials(feeds: Feeds) -> DataFrame:
 
 def fact_exceptions(feeds: Feeds) -> DataFrame:
     """Exception events carry no derivation: cast and trim straight from the feed."""
-    typed = feeds.exceptions
-    for name in ("exception_key", "shipment_key", "exception_type_key", "carrier_key", "customer_key", "branch_key"):
-        typed = typed.withColumn(name, F.col(name).cast("long"))
     return _publish(
-        typed.withColumns(
-            {
-                "job_number": code("job_number"),
-                "raised_date": F.col("raised_date").cast("date"),
-                "resolved_date": F.col("resolved_date").cast("date"),
-                "delay_days_attributed": F.col("delay_days_attributed").cast("int"),
-                "exception_status": F.trim("exception_status"),
-            }
+        feeds.exceptions.selectExpr(
+            *casts("bigint", "exception_key shipment_key exception_type_key carrier_key customer_key branch_key"),
+            f"{code('job_number')} as job_number",
+            *casts("date", "raised_date resolved_date"),
+            *casts("int", "delay_days_attributed"),
+            *trims("exception_status"),
         ),
         "fact_exceptions",
     )
@@ -84,39 +79,30 @@ def fact_exceptions(feeds: Feeds) -> DataFrame:
 
 def fact_pipeline_runs(feeds: Feeds) -> DataFrame:
     """The run log, cast and trimmed. Row counts are 64-bit: an hour can land more than 2^31 rows."""
-    casts = {
-        "run_key": "long",
-        "run_timestamp": "timestamp_ntz",
-        "run_date": "date",
-        "records_processed": "long",
-        "records_rejected": "long",
-        "execution_seconds": "decimal(10,1)",
-    }
-    trimmed = ("source_system", "pipeline_stage", "batch_id", "run_status")
     return _publish(
-        feeds.pipeline_runs.withColumns(
-            {**{c: F.col(c).cast(t) for c, t in casts.items()}, **{c: F.trim(c) for c in trimmed}}
+        feeds.pipeline_runs.selectExpr(
+            *casts("bigint", "run_key records_processed records_rejected"),
+            *casts("timestamp_ntz", "run_timestamp"),
+            *casts("date", "run_date"),
+            *casts("decimal(10,1)", "execution_seconds"),
+            *trims("source_system pipeline_stage batch_id run_status"),
+            "error_message",
         ),
         "fact_pipeline_runs",
     )
 
 
-def facts(feeds: Feeds, params: Params) -> dict[str, DataFrame]:
-    return {
-        "fact_shipments": fact_shipments(feeds),
-        "fact_charges": fact_charges(feeds),
-        "fact_invoice_lines": fact_invoice_lines(feeds),
-        "fact_payments": fact_payments(feeds),
-        "fact_invoice_settlement": fact_invoice_settlement(feeds, params),
-        "fact_shipment_financials": fact_shipment_financials(feeds),
-        "fact_exceptions": fact_exceptions(feeds),
-        "fact_pipeline_runs": fact_pipeline_runs(feeds),
-    }
-
-
-def dimensions(feeds: Feeds) -> dict[str, DataFrame]:
-    names = (
-        "dim_branch", "dim_carrier", "dim_charge_type", "dim_customer", "dim_destination_port", "dim_exception_type",
-        "dim_mode", "dim_origin_port",
-    )
-    return {name: getattr(feeds, name) for name in names}
+FACTS = {
+    "fact_shipments": lambda feeds, params: fact_shipments(feeds),
+    "fact_charges": lambda feeds, params: fact_charges(feeds),
+    "fact_invoice_lines": lambda feeds, params: fact_invoice_lines(feeds),
+    "fact_payments": lambda feeds, params: fact_payments(feeds),
+    "fact_invoice_settlement": fact_invoice_settlement,
+    "fact_shipment_financials": lambda feeds, params: fact_shipment_financials(feeds),
+    "fact_exceptions": lambda feeds, params: fact_exceptions(feeds),
+    "fact_pipeline_runs": lambda feeds, params: fact_pipeline_runs(feeds),
+}
+DIMENSIONS = (
+    "dim_branch", "dim_carrier", "dim_charge_type", "dim_customer", "dim_destination_port", "dim_exception_type",
+    "dim_mode", "dim_origin_port",
+)

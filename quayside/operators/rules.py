@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql.functions import expr
 
 from quayside.functions import money
 from quayside.functions import rules as R
@@ -12,17 +12,16 @@ from quayside.functions.text import credited_invoice, lane_label
 from quayside.operators import staging
 from quayside.operators.joins import lookup, reference
 from quayside.params import Params
-from quayside.sources.frames import Feeds
+from quayside.sources.frames import Feeds, shared
 
 
 # ------------------------------------------------------------------- jobs --
 def with_job_flags(jobs: DataFrame) -> DataFrame:
-    return jobs.withColumns(
-        {
-            "is_on_time": R.on_time(),
-            "transit_variance_days": R.transit_variance(),
-            "has_exception": R.has_exception(),
-        }
+    return jobs.selectExpr(
+        "*",
+        f"{R.on_time()} as is_on_time",
+        f"{R.TRANSIT_VARIANCE} as transit_variance_days",
+        f"{R.HAS_EXCEPTION} as has_exception",
     )
 
 
@@ -37,6 +36,7 @@ def shipments_conformed(feeds: Feeds) -> DataFrame:
     )
 
 
+@shared
 def jobs_core(feeds: Feeds) -> DataFrame:
     """Conformed jobs without the dimension lookups.
 
@@ -44,72 +44,68 @@ def jobs_core(feeds: Feeds) -> DataFrame:
     dimension join. Each dimension key is unique (see the declared checks), hence the
     lookups could neither add nor drop a row.
     """
-    return with_job_flags(staging.typed_shipments(feeds.shipments))
+    return with_job_flags(staging.typed_shipments(feeds))
 
 
 def trade_lanes(feeds: Feeds) -> DataFrame:
     """Lane label of each job from the full names of its two ports."""
-    jobs = staging.typed_shipments(feeds.shipments).select("shipment_key", "origin_port_key", "destination_port_key")
+    jobs = staging.typed_shipments(feeds).select("shipment_key", "origin_port_key", "destination_port_key")
     jobs = lookup(jobs, feeds.dim_origin_port, "origin_port_key", {"port_name": "origin_name"}, "port_key")
     jobs = lookup(jobs, feeds.dim_destination_port, "destination_port_key", {"port_name": "destination_name"}, "port_key")
-    return jobs.withColumn("trade_lane", lane_label("origin_name", "destination_name"))
+    return jobs.withColumn("trade_lane", expr(lane_label("origin_name", "destination_name")))
 
 
 # ---------------------------------------------------------------- charges --
+@shared
 def charges_classified(feeds: Feeds) -> DataFrame:
     """Cost lines with category (joined on the natural code) and post-closure flag."""
     charges = staging.stg_job_charges(feeds).drop("charge_category")
-    charges = lookup(
+    described = lookup(
         charges,
         feeds.dim_charge_type,
         "charge_code",
         {c: c for c in ("charge_name", "charge_category", "is_passthrough_expected")},
     )
-    jobs = jobs_core(feeds).select(F.col("job_number").alias("ref"), "job_completion_date")
-    charges = charges.withColumn("ref", reference(F.col("job_number"), F.col("charge_key")))
-    joined = charges.join(jobs, "ref", "left").drop("ref")
-    return joined.withColumn("is_post_closure", R.post_closure("charge_date", "job_completion_date")).drop(
-        "job_completion_date"
-    )
+    jobs = jobs_core(feeds).selectExpr("job_number as ref", "job_completion_date")
+    joined = described.withColumn("ref", expr(reference("job_number", "charge_key"))).join(jobs, "ref", "left")
+    flag = expr(R.post_closure("charge_date", "job_completion_date"))
+    return joined.withColumn("is_post_closure", flag).drop("ref", "job_completion_date")
 
 
 # --------------------------------------------------------------- invoices --
+# Sort key of a voucher: by date, then number, missing ones last.
+_VOUCHER_ORDER = """struct(invoice_date is null as undated, invoice_date as day,
+                           invoice_number is null as unnumbered, invoice_number as number)"""
+
+
 def first_originals(lines: DataFrame) -> DataFrame:
     """Earliest (date, number) among the Original vouchers of each job reference.
 
     One `min` per job replaces a dense rank over all of a job's lines: it combines on the
     map side, so a job with a very large share of the lines needs no single large sort.
-    Missing dates and numbers sort last.
     """
     return (
-        lines.where((F.col("invoice_type") == "Original") & F.col("job_number").isNotNull())
+        lines.where("invoice_type = 'Original' and job_number is not null")
         .groupBy("job_number")
-        .agg(F.min(_voucher_order()).alias("first_voucher"))
+        .agg(expr(f"min({_VOUCHER_ORDER}) as first_voucher"))
     )
 
 
-def _voucher_order():
-    day, number = F.col("invoice_date"), F.col("invoice_number")
-    return F.struct(day.isNull().alias("undated"), day.alias("day"), number.isNull().alias("unnumbered"), number.alias("number"))
-
-
+@shared
 def invoices_matched(feeds: Feeds) -> DataFrame:
     """Invoice lines matched to jobs on the reference as typed; unmatched lines stay, with NULL job.
 
     The first voucher of a job is attached to the job row, so the lines are shuffled once.
     """
     lines = staging.stg_invoice_lines(feeds)
-    jobs = jobs_core(feeds).select("job_number", F.col("shipment_key"), "job_completion_date")
+    jobs = jobs_core(feeds).select("job_number", "shipment_key", "job_completion_date")
     jobs = jobs.join(first_originals(lines), "job_number", "left").withColumnRenamed("job_number", "ref")
-    matched = lines.withColumn("ref", reference(F.col("job_number"), F.col("invoice_line_key"))).join(jobs, "ref", "left")
-    is_first = (F.col("invoice_type") == "Original") & F.col("is_matched") & (_voucher_order() == F.col("first_voucher"))
+    matched = lines.withColumn("ref", expr(reference("job_number", "invoice_line_key"))).join(jobs, "ref", "left")
+    is_first = f"invoice_type = 'Original' and shipment_key is not null and {_VOUCHER_ORDER} = first_voucher"
+    lag = days_between("job_completion_date", "invoice_date")
     return (
-        matched.withColumn("is_matched", F.col("shipment_key").isNotNull())
-        .withColumn("is_first_original_invoice", F.coalesce(is_first, F.lit(False)))
-        .withColumn(
-            "billing_lag_days",
-            F.when(F.col("is_first_original_invoice"), days_between("job_completion_date", "invoice_date")),
-        )
+        matched.selectExpr("*", "shipment_key is not null as is_matched", f"coalesce({is_first}, false) as is_first_original_invoice")
+        .selectExpr("*", f"if(is_first_original_invoice, {lag}, null) as billing_lag_days")
         .drop("ref", "first_voucher")
     )
 
@@ -118,33 +114,29 @@ def invoices_matched(feeds: Feeds) -> DataFrame:
 def credit_note_netting(lines: DataFrame) -> DataFrame:
     """Credit per target invoice, matched or not; a note naming no known invoice nets nothing."""
     return (
-        lines.where(F.col("invoice_type") == "Credit Note")
-        .groupBy(credited_invoice("line_description").alias("invoice_number"))
-        .agg(F.sum("total_amount_inr").alias("credited_inr"))
+        lines.where("invoice_type = 'Credit Note'")
+        .groupBy(expr(credited_invoice("line_description")).alias("invoice_number"))
+        .agg(expr("sum(total_amount_inr) as credited_inr"))
     )
 
 
 def invoice_rollup(lines: DataFrame) -> DataFrame:
     """Receivable invoices (everything but credit notes) at invoice grain."""
+    smallest = ("customer_key", "branch_key", "invoice_date", "due_date")
     return (
-        lines.where(F.col("invoice_type") != "Credit Note")
+        lines.where("invoice_type != 'Credit Note'")
         .groupBy("invoice_number")
-        .agg(
-            F.min("customer_key").alias("customer_key"),
-            F.min("branch_key").alias("branch_key"),
-            F.min("invoice_date").alias("invoice_date"),
-            F.min("due_date").alias("due_date"),
-            F.sum("total_amount_inr").alias("gross_total_inr"),
-        )
+        .agg(*[expr(f"min({c}) as {c}") for c in smallest], expr("sum(total_amount_inr) as gross_total_inr"))
     )
 
 
 def payment_rollup(payments: DataFrame) -> DataFrame:
     return payments.groupBy("invoice_number").agg(
-        F.sum("amount_inr").alias("amount_received_inr"), F.max("payment_date").alias("last_payment_date")
+        expr("sum(amount_inr) as amount_received_inr"), expr("max(payment_date) as last_payment_date")
     )
 
 
+@shared
 def invoice_settlement(feeds: Feeds, params: Params) -> DataFrame:
     """One row per receivable invoice with balance and ageing.
 
@@ -158,42 +150,53 @@ def invoice_settlement(feeds: Feeds, params: Params) -> DataFrame:
         .join(payment_rollup(staging.stg_payments(feeds)), "invoice_number", "left")
     )
     due = R.balance("invoice_total_inr", "amount_received_inr")
-    return (
-        joined.withColumn("invoice_total_inr", money.total(F.col("gross_total_inr") + money.or_zero("credited_inr")))
-        .withColumn("amount_received_inr", money.or_zero("amount_received_inr").cast(money.TOTAL))
-        .withColumns(
-            {
-                "outstanding_inr": R.outstanding(due).cast(money.TOTAL),
-                "days_overdue": R.overdue_days(due, "due_date", params.as_of),
-                "aging_bucket": R.aging_bucket(due, "due_date", params.as_of),
-                "is_settled": R.is_settled(due),
-            }
-        )
-        .drop("gross_total_inr", "credited_inr")
+    return joined.selectExpr(
+        "invoice_number", "customer_key", "branch_key", "invoice_date", "due_date",
+        f"{money.total('gross_total_inr + ' + money.or_zero('credited_inr'))} as invoice_total_inr",
+        f"{money.total(money.or_zero('amount_received_inr'))} as amount_received_inr",
+        "last_payment_date",
+    ).selectExpr(
+        "*",
+        f"{money.total(R.outstanding(due))} as outstanding_inr",
+        f"{R.overdue_days(due, 'due_date', params.as_of)} as days_overdue",
+        f"{R.aging_bucket(due, 'due_date', params.as_of)} as aging_bucket",
+        f"{R.is_settled(due)} as is_settled",
     )
 
 
 # ------------------------------------------------------------- job profit --
 def job_cost_pivot(charges: DataFrame) -> DataFrame:
     """Base and surcharge cost per job, post-closure lines included."""
-    category = F.col("charge_category")
     return charges.groupBy("shipment_key").agg(
-        money.sum_where(category == "Base Cost", "amount_inr").alias("base_cost_inr"),
-        money.sum_where(category == "Surcharge", "amount_inr").alias("surcharge_cost_inr"),
+        expr(f"{money.sum_where("charge_category = 'Base Cost'", 'amount_inr')} as base_cost_inr"),
+        expr(f"{money.sum_where("charge_category = 'Surcharge'", 'amount_inr')} as surcharge_cost_inr"),
     )
 
 
-def job_revenue_pivot(lines: DataFrame, charge_types: DataFrame, key: str = "job_number") -> DataFrame:
-    """Pre-tax revenue per job, credit notes included, with the first Original date.
+def job_revenue_pivot(lines: DataFrame, charge_types: DataFrame) -> DataFrame:
+    """Pre-tax revenue per job reference, credit notes included, with the first Original date.
 
-    Keyed on the job reference as typed, so it aggregates before any join to the jobs:
+    Keyed on the reference as typed, so it aggregates before any join to the jobs:
     joining the result to them on `job_number` keeps exactly the matched lines.
     """
-    typed = lookup(lines.where(F.col(key).isNotNull()), charge_types, "charge_type_key", {"charge_category": "billed_category"})
-    return typed.groupBy(key).agg(
-        F.sum("line_amount_inr").alias("revenue_billed_inr"),
-        money.sum_where(F.col("billed_category") == "Surcharge", "line_amount_inr").alias("surcharge_billed_inr"),
-        F.min(F.when(F.col("invoice_type") == "Original", F.col("invoice_date"))).alias("first_invoice_date"),
+    typed = lookup(lines.where("job_number is not null"), charge_types, "charge_type_key", {"charge_category": "billed_as"})
+    return typed.groupBy("job_number").agg(
+        expr("sum(line_amount_inr) as revenue_billed_inr"),
+        expr(f"{money.sum_where("billed_as = 'Surcharge'", 'line_amount_inr')} as surcharge_billed_inr"),
+        expr("min(if(invoice_type = 'Original', invoice_date, null)) as first_invoice_date"),
+    )
+
+
+def job_revenue(feeds: Feeds) -> DataFrame:
+    """Revenue of every job with at least one matched line, with its billing lag."""
+    revenue = job_revenue_pivot(staging.stg_invoice_lines(feeds), feeds.dim_charge_type)
+    jobs = jobs_core(feeds).select("job_number", "shipment_key", "job_completion_date")
+    return jobs.join(revenue, "job_number").selectExpr(
+        "shipment_key",
+        f"{money.total('revenue_billed_inr')} as revenue_billed_inr",
+        f"{money.total('surcharge_billed_inr')} as surcharge_billed_inr",
+        "first_invoice_date",
+        f"{days_between('job_completion_date', 'first_invoice_date')} as billing_lag_days",
     )
 
 
@@ -203,35 +206,35 @@ def classified_costs(feeds: Feeds) -> DataFrame:
     return lookup(charges, feeds.dim_charge_type, "charge_code", {"charge_category": "charge_category"})
 
 
-def shipment_financials(feeds: Feeds, keep: tuple[str, ...] = ()) -> DataFrame:
+@shared
+def booked_financials(feeds: Feeds) -> DataFrame:
     """One row per completed job: revenue, cost and margin, a missing side counting as zero.
 
     The first Original voucher is by definition the one with the earliest date, so its lag
     is the earliest Original date minus completion. Both sides are aggregated to job grain
-    first and only then joined. `keep` carries further job columns through.
+    first and only then joined. The booking date is carried through, which spares the
+    metrics a join of the two published facts.
     """
-    jobs = (
-        jobs_core(feeds)
-        .where(F.col("job_completion_date").isNotNull())
-        .select(
-            "shipment_key", "job_number", "customer_key", "carrier_key", "branch_key", "mode_key", "job_completion_date", *keep
-        )
-    )
+    kept = "shipment_key job_number customer_key carrier_key branch_key mode_key job_completion_date booking_date".split()
+    jobs = jobs_core(feeds).where("job_completion_date is not null").select(*kept)
     costs = job_cost_pivot(classified_costs(feeds))
     revenue = job_revenue_pivot(staging.stg_invoice_lines(feeds), feeds.dim_charge_type)
     billed, surcharge_billed, base, surcharge = (
         money.or_zero(c) for c in ("revenue_billed_inr", "surcharge_billed_inr", "base_cost_inr", "surcharge_cost_inr")
     )
-    joined = jobs.join(costs, "shipment_key", "left").join(revenue, "job_number", "left")
-    return joined.select(
-        *jobs.columns,
+    return jobs.join(costs, "shipment_key", "left").join(revenue, "job_number", "left").selectExpr(
+        *kept,
         "first_invoice_date",
-        days_between("job_completion_date", "first_invoice_date").alias("billing_lag_days"),
-        money.total(billed).alias("revenue_billed_inr"),
-        money.total(base).alias("base_cost_inr"),
-        money.total(surcharge).alias("surcharge_cost_inr"),
-        money.total(surcharge_billed).alias("surcharge_billed_inr"),
-        money.total(base + surcharge).alias("total_cost_inr"),
-        money.total(billed - base - surcharge).alias("gross_margin_inr"),
-        F.col("first_invoice_date").isNotNull().alias("is_fully_billed"),
+        f"{days_between('job_completion_date', 'first_invoice_date')} as billing_lag_days",
+        f"{money.total(billed)} as revenue_billed_inr",
+        f"{money.total(base)} as base_cost_inr",
+        f"{money.total(surcharge)} as surcharge_cost_inr",
+        f"{money.total(surcharge_billed)} as surcharge_billed_inr",
+        f"{money.total(f'{base} + {surcharge}')} as total_cost_inr",
+        f"{money.total(f'{billed} - {base} - {surcharge}')} as gross_margin_inr",
+        "first_invoice_date is not null as is_fully_billed",
     )
+
+
+def shipment_financials(feeds: Feeds) -> DataFrame:
+    return booked_financials(feeds).drop("booking_date")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,58 +27,83 @@ CLUSTER_BY = {
 }
 
 
-def staging_views(feeds: Feeds) -> dict[str, DataFrame]:
-    return {
-        "stg_shipments": staging.stg_shipments(feeds),
-        "stg_job_charges": staging.stg_job_charges(feeds),
-        "stg_invoice_lines": staging.stg_invoice_lines(feeds),
-        "stg_payments": staging.stg_payments(feeds),
-    }
+class Relations(Mapping):
+    """Relations by name, each defined when first asked for."""
 
+    def __init__(self, definitions: dict[str, Callable[[], DataFrame]]):
+        self._definitions = definitions
+        self._made: dict[str, DataFrame] = {}
 
-def rule_views(feeds: Feeds, params: Params) -> dict[str, DataFrame]:
-    return {
-        "int_shipments_conformed": rules.shipments_conformed(feeds),
-        "int_charges_classified": rules.charges_classified(feeds),
-        "int_invoices_matched": rules.invoices_matched(feeds),
-        "int_invoice_settlement": rules.invoice_settlement(feeds, params),
-        "int_shipment_financials": rules.shipment_financials(feeds),
-    }
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._made:
+            self._made[name] = self._definitions[name]()
+        return self._made[name]
 
+    def __iter__(self):
+        return iter(self._definitions)
 
-def all_relations(feeds: Feeds, params: Params) -> dict[str, DataFrame]:
+    def __len__(self) -> int:
+        return len(self._definitions)
+
+    def replaced(self, frames: dict[str, DataFrame]) -> Relations:
+        """The same relations with some of them read from somewhere else, e.g. from written tables."""
+        return Relations({**self._definitions, **{n: (lambda df=df: df) for n, df in frames.items()}})
+
+
+STAGING = {
+    "stg_shipments": lambda feeds, params: staging.stg_shipments(feeds),
+    "stg_job_charges": lambda feeds, params: staging.stg_job_charges(feeds),
+    "stg_invoice_lines": lambda feeds, params: staging.stg_invoice_lines(feeds),
+    "stg_payments": lambda feeds, params: staging.stg_payments(feeds),
+}
+INTERMEDIATE = {
+    "int_shipments_conformed": lambda feeds, params: rules.shipments_conformed(feeds),
+    "int_charges_classified": lambda feeds, params: rules.charges_classified(feeds),
+    "int_invoices_matched": lambda feeds, params: rules.invoices_matched(feeds),
+    "int_invoice_settlement": rules.invoice_settlement,
+    "int_shipment_financials": lambda feeds, params: rules.shipment_financials(feeds),
+}
+
+
+def all_relations(feeds: Feeds, params: Params) -> Relations:
     """Every relation of the four layers, all lazy."""
-    return {
-        **mart.dimensions(feeds),
-        **staging_views(feeds),
-        **rule_views(feeds, params),
-        **mart.facts(feeds, params),
-    }
+    derived = {**STAGING, **INTERMEDIATE, **mart.FACTS}
+    return Relations(
+        {
+            **{name: partial(getattr, feeds, name) for name in mart.DIMENSIONS},
+            **{name: partial(fn, feeds, params) for name, fn in derived.items()},
+        }
+    )
 
 
-def register_views(relations: dict[str, DataFrame]) -> None:
+def register_views(relations: Mapping[str, DataFrame]) -> None:
     """Make the relations queryable by name from Spark SQL."""
     for name, df in relations.items():
         df.createOrReplaceTempView(name)
 
 
-def write_mart(feeds: Feeds, params: Params, root: str) -> None:
-    """Overwrite the reference and mart tables under `<root>/<layer>/<name>`.
+def write_fact(df: DataFrame, name: str, root: str) -> None:
+    """Overwrite one mart table under `<root>/mart/<name>`, clustered by its calendar column.
 
     `rebalance` sizes the output files at run time, splitting a date that holds a large
-    share of the rows, and keeps each date range in few files so scans can skip by statistics.
+    share of the rows, and keeps each date in few files so scans can skip by statistics.
     """
-    for name, df in mart.dimensions(feeds).items():
-        df.hint("rebalance").write.mode("overwrite").parquet(f"{root}/reference/{name}")
-    for name, df in mart.facts(feeds, params).items():
-        day = CLUSTER_BY[name]
-        df.hint("rebalance", day).sortWithinPartitions(day).write.mode("overwrite").parquet(f"{root}/mart/{name}")
+    day = CLUSTER_BY[name]
+    df.hint("rebalance", day).sortWithinPartitions(day).write.mode("overwrite").parquet(f"{root}/mart/{name}")
+
+
+def write_mart(feeds: Feeds, params: Params, root: str) -> None:
+    """Overwrite the reference and mart tables."""
+    relations = all_relations(feeds, params)
+    for name in mart.DIMENSIONS:
+        relations[name].write.mode("overwrite").parquet(f"{root}/reference/{name}")
+    for name in mart.FACTS:
+        write_fact(relations[name], name, root)
 
 
 def read_mart(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    dims = ("branch", "carrier", "charge_type", "customer", "destination_port", "exception_type", "mode", "origin_port")
-    out = {f"dim_{d}": spark.read.parquet(f"{root}/reference/dim_{d}") for d in dims}
-    return {**out, **{f: spark.read.parquet(f"{root}/mart/{f}") for f in mart.COLUMNS}}
+    dims = {d: spark.read.parquet(f"{root}/reference/{d}") for d in mart.DIMENSIONS}
+    return {**dims, **{f: spark.read.parquet(f"{root}/mart/{f}") for f in mart.FACTS}}
 
 
 @dataclass(frozen=True)
@@ -102,8 +129,8 @@ def release(feeds: Feeds, params: Params, root: str, run_id: str, tolerate: froz
     if stale:
         return Release(run_root, False, stale, {})
     write_mart(feeds, params, run_root)
-    relations = {**staging_views(feeds), **rule_views(feeds, params), **read_mart(spark, run_root)}
-    failed = suite_report(declared_checks(params), relations).where("status = 'fail'").collect()
+    relations = all_relations(feeds, params).replaced(read_mart(spark, run_root))
+    failed = suite_report(spark, declared_checks(params), relations).where("status = 'fail'").collect()
     failures = {r["check_name"]: r["failures"] for r in failed if r["check_name"] not in tolerate}
     if failures:
         return Release(run_root, False, stale, failures)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,6 +20,7 @@ class Feeds:
     def __init__(self, spark: SparkSession, opener: Callable[[str, str], DataFrame]):
         self.spark = spark
         self._opener = opener
+        self.relations: dict[tuple, DataFrame] = {}
 
     shipments = cached_property(lambda self: self._opener("feed", "shipments"))
     job_charges = cached_property(lambda self: self._opener("feed", "job_charges"))
@@ -38,6 +39,19 @@ class Feeds:
     dim_origin_port = cached_property(lambda self: self._opener("dim", "dim_origin_port"))
 
 
+def shared(fn):
+    """Define a relation once per `Feeds`, so that relations built on it hold the same plan."""
+
+    @wraps(fn)
+    def once(feeds: Feeds, *args) -> DataFrame:
+        key = (fn.__module__, fn.__name__, *map(id, args))
+        if key not in feeds.relations:
+            feeds.relations[key] = fn(feeds, *args)
+        return feeds.relations[key]
+
+    return once
+
+
 def csv_feeds(spark: SparkSession, feed_dir: str, dim_dir: str) -> Feeds:
     """Header CSV exports: `fact_*.csv` under `feed_dir`, `dim_*.csv` under `dim_dir`."""
 

@@ -13,10 +13,11 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.functions import expr
 
 from quayside.functions import dates, money, rules
+from quayside.functions.text import literal
 from quayside.params import DRIVER, Params
 from quayside.sources.frames import Feeds
 
@@ -61,20 +62,36 @@ COMMODITIES = ("Textiles", "Machinery", "Chemicals", "Foodstuffs", "Electronics"
 INCOTERMS = ("fob", "cif ", "exw", " dap")
 
 
-def _pick(values: tuple[str, ...], index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
+def _pick(values: tuple[str, ...], index: str) -> str:
+    return f"element_at(array({', '.join(map(literal, values))}), cast({index} + 1 as int))"
 
 
-def _padded(c: Column) -> Column:
-    return F.lpad(c.cast("string"), 12, "0")
+def _padded(c: str) -> str:
+    return f"lpad(cast({c} as string), 12, '0')"
 
 
-def _midnight(c: Column) -> Column:
-    return c.cast("date").cast("timestamp_ntz")
+def _job_number(k: str) -> str:
+    return f"concat(if({k} % 10 = 0, ' job-', 'JOB-'), {_padded(k)}, if({k} % 7 = 0, ' ', ''))"
 
 
-def _digits(day: Column) -> Column:
-    return F.replace(day.cast("string"), F.lit("-"), F.lit(""))
+def _invoice_number(k: str, series: str) -> str:
+    return f"concat(if({series} = 'S', 'SUP/', 'INV/'), {_padded(k)}, '/', {series})"
+
+
+def _digits(d: str) -> str:
+    return f"replace(cast({d} as string), '-', '')"
+
+
+def _midnight(c: str) -> str:
+    return f"cast(cast({c} as date) as timestamp_ntz)"
+
+
+def _terms(cust: str) -> str:
+    return f"if({cust} % 9 = 0, 45, 30)"
+
+
+def batch_name(source: str, hour: str) -> str:
+    return f"concat(if({source} = 'Operations', 'ops-', 'fin-'), {_digits(f'cast({hour} as date)')}, '-', lpad(cast(hour({hour}) as string), 2, '0'))"
 
 
 class TableFeeds(Feeds):
@@ -84,13 +101,16 @@ class TableFeeds(Feeds):
         super().__init__(spark, self._unknown)
         self.path = path
         self.params = params
+        self._tables: dict[str, DataFrame] = {}
 
     @staticmethod
     def _unknown(kind: str, name: str) -> DataFrame:
         raise KeyError(f"no {kind} named {name}")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.path}/{name}.parquet")
+        return self._tables[name]
 
     def _values(self, rows: str) -> DataFrame:
         return self.spark.sql(f"SELECT * FROM {rows}")
@@ -99,83 +119,66 @@ class TableFeeds(Feeds):
     @cached_property
     def timeline(self) -> DataFrame:
         """One row per job with its full planned timeline, before the as-of mask."""
-        k = F.col("k")
         return (
             self.table("orders")
-            .select(
-                F.col("o_orderkey").alias("k"),
-                F.col("o_custkey").alias("cust"),
-                F.col("o_orderdate").cast("date").alias("booking"),
+            .selectExpr(
+                "o_orderkey as k",
+                "o_custkey as cust",
+                "cast(o_orderdate as date) as booking",
+                "cast(3 + (o_orderkey * 13) % 35 as int) as committed_days",
+                f"cast((o_orderkey * 17) % 13 - 9 + if(o_orderkey % {CARRIERS} = 5, 3, 0) as int) as drift",
             )
-            .withColumn("committed_days", (3 + (k * 13) % 35).cast("int"))
-            .withColumn(
-                "actual_days",
-                F.greatest(
-                    F.lit(1),
-                    F.col("committed_days") + ((k * 17) % 13 - 9 + F.when(k % CARRIERS == 5, 3).otherwise(0)).cast("int"),
-                ),
+            .selectExpr("*", "greatest(1, committed_days + drift) as actual_days", f"{dates.plus_days('booking', '2 + k % 14')} as etd")
+            .selectExpr(
+                "*", f"{dates.plus_days('etd', 'committed_days')} as committed", f"{dates.plus_days('etd', 'k % 3')} as departed"
             )
-            .withColumn("etd", dates.plus_days(F.col("booking"), 2 + k % 14))
-            .withColumn("committed", dates.plus_days(F.col("etd"), F.col("committed_days")))
-            .withColumn("departed", dates.plus_days(F.col("etd"), k % 3))
-            .withColumn("delivered", dates.plus_days(F.col("departed"), F.col("actual_days")))
-            .withColumn("completed", dates.plus_days(F.col("delivered"), k % 5))
+            .selectExpr("*", f"{dates.plus_days('departed', 'actual_days')} as delivered")
+            .selectExpr("*", f"{dates.plus_days('delivered', 'k % 5')} as completed")
         )
 
     @cached_property
     def jobs(self) -> DataFrame:
         """The timeline as known on the as-of date, with status."""
         as_of = self.params.as_of
-        departed, delivered, completed = (F.col(c) for c in ("departed", "delivered", "completed"))
-        return self.timeline.withColumns(
-            {
-                "status": rules.lifecycle(departed, delivered, completed, as_of),
-                "departed": rules.known_by(departed, as_of),
-                "delivered": rules.known_by(delivered, as_of),
-                "completed": rules.known_by(completed, as_of),
-            }
+        return self.timeline.selectExpr(
+            "k", "cust", "booking", "etd", "committed", "committed_days", "actual_days",
+            f"{rules.lifecycle('departed', 'delivered', 'completed', as_of)} as status",
+            *[f"{rules.known_by(c, as_of)} as {c}" for c in ("departed", "delivered", "completed")],
         )
 
-    @staticmethod
-    def _job_number(k: Column) -> Column:
-        return F.concat(F.when(k % 10 == 0, " job-").otherwise("JOB-"), _padded(k), F.when(k % 7 == 0, " ").otherwise(""))
-
     @cached_property
     def shipments(self) -> DataFrame:
-        k = F.col("k")
-        ocean = k % 4 < 2
-        counts = self.exceptions.groupBy(F.col("shipment_key").alias("k")).agg(F.count("*").alias("exceptions_logged"))
+        counts = self.exceptions.groupBy("shipment_key").agg(expr("count(*) as exceptions_logged"))
         return (
-            self.jobs.withColumn("origin_key", k % NATIONS)
-            .withColumn("destination_key", (k * 7 + 3) % NATIONS)
-            .join(counts, "k", "left")
-            .select(
-                k.alias("shipment_key"),
-                self._job_number(k).alias("job_number"),
-                F.col("cust").alias("customer_key"),
-                (k % CARRIERS).alias("carrier_key"),
-                (F.col("cust") % BRANCHES).alias("branch_key"),
-                (k % 4 + 1).alias("mode_key"),
-                F.col("origin_key").alias("origin_port_key"),
-                F.col("destination_key").alias("destination_port_key"),
-                F.concat(F.lit("Nation "), F.col("origin_key").cast("string"), F.lit(" → Nation "), F.col("destination_key").cast("string")).alias("trade_lane"),
-                F.concat(F.lit("Region "), (F.col("destination_key") % BRANCHES).cast("string")).alias("destination_region"),
-                F.col("booking").alias("booking_date"),
-                F.col("committed").alias("committed_delivery_date"),
-                F.col("etd").alias("planned_etd"),
-                F.col("departed").alias("actual_departure_date"),
-                dates.plus_days(F.col("committed"), k % 5 - 2).alias("carrier_eta"),
-                F.col("delivered").alias("actual_delivery_date"),
-                F.col("completed").alias("job_completion_date"),
-                F.concat(F.col("status"), F.when(k % 6 == 0, "  ").otherwise("")).alias("shipment_status"),
-                _pick(COMMODITIES, k % 5).alias("commodity"),
-                _pick(INCOTERMS, k % 4).alias("incoterm"),
-                F.when(ocean, 1 + k % 3).alias("container_count"),
-                F.when(ocean, (1 + k % 3) * 2).alias("teu"),
-                F.when(~ocean, 120 + (k * 97) % 7880).alias("chargeable_weight_kg"),
-                F.col("committed_days").alias("committed_transit_days"),
-                F.when(F.col("delivered").isNotNull(), F.col("actual_days")).alias("actual_transit_days"),
-                F.coalesce("exceptions_logged", F.lit(0)).alias("exception_count"),
+            self.jobs.selectExpr("*", "k as shipment_key", f"k % {NATIONS} as origin", f"(k * 7 + 3) % {NATIONS} as dest", "k % 4 < 2 as ocean")
+            .join(counts, "shipment_key", "left")
+            .selectExpr(
+                "shipment_key",
+                f"{_job_number('k')} as job_number",
+                "cust as customer_key",
+                f"k % {CARRIERS} as carrier_key",
+                f"cust % {BRANCHES} as branch_key",
+                "k % 4 + 1 as mode_key",
+                "origin as origin_port_key",
+                "dest as destination_port_key",
+                "concat('Nation ', cast(origin as string), ' → Nation ', cast(dest as string)) as trade_lane",
+                f"concat('Region ', cast(dest % {BRANCHES} as string)) as destination_region",
+                "booking as booking_date",
+                "committed as committed_delivery_date",
+                "etd as planned_etd",
+                "departed as actual_departure_date",
+                f"{dates.plus_days('committed', 'k % 5 - 2')} as carrier_eta",
+                "delivered as actual_delivery_date",
+                "completed as job_completion_date",
+                "concat(status, if(k % 6 = 0, '  ', '')) as shipment_status",
+                f"{_pick(COMMODITIES, 'k % 5')} as commodity",
+                f"{_pick(INCOTERMS, 'k % 4')} as incoterm",
+                "if(ocean, 1 + k % 3, null) as container_count",
+                "if(ocean, (1 + k % 3) * 2, null) as teu",
+                "if(ocean, null, 120 + (k * 97) % 7880) as chargeable_weight_kg",
+                "committed_days as committed_transit_days",
+                "if(delivered is null, null, actual_days) as actual_transit_days",
+                "coalesce(exceptions_logged, 0) as exception_count",
             )
         )
 
@@ -183,149 +186,128 @@ class TableFeeds(Feeds):
     @cached_property
     def charge_base(self) -> DataFrame:
         """One row per (job, line): the table repeats pairs, so they are collapsed before the join."""
-        price = money.scaled(F.col("l_extendedprice").cast(money.AMOUNT), "0.7")
-        k, line = F.col("k"), F.col("line")
+        cost = money.scaled(money.amount("l_extendedprice"), "0.7")
         return (
             self.table("lineitem")
-            .groupBy(F.col("l_orderkey").alias("k"), F.col("l_linenumber").cast("long").alias("line"))
-            .agg(F.max(price).alias("cost"), F.min("l_suppkey").alias("supplier"))
+            .selectExpr("l_orderkey as k", "cast(l_linenumber as bigint) as line", f"{cost} as cost", "l_suppkey as supplier")
+            .groupBy("k", "line")
+            .agg(expr("max(cost) as cost"), expr("min(supplier) as supplier"))
             .join(self.jobs.select("k", "cust", "booking", "completed"), "k")
-            .withColumn("charge_type", 1 + (k + 4 * line) % 15)
-            .withColumn("charge_day", dates.plus_days(F.col("booking"), (k * 7 + line * 11) % 60))
+            .selectExpr(
+                "*", "1 + (k + 4 * line) % 15 as charge_type", f"{dates.plus_days('booking', '(k * 7 + line * 11) % 60')} as charge_day"
+            )
         )
 
     @cached_property
     def job_charges(self) -> DataFrame:
-        k, line = F.col("k"), F.col("line")
-        return self.charge_base.select(
-            (k * LINE_SLOT + line).alias("charge_key"),
-            k.alias("shipment_key"),
-            self._job_number(k).alias("job_number"),
-            F.col("charge_type").alias("charge_type_key"),
-            F.col("cust").alias("customer_key"),
-            (k % CARRIERS).alias("carrier_key"),
-            (F.col("cust") % BRANCHES).alias("branch_key"),
-            (k % 4 + 1).alias("mode_key"),
-            F.col("charge_day").alias("charge_date"),
-            F.concat(F.lit(" Vendor "), F.col("supplier").cast("string"), F.lit(" ")).alias("vendor_name"),
-            F.col("cost").alias("amount_inr"),
+        return self.charge_base.selectExpr(
+            f"k * {LINE_SLOT} + line as charge_key",
+            "k as shipment_key",
+            f"{_job_number('k')} as job_number",
+            "charge_type as charge_type_key",
+            "cust as customer_key",
+            f"k % {CARRIERS} as carrier_key",
+            f"cust % {BRANCHES} as branch_key",
+            "k % 4 + 1 as mode_key",
+            "charge_day as charge_date",
+            "concat(' Vendor ', cast(supplier as string), ' ') as vendor_name",
+            "cost as amount_inr",
         )
 
     # ------------------------------------------------------------ invoices --
-    @staticmethod
-    def _terms(cust: Column) -> Column:
-        return F.when(cust % 9 == 0, 45).otherwise(30)
-
     @cached_property
     def billed_lines(self) -> DataFrame:
         """Priced sales lines with their job key and voucher series (A, B original, S supplementary)."""
-        k, line = F.col("k"), F.col("line")
-        series = F.when(line <= 3, "A").when(line == 4, "B").otherwise("S")
-        delay = F.when(F.col("series") == "A", 0).when(F.col("series") == "B", 3 * ((k + 1) % 2)).otherwise(9)
-        tax_rate_low = F.col("charge_type") <= 2
+        delay = "case series when 'A' then 0 when 'B' then 3 * ((k + 1) % 2) else 9 end"
+        low, high = money.scaled("line_amount", "0.05"), money.scaled("line_amount", "0.18")
         return (
-            self.charge_base.where(F.col("completed").isNotNull() & (k % 20 != 0))
-            .withColumn("series", series)
-            .withColumn("invoice_day", dates.plus_days(F.col("completed"), 2 + (k * 11) % 14 + delay))
-            .where(F.col("invoice_day") <= F.lit(self.params.as_of))
-            .withColumn("due_day", dates.plus_days(F.col("invoice_day"), self._terms(F.col("cust"))))
-            .withColumn("line_amount", money.scaled(F.col("cost"), "1.2"))
-            .withColumn(
-                "tax_amount",
-                F.when(tax_rate_low, money.scaled(F.col("line_amount"), "0.05")).otherwise(
-                    money.scaled(F.col("line_amount"), "0.18")
-                ),
+            self.charge_base.where("completed is not null and k % 20 != 0")
+            .selectExpr(
+                "k", "line", "cust", "charge_type", "completed",
+                "case when line <= 3 then 'A' when line = 4 then 'B' else 'S' end as series",
+                f"{money.scaled('cost', '1.2')} as line_amount",
+            )
+            .selectExpr(
+                "*",
+                f"{dates.plus_days('completed', f'2 + (k * 11) % 14 + {delay}')} as invoice_day",
+                f"if(charge_type <= 2, {low}, {high}) as tax_amount",
+            )
+            .where(f"invoice_day <= {dates.day(self.params.as_of)}")
+            .selectExpr(
+                "*", f"{dates.plus_days('invoice_day', _terms('cust'))} as due_day", f"{money.amount('line_amount + tax_amount')} as total_amount"
             )
-            .withColumn("total_amount", (F.col("line_amount") + F.col("tax_amount")).cast(money.AMOUNT))
         )
 
-    @staticmethod
-    def _invoice_number(k: Column, series: Column) -> Column:
-        return F.concat(F.when(series == "S", "SUP/").otherwise("INV/"), _padded(k), F.lit("/"), series)
-
     @cached_property
     def invoice_lines(self) -> DataFrame:
-        k, line, series = F.col("k"), F.col("line"), F.col("series")
-        key = k * LINE_SLOT + line
-        number = self._invoice_number(k, series)
-        sales = self.billed_lines.select(
-            key.alias("invoice_line_key"),
-            F.concat(number, F.when(key % 13 == 0, " ").otherwise("")).alias("invoice_number"),
-            F.when(key % 997 == 0, " Debit Note ")
-            .when((series != "S") & (key % 3 == 0), "ORIGINAL")
-            .when(series != "S", "Original ")
-            .when(key % 3 == 0, " supplementary")
-            .otherwise("Supplementary")
-            .alias("invoice_type"),
-            F.col("invoice_day").alias("invoice_date"),
-            F.col("due_day").alias("due_date"),
-            F.col("cust").alias("customer_key"),
-            F.when(key % 211 == 0, F.lit(None).cast("string"))
-            .when(key % 67 == 0, F.concat(F.lit("JOB-"), _padded(k), F.lit("XX")))
-            .otherwise(self._job_number(k))
-            .alias("job_number"),
-            (F.col("cust") % BRANCHES).alias("branch_key"),
-            F.col("charge_type").alias("charge_type_key"),
-            F.concat(F.lit("Line "), line.cast("string"), F.lit(" of "), number).alias("line_description"),
-            F.col("line_amount").alias("line_amount_inr"),
-            F.col("tax_amount").alias("tax_amount_inr"),
-            F.col("total_amount").alias("total_amount_inr"),
+        number = _invoice_number("k", "series")
+        sales = self.billed_lines.selectExpr("*", f"k * {LINE_SLOT} + line as key", f"{number} as number").selectExpr(
+            "key as invoice_line_key",
+            "concat(number, if(key % 13 = 0, ' ', '')) as invoice_number",
+            """case when key % 997 = 0 then ' Debit Note '
+                    when series != 'S' then if(key % 3 = 0, 'ORIGINAL', 'Original ')
+                    else if(key % 3 = 0, ' supplementary', 'Supplementary') end as invoice_type""",
+            "invoice_day as invoice_date",
+            "due_day as due_date",
+            "cust as customer_key",
+            f"""case when key % 211 = 0 then null when key % 67 = 0 then concat('JOB-', {_padded('k')}, 'XX')
+                     else {_job_number('k')} end as job_number""",
+            f"cust % {BRANCHES} as branch_key",
+            "charge_type as charge_type_key",
+            "concat('Line ', cast(line as string), ' of ', number) as line_description",
+            "line_amount as line_amount_inr",
+            "tax_amount as tax_amount_inr",
+            "total_amount as total_amount_inr",
         )
         return sales.unionByName(self._credit_notes())
 
     def _credit_notes(self) -> DataFrame:
-        k = F.col("k")
-        day = dates.plus_days(F.col("completed"), F.lit(30))
-        target = F.when(k % 5 == 1, F.lit("OLD/0001")).otherwise(self._invoice_number(k, F.lit("A")))
         return (
-            self.jobs.where(F.col("completed").isNotNull() & (k % 20 != 0) & (k % 83 == 0))
-            .where(day <= F.lit(self.params.as_of))
-            .select(
-                (k * LINE_SLOT + CREDIT_SLOT).alias("invoice_line_key"),
-                F.concat(F.lit("CN/"), _padded(k)).alias("invoice_number"),
-                F.when(k % 3 == 0, "cn").when(k % 3 == 1, " CreditNote").otherwise("Credit Note").alias("invoice_type"),
-                day.alias("invoice_date"),
-                day.alias("due_date"),
-                F.col("cust").alias("customer_key"),
-                self._job_number(k).alias("job_number"),
-                (F.col("cust") % BRANCHES).alias("branch_key"),
-                F.lit(1).cast("long").alias("charge_type_key"),
-                F.when(k % 11 == 0, F.lit("Goodwill")).otherwise(F.concat(F.lit("Credit note against "), target)).alias("line_description"),
-                F.lit("-1000.00").cast(money.AMOUNT).alias("line_amount_inr"),
-                F.lit("-180.00").cast(money.AMOUNT).alias("tax_amount_inr"),
-                F.lit("-1180.00").cast(money.AMOUNT).alias("total_amount_inr"),
+            self.jobs.where("completed is not null and k % 20 != 0 and k % 83 = 0")
+            .selectExpr("*", "date_add(completed, 30) as day")
+            .where(f"day <= {dates.day(self.params.as_of)}")
+            .selectExpr(
+                f"k * {LINE_SLOT} + {CREDIT_SLOT} as invoice_line_key",
+                f"concat('CN/', {_padded('k')}) as invoice_number",
+                "case k % 3 when 0 then 'cn' when 1 then ' CreditNote' else 'Credit Note' end as invoice_type",
+                "day as invoice_date",
+                "day as due_date",
+                "cust as customer_key",
+                f"{_job_number('k')} as job_number",
+                f"cust % {BRANCHES} as branch_key",
+                "1L as charge_type_key",
+                f"""case when k % 11 = 0 then 'Goodwill'
+                         else concat('Credit note against ', if(k % 5 = 1, 'OLD/0001', {_invoice_number('k', "'A'")})) end
+                    as line_description""",
+                f"{money.amount('-1000')} as line_amount_inr",
+                f"{money.amount('-180')} as tax_amount_inr",
+                f"{money.amount('-1180')} as total_amount_inr",
             )
         )
 
     # ------------------------------------------------------------ receipts --
     @cached_property
     def payments(self) -> DataFrame:
-        k, series = F.col("k"), F.col("series")
-        slot = F.when(series == "A", 0).when(series == "B", 2).otherwise(4)
-        gross = F.col("gross")
-        first_day = dates.plus_days(F.col("due_day"), k % 40 - 5)
-        second_day = dates.plus_days(F.col("due_day"), k % 40 + 15)
-        part = lambda n, day, amt: F.struct(F.lit(n).alias("part"), day.alias("day"), amt.alias("paid"))
-        parts = F.when(
-            k % 12 == 0,
-            F.array(part(0, first_day, money.scaled(gross, "0.6")), part(1, second_day, money.scaled(gross, "0.4"))),
-        ).otherwise(F.array(part(0, first_day, gross.cast(money.AMOUNT))))
+        first, second = dates.plus_days("due_day", "k % 40 - 5"), dates.plus_days("due_day", "k % 40 + 15")
+        parts = f"""if(k % 12 = 0,
+            array(struct(0 as part, {first} as day, {money.scaled('gross', '0.6')} as paid),
+                  struct(1 as part, {second} as day, {money.scaled('gross', '0.4')} as paid)),
+            array(struct(0 as part, {first} as day, {money.amount('gross')} as paid)))"""
         return (
-            self.billed_lines.where(k % 31 != 0)
+            self.billed_lines.where("k % 31 != 0")
             .groupBy("k", "series")
-            .agg(F.sum("total_amount").alias("gross"), F.min("due_day").alias("due_day"), F.min("cust").alias("cust"))
-            .select("k", "series", "cust", F.explode(parts).alias("p"))
-            .where(F.col("p.day") <= F.lit(self.params.as_of))
-            .select(
-                (k * LINE_SLOT + slot + F.col("p.part")).alias("payment_key"),
-                F.concat(F.lit(" RCP/"), (k * LINE_SLOT + slot + F.col("p.part")).cast("string")).alias("receipt_number"),
-                F.when(k % 97 == 0, F.concat(F.lit("ADV/"), _padded(k)))
-                .otherwise(self._invoice_number(k, series))
-                .alias("invoice_number"),
-                F.col("cust").alias("customer_key"),
-                F.col("p.day").alias("payment_date"),
-                F.col("p.paid").alias("amount_inr"),
-                F.when(k % 3 == 0, "Wire ").when(k % 3 == 1, " Cheque").otherwise("Transfer").alias("payment_mode"),
+            .agg(expr("sum(total_amount) as gross"), expr("min(due_day) as due_day"), expr("min(cust) as cust"))
+            .selectExpr("k", "series", "cust", f"inline({parts})")
+            .where(f"day <= {dates.day(self.params.as_of)}")
+            .selectExpr("*", f"k * {LINE_SLOT} + case series when 'A' then 0 when 'B' then 2 else 4 end + part as payment_key")
+            .selectExpr(
+                "payment_key",
+                "concat(' RCP/', cast(payment_key as string)) as receipt_number",
+                f"if(k % 97 = 0, concat('ADV/', {_padded('k')}), {_invoice_number('k', 'series')}) as invoice_number",
+                "cust as customer_key",
+                "day as payment_date",
+                "paid as amount_inr",
+                "case k % 3 when 0 then 'Wire ' when 1 then ' Cheque' else 'Transfer' end as payment_mode",
             )
         )
 
@@ -333,67 +315,59 @@ class TableFeeds(Feeds):
     @cached_property
     def exceptions(self) -> DataFrame:
         """Three consecutive events fall on one job; 1 in 50 names a job that does not exist."""
-        e, user = F.col("event_id"), F.col("user_id")
-        job = F.when(e % 50 == 49, -e).otherwise(e - e % 3)
-        raised = F.col("ts").cast("date")
-        is_open = e % 7 == 0
-        kind = F.col("event_type")
-        type_key = (
-            F.when(kind == "click", 1).when(kind == "error", 2).when(kind == "purchase", 3).when(kind == "signup", 4)
-            .when(kind == "view", 5)
-        )
-        return self.table("events").select(
-            e.alias("exception_key"),
-            job.alias("shipment_key"),
-            self._job_number(job).alias("job_number"),
-            type_key.cast("long").alias("exception_type_key"),
-            F.pmod(job, F.lit(CARRIERS)).alias("carrier_key"),
-            user.alias("customer_key"),
-            (user % BRANCHES).alias("branch_key"),
-            raised.alias("raised_date"),
-            F.when(~is_open, dates.plus_days(raised, 1 + e % 6)).alias("resolved_date"),
-            (F.floor("value") % 10).cast("int").alias("delay_days_attributed"),
-            F.when(is_open, " Open").otherwise("Resolved").alias("exception_status"),
+        return (
+            self.table("events")
+            .selectExpr("*", "if(event_id % 50 = 49, -event_id, event_id - event_id % 3) as job", "cast(ts as date) as raised")
+            .selectExpr(
+                "event_id as exception_key",
+                "job as shipment_key",
+                f"{_job_number('job')} as job_number",
+                """cast(case event_type when 'click' then 1 when 'error' then 2 when 'purchase' then 3 when 'signup' then 4
+                        when 'view' then 5 end as bigint) as exception_type_key""",
+                f"pmod(job, {CARRIERS}L) as carrier_key",
+                "user_id as customer_key",
+                f"user_id % {BRANCHES} as branch_key",
+                "raised as raised_date",
+                f"if(event_id % 7 = 0, null, {dates.plus_days('raised', '1 + event_id % 6')}) as resolved_date",
+                "cast(floor(value) % 10 as int) as delay_days_attributed",
+                "if(event_id % 7 = 0, ' Open', 'Resolved') as exception_status",
+            )
         )
 
     # ------------------------------------------------------------- run log --
     @cached_property
     def event_batches(self) -> DataFrame:
-        """Events with the source they came from and the hourly batch they were landed in."""
-        return self.table("events").select(
+        """Events with the source they came from and the hour they were landed in."""
+        return self.table("events").selectExpr(
             "event_id",
-            "ts",
             "event_type",
-            F.col("value").cast("decimal(12,2)").alias("seconds"),
-            (_midnight(F.col("ts")) + F.make_dt_interval(F.lit(0), F.hour("ts"))).alias("hour"),
-            F.when(F.col("event_type").isin("click", "view"), "Operations").otherwise("Finance").alias("source_system"),
+            "cast(value as decimal(12,2)) as seconds",
+            f"{_midnight('ts')} + make_dt_interval(0, hour(ts)) as hour",
+            "if(event_type in ('click', 'view'), 'Operations', 'Finance') as source_system",
         )
 
     @cached_property
     def pipeline_runs(self) -> DataFrame:
-        hour, source = F.col("hour"), F.col("source_system")
-        failed = F.col("processed") % 17 == 0
+        failed = "processed % 17 = 0"
         # Whole hours since the epoch, two sources each.
-        hour_no = F.datediff(hour.cast("date"), F.lit("1970-01-01").cast("date")).cast("long") * 24 + F.hour(hour)
+        hour_no = "cast(datediff(cast(hour as date), date'1970-01-01') as bigint) * 24 + hour(hour)"
         return (
             self.event_batches.groupBy("hour", "source_system")
             .agg(
-                F.count("*").alias("processed"),
-                F.count_if(F.col("event_type") == "error").alias("rejected"),
-                F.max("seconds").alias("seconds"),
+                expr("count(*) as processed"), expr("count_if(event_type = 'error') as rejected"), expr("max(seconds) as seconds")
             )
-            .select(
-                (hour_no * 2 + F.when(source == "Finance", 1).otherwise(0)).alias("run_key"),
-                (hour + F.expr("interval '12' minute")).alias("run_timestamp"),
-                hour.cast("date").alias("run_date"),
-                F.concat(source, F.lit(" ")).alias("source_system"),
-                F.lit(" Ingest").alias("pipeline_stage"),
-                batch_name(source, hour).alias("batch_id"),
-                F.col("processed").alias("records_processed"),
-                F.col("rejected").alias("records_rejected"),
-                F.col("seconds").alias("execution_seconds"),
-                rules.run_status(failed, F.col("rejected")).alias("run_status"),
-                F.when(failed, "extraction error").alias("error_message"),
+            .selectExpr(
+                f"({hour_no}) * 2 + if(source_system = 'Finance', 1, 0) as run_key",
+                "hour + interval '12' minute as run_timestamp",
+                "cast(hour as date) as run_date",
+                "concat(source_system, ' ') as source_system",
+                "' Ingest' as pipeline_stage",
+                f"{batch_name('source_system', 'hour')} as batch_id",
+                "processed as records_processed",
+                "rejected as records_rejected",
+                "seconds as execution_seconds",
+                f"{rules.run_status(failed, 'rejected')} as run_status",
+                f"if({failed}, 'extraction error', null) as error_message",
             )
         )
 
@@ -401,48 +375,39 @@ class TableFeeds(Feeds):
     @cached_property
     def export_batches(self) -> DataFrame:
         """Every job as exported in 1 to 3 daily batches; later ones amend the promise and the status."""
-        k, n = F.col("k"), F.col("n")
-        loaded = _midnight(F.col("booking")) + F.make_dt_interval(n, (k % 24).cast("int"))
-        return (
-            self.timeline.withColumn("n", F.explode(F.sequence(F.lit(0), (k % 3).cast("int"))))
-            .select(
-                k.alias("shipment_key"),
-                F.concat(F.lit("JOB-"), _padded(k)).alias("job_number"),
-                F.concat(F.lit("exp-"), _digits(F.date_add("booking", n))).alias("batch_id"),
-                loaded.alias("loaded_at"),
-                dates.plus_days(F.col("committed"), n * 2).alias("committed_delivery_date"),
-                F.when(n == 0, "Booked").when(n == 1, "In Transit").otherwise("Delivered").alias("shipment_status"),
-            )
+        return self.timeline.selectExpr("*", "explode(sequence(0, cast(k % 3 as int))) as n").selectExpr(
+            "k as shipment_key",
+            f"concat('JOB-', {_padded('k')}) as job_number",
+            f"concat('exp-', {_digits('date_add(booking, n)')}) as batch_id",
+            f"{_midnight('booking')} + make_dt_interval(n, cast(k % 24 as int)) as loaded_at",
+            f"{dates.plus_days('committed', 'n * 2')} as committed_delivery_date",
+            "case n when 0 then 'Booked' when 1 then 'In Transit' else 'Delivered' end as shipment_status",
         )
 
     @cached_property
     def batch_arrivals(self) -> DataFrame:
         """Deliveries of hourly batches; every fifth hour's batch is delivered a second time, amended."""
-        hour, source, n = F.col("hour"), F.col("source_system"), F.col("n")
-        copies = F.when(F.hour(hour) % 5 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
         return (
             self.event_batches.groupBy("hour", "source_system")
-            .agg(F.count("*").alias("row_count"))
-            .withColumn("n", F.explode(copies))
-            .select(
-                batch_name(source, hour).alias("batch_id"),
-                source,
-                (hour + F.make_dt_interval(F.lit(0), F.lit(1) + n, F.lit(12))).alias("delivered_at"),
-                (F.col("row_count") + n).alias("row_count"),
+            .agg(expr("count(*) as rows_in"))
+            .selectExpr("*", "explode(if(hour(hour) % 5 = 0, array(0, 1), array(0))) as n")
+            .selectExpr(
+                f"{batch_name('source_system', 'hour')} as batch_id",
+                "source_system",
+                "hour + make_dt_interval(0, 1 + n, 12) as delivered_at",
+                "rows_in + n as row_count",
             )
         )
 
     @cached_property
     def raw_receipts(self) -> DataFrame:
         """Untyped receipt export with unreadable amounts and dates among the good ones."""
-        k = F.col("o_orderkey")
-        day = F.col("o_orderdate").cast("date")
-        return self.table("orders").select(
-            k.alias("receipt_key"),
-            F.concat(F.lit("rcp-"), F.substring(day.cast("string"), 1, 7)).alias("batch_id"),
-            F.when(k % 53 == 0, "n/a").when(k % 59 == 0, F.lit(None).cast("string"))
-            .otherwise(F.col("o_totalprice").cast("decimal(14,2)").cast("string")).alias("amount_text"),
-            F.when(k % 71 == 0, "2001-13-45").otherwise(day.cast("string")).alias("date_text"),
+        return self.table("orders").selectExpr(
+            "o_orderkey as receipt_key",
+            "concat('rcp-', substring(cast(cast(o_orderdate as date) as string), 1, 7)) as batch_id",
+            """case when o_orderkey % 53 = 0 then 'n/a' when o_orderkey % 59 = 0 then null
+                    else cast(cast(o_totalprice as decimal(14,2)) as string) end as amount_text""",
+            "if(o_orderkey % 71 = 0, '2001-13-45', cast(cast(o_orderdate as date) as string)) as date_text",
         )
 
     # ---------------------------------------------------------- dimensions --
@@ -460,79 +425,67 @@ class TableFeeds(Feeds):
 
     @cached_property
     def dim_branch(self) -> DataFrame:
-        key = F.col("r_regionkey").cast("long")
-        return self.table("region").select(
-            key.alias("branch_key"),
-            F.concat(F.lit("BR-"), key.cast("string")).alias("branch_code"),
-            F.initcap("r_name").alias("branch_name"),
-            F.concat(F.lit("City "), key.cast("string")).alias("city"),
-            F.concat(F.lit("State "), key.cast("string")).alias("state"),
-            (key == 0).alias("is_hq"),
+        return self.table("region").selectExpr(
+            "cast(r_regionkey as bigint) as branch_key",
+            "concat('BR-', cast(r_regionkey as string)) as branch_code",
+            "initcap(r_name) as branch_name",
+            "concat('City ', cast(r_regionkey as string)) as city",
+            "concat('State ', cast(r_regionkey as string)) as state",
+            "r_regionkey = 0 as is_hq",
         )
 
     @cached_property
     def dim_carrier(self) -> DataFrame:
-        key = F.col("s_suppkey")
-        air = key % 2 == 1
-        return self.table("supplier").select(
-            key.alias("carrier_key"),
-            F.concat(F.lit("CAR-"), _padded(key)).alias("carrier_code"),
-            F.col("s_name").alias("carrier_name"),
-            F.when(air, "Air").otherwise("Ocean").alias("carrier_mode"),
-            F.when(air, "Airline").otherwise("Vessel operator").alias("carrier_type"),
-            F.concat(F.lit("Nation "), F.col("s_nationkey").cast("string")).alias("primary_lanes"),
-            F.date_add(F.lit("1990-01-01").cast("date"), (key % 1000).cast("int")).alias("contract_start_date"),
-            (key % 50 != 49).alias("is_active"),
+        return self.table("supplier").selectExpr(
+            "s_suppkey as carrier_key",
+            f"concat('CAR-', {_padded('s_suppkey')}) as carrier_code",
+            "s_name as carrier_name",
+            "if(s_suppkey % 2 = 1, 'Air', 'Ocean') as carrier_mode",
+            "if(s_suppkey % 2 = 1, 'Airline', 'Vessel operator') as carrier_type",
+            "concat('Nation ', cast(s_nationkey as string)) as primary_lanes",
+            "date_add(date'1990-01-01', cast(s_suppkey % 1000 as int)) as contract_start_date",
+            "s_suppkey % 50 != 49 as is_active",
         )
 
     @cached_property
     def dim_customer(self) -> DataFrame:
-        key = F.col("c_custkey")
-        branch = key % BRANCHES
-        return self.table("customer").select(
-            key.alias("customer_key"),
-            F.concat(F.lit("CUST-"), _padded(key)).alias("customer_code"),
-            F.concat(F.col("c_name"), F.lit(" (Debtors)")).alias("tally_ledger_name"),
-            F.col("c_name").alias("customer_name"),
-            F.initcap("c_mktsegment").alias("industry_segment"),
-            F.concat(F.lit("City "), branch.cast("string")).alias("city"),
-            F.concat(F.lit("State "), F.col("c_nationkey").cast("string")).alias("state"),
-            F.concat(F.lit("BR-"), branch.cast("string")).alias("home_branch"),
-            self._terms(key).alias("payment_terms_days"),
-            (1000000 + (key % 10) * 500000).alias("credit_limit_inr"),
-            F.date_add(F.lit("1985-01-01").cast("date"), (key % 3000).cast("int")).alias("customer_since"),
-            F.concat(F.lit("Manager "), (key % 7).cast("string")).alias("kam_owner"),
-            (key % 40 != 39).alias("is_active"),
+        return self.table("customer").selectExpr(
+            "c_custkey as customer_key",
+            f"concat('CUST-', {_padded('c_custkey')}) as customer_code",
+            "concat(c_name, ' (Debtors)') as tally_ledger_name",
+            "c_name as customer_name",
+            "initcap(c_mktsegment) as industry_segment",
+            f"concat('City ', cast(c_custkey % {BRANCHES} as string)) as city",
+            "concat('State ', cast(c_nationkey as string)) as state",
+            f"concat('BR-', cast(c_custkey % {BRANCHES} as string)) as home_branch",
+            f"{_terms('c_custkey')} as payment_terms_days",
+            "1000000 + (c_custkey % 10) * 500000 as credit_limit_inr",
+            "date_add(date'1985-01-01', cast(c_custkey % 3000 as int)) as customer_since",
+            "concat('Manager ', cast(c_custkey % 7 as string)) as kam_owner",
+            "c_custkey % 40 != 39 as is_active",
         )
 
     @cached_property
     def dim_origin_port(self) -> DataFrame:
-        return self._ports("Origin", F.concat(F.col("n_name"), F.lit(" — Terminal (North)")))
+        return self._ports("Origin", "concat(n_name, ' — Terminal (North)')")
 
     @cached_property
     def dim_destination_port(self) -> DataFrame:
-        k = F.col("n_nationkey")
-        name = (
-            F.when(k % 3 == 0, F.concat(F.lit("Port of "), F.col("n_name")))
-            .when(k % 3 == 1, F.concat(F.col("n_name"), F.lit(" Port")))
-            .otherwise(F.concat(F.col("n_name"), F.lit(" International Airport")))
+        return self._ports(
+            "Destination",
+            """case n_nationkey % 3 when 0 then concat('Port of ', n_name) when 1 then concat(n_name, ' Port')
+                    else concat(n_name, ' International Airport') end""",
         )
-        return self._ports("Destination", name)
-
-    def _ports(self, role: str, name: Column) -> DataFrame:
-        key = F.col("n_nationkey").cast("long")
-        regions = self.table("region").select(F.col("r_regionkey").alias("n_regionkey"), "r_name")
-        return self.table("nation").join(regions, "n_regionkey", "left").select(
-            key.alias("port_key"),
-            F.concat(F.lit(role[0]), F.lit("-"), F.lpad(key.cast("string"), 3, "0")).alias("port_code"),
-            name.alias("port_name"),
-            F.when(key % 3 == 2, "Airport").otherwise("Seaport").alias("port_type"),
-            F.concat(F.lit("City "), key.cast("string")).alias("city"),
-            F.col("n_name").alias("country"),
-            F.initcap("r_name").alias("region"),
-            F.lit(role).alias("trade_lane_role"),
-        )
-
 
-def batch_name(source: Column, hour: Column) -> Column:
-    return F.concat(F.when(source == "Operations", "ops-").otherwise("fin-"), _digits(hour.cast("date")), F.lit("-"), F.lpad(F.hour(hour).cast("string"), 2, "0"))
+    def _ports(self, role: str, name: str) -> DataFrame:
+        regions = self.table("region").selectExpr("r_regionkey as n_regionkey", "initcap(r_name) as region")
+        return self.table("nation").join(regions, "n_regionkey", "left").selectExpr(
+            "cast(n_nationkey as bigint) as port_key",
+            f"concat('{role[0]}-', lpad(cast(n_nationkey as string), 3, '0')) as port_code",
+            f"{name} as port_name",
+            "if(n_nationkey % 3 = 2, 'Airport', 'Seaport') as port_type",
+            "concat('City ', cast(n_nationkey as string)) as city",
+            "n_name as country",
+            "region",
+            f"'{role}' as trade_lane_role",
+        )

@@ -100,7 +100,10 @@ def otd_by_carrier(shipments: DataFrame, dim_carrier: DataFrame, params: Params)
 
 
 def margin_metrics(booked: DataFrame, dim_customer: DataFrame, params: Params) -> DataFrame:
-    """One row: focus margin share, margin-rate uplift and surcharge capture, over billed jobs."""
+    """One row: focus margin share, margin-rate uplift, surcharge capture and billing lag, over billed jobs.
+
+    A job has a billing lag only if it is billed, so the mean lag belongs to the same pass.
+    """
     before, quarter = f"booking_date < {day(params.go_live)}", f"booking_date >= {day(params.last_quarter_start)}"
     costed = f"{before} and surcharge_cost_inr > 0"
 
@@ -119,6 +122,7 @@ def margin_metrics(booked: DataFrame, dim_customer: DataFrame, params: Params) -
         expr(f"{rate(quarter)} - {rate(before)} as margin_uplift"),
         expr(f"{capture(f'{costed} and is_problem')} as capture_focus"),
         expr(f"{capture(f'{costed} and not is_problem')} as capture_others"),
+        expr("avg(billing_lag_days) as billing_lag"),
     )
 
 
@@ -173,7 +177,6 @@ def outcome_metrics(facts: Mapping[str, DataFrame], booked: DataFrame, dims: Map
         _long(jobs),
         carriers,
         _long(margins),
-        _long(billing_lag(booked)),
         _long(orphans),
         _long(unmatched_rate(facts["fact_invoice_lines"])),
     ]

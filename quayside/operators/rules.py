@@ -104,9 +104,12 @@ def invoices_matched(feeds: Feeds) -> DataFrame:
     is_first = f"invoice_type = 'Original' and shipment_key is not null and {_VOUCHER_ORDER} = first_voucher"
     lag = days_between("job_completion_date", "invoice_date")
     return (
-        matched.selectExpr("*", "shipment_key is not null as is_matched", f"coalesce({is_first}, false) as is_first_original_invoice")
-        .selectExpr("*", f"if(is_first_original_invoice, {lag}, null) as billing_lag_days")
-        .drop("ref", "first_voucher")
+        matched.selectExpr(
+            *lines.columns, "shipment_key", "job_completion_date",
+            "shipment_key is not null as is_matched",
+            f"coalesce({is_first}, false) as is_first_original_invoice",
+            f"if(is_first_original_invoice, {lag}, null) as billing_lag_days",
+        )
     )
 
 

@@ -13,12 +13,14 @@ MAX_PARTITIONS = 50_000
 
 # Adaptive execution splits a hot key's partition on the streamed side of a join; the force
 # flag keeps that split even where the next aggregate needs one more exchange because of it.
-ADAPTIVE = {
+DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # HotSpot leaves methods above 8000 bytes uncompiled; wide projections then run split instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -29,7 +31,7 @@ def tune(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
     never splits ordinary ones, so it is derived from the input size with no upper use of memory.
     """
     chosen = spark.conf.getAll
-    for key, value in ADAPTIVE.items():
+    for key, value in DEFAULTS.items():
         if key not in chosen:
             spark.conf.set(key, value)
     width_key = "spark.sql.shuffle.partitions"

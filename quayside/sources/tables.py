@@ -15,6 +15,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.functions import expr
+from pyspark.sql.types import StructType
 
 from quayside.functions import dates, money, rules
 from quayside.functions.text import literal
@@ -94,6 +95,10 @@ def batch_name(source: str, hour: str) -> str:
     return f"concat(if({source} = 'Operations', 'ops-', 'fin-'), {_digits(f'cast({hour} as date)')}, '-', lpad(cast(hour({hour}) as string), 2, '0'))"
 
 
+# Schemas already read from a file footer in this process; the footer job is not repeated.
+_SCHEMAS: dict[str, StructType] = {}
+
+
 class TableFeeds(Feeds):
     """Feeds and dimensions over `<path>/<table>.parquet`."""
 
@@ -109,7 +114,12 @@ class TableFeeds(Feeds):
 
     def table(self, name: str) -> DataFrame:
         if name not in self._tables:
-            self._tables[name] = self.spark.read.parquet(f"{self.path}/{name}.parquet")
+            path = f"{self.path}/{name}.parquet"
+            if path in _SCHEMAS:
+                self._tables[name] = self.spark.read.schema(_SCHEMAS[path]).parquet(path)
+            else:
+                self._tables[name] = self.spark.read.parquet(path)
+                _SCHEMAS[path] = self._tables[name].schema
         return self._tables[name]
 
     def _values(self, rows: str) -> DataFrame:
@@ -119,21 +129,17 @@ class TableFeeds(Feeds):
     @cached_property
     def timeline(self) -> DataFrame:
         """One row per job with its full planned timeline, before the as-of mask."""
-        return (
-            self.table("orders")
-            .selectExpr(
-                "o_orderkey as k",
-                "o_custkey as cust",
-                "cast(o_orderdate as date) as booking",
-                "cast(3 + (o_orderkey * 13) % 35 as int) as committed_days",
-                f"cast((o_orderkey * 17) % 13 - 9 + if(o_orderkey % {CARRIERS} = 5, 3, 0) as int) as drift",
-            )
-            .selectExpr("*", "greatest(1, committed_days + drift) as actual_days", f"{dates.plus_days('booking', '2 + k % 14')} as etd")
-            .selectExpr(
-                "*", f"{dates.plus_days('etd', 'committed_days')} as committed", f"{dates.plus_days('etd', 'k % 3')} as departed"
-            )
-            .selectExpr("*", f"{dates.plus_days('departed', 'actual_days')} as delivered")
-            .selectExpr("*", f"{dates.plus_days('delivered', 'k % 5')} as completed")
+        return self.table("orders").selectExpr(
+            "o_orderkey as k",
+            "o_custkey as cust",
+            "cast(o_orderdate as date) as booking",
+            "cast(3 + (k * 13) % 35 as int) as committed_days",
+            f"greatest(1, committed_days + cast((k * 17) % 13 - 9 + if(k % {CARRIERS} = 5, 3, 0) as int)) as actual_days",
+            f"{dates.plus_days('booking', '2 + k % 14')} as etd",
+            f"{dates.plus_days('etd', 'committed_days')} as committed",
+            f"{dates.plus_days('etd', 'k % 3')} as departed",
+            f"{dates.plus_days('departed', 'actual_days')} as delivered",
+            f"{dates.plus_days('delivered', 'k % 5')} as completed",
         )
 
     @cached_property
@@ -186,15 +192,17 @@ class TableFeeds(Feeds):
     @cached_property
     def charge_base(self) -> DataFrame:
         """One row per (job, line): the table repeats pairs, so they are collapsed before the join."""
-        cost = money.scaled(money.amount("l_extendedprice"), "0.7")
         return (
             self.table("lineitem")
-            .selectExpr("l_orderkey as k", "cast(l_linenumber as bigint) as line", f"{cost} as cost", "l_suppkey as supplier")
-            .groupBy("k", "line")
-            .agg(expr("max(cost) as cost"), expr("min(supplier) as supplier"))
+            .groupBy("l_orderkey", "l_linenumber")
+            .agg(expr("max(l_extendedprice) as price"), expr("min(l_suppkey) as supplier"))
+            .withColumnRenamed("l_orderkey", "k")
             .join(self.jobs.select("k", "cust", "booking", "completed"), "k")
             .selectExpr(
-                "*", "1 + (k + 4 * line) % 15 as charge_type", f"{dates.plus_days('booking', '(k * 7 + line * 11) % 60')} as charge_day"
+                "k", "cast(l_linenumber as bigint) as line", "supplier", "cust", "booking", "completed",
+                f"{money.scaled(money.amount('price'), '0.7')} as cost",
+                "1 + (k + 4 * line) % 15 as charge_type",
+                f"{dates.plus_days('booking', '(k * 7 + line * 11) % 60')} as charge_day",
             )
         )
 
@@ -223,38 +231,35 @@ class TableFeeds(Feeds):
         return (
             self.charge_base.where("completed is not null and k % 20 != 0")
             .selectExpr(
-                "k", "line", "cust", "charge_type", "completed",
+                "k", "line", "cust", "charge_type",
                 "case when line <= 3 then 'A' when line = 4 then 'B' else 'S' end as series",
-                f"{money.scaled('cost', '1.2')} as line_amount",
-            )
-            .selectExpr(
-                "*",
                 f"{dates.plus_days('completed', f'2 + (k * 11) % 14 + {delay}')} as invoice_day",
+                f"{dates.plus_days('invoice_day', _terms('cust'))} as due_day",
+                f"{money.scaled('cost', '1.2')} as line_amount",
                 f"if(charge_type <= 2, {low}, {high}) as tax_amount",
+                f"{money.amount('line_amount + tax_amount')} as total_amount",
             )
             .where(f"invoice_day <= {dates.day(self.params.as_of)}")
-            .selectExpr(
-                "*", f"{dates.plus_days('invoice_day', _terms('cust'))} as due_day", f"{money.amount('line_amount + tax_amount')} as total_amount"
-            )
         )
 
     @cached_property
     def invoice_lines(self) -> DataFrame:
         number = _invoice_number("k", "series")
-        sales = self.billed_lines.selectExpr("*", f"k * {LINE_SLOT} + line as key", f"{number} as number").selectExpr(
-            "key as invoice_line_key",
-            "concat(number, if(key % 13 = 0, ' ', '')) as invoice_number",
-            """case when key % 997 = 0 then ' Debit Note '
-                    when series != 'S' then if(key % 3 = 0, 'ORIGINAL', 'Original ')
-                    else if(key % 3 = 0, ' supplementary', 'Supplementary') end as invoice_type""",
+        key = f"(k * {LINE_SLOT} + line)"
+        sales = self.billed_lines.selectExpr(
+            f"{key} as invoice_line_key",
+            f"concat({number}, if({key} % 13 = 0, ' ', '')) as invoice_number",
+            f"""case when {key} % 997 = 0 then ' Debit Note '
+                    when series != 'S' then if({key} % 3 = 0, 'ORIGINAL', 'Original ')
+                    else if({key} % 3 = 0, ' supplementary', 'Supplementary') end as invoice_type""",
             "invoice_day as invoice_date",
             "due_day as due_date",
             "cust as customer_key",
-            f"""case when key % 211 = 0 then null when key % 67 = 0 then concat('JOB-', {_padded('k')}, 'XX')
+            f"""case when {key} % 211 = 0 then null when {key} % 67 = 0 then concat('JOB-', {_padded('k')}, 'XX')
                      else {_job_number('k')} end as job_number""",
             f"cust % {BRANCHES} as branch_key",
             "charge_type as charge_type_key",
-            "concat('Line ', cast(line as string), ' of ', number) as line_description",
+            f"concat('Line ', cast(line as string), ' of ', {number}) as line_description",
             "line_amount as line_amount_inr",
             "tax_amount as tax_amount_inr",
             "total_amount as total_amount_inr",
@@ -317,18 +322,17 @@ class TableFeeds(Feeds):
         """Three consecutive events fall on one job; 1 in 50 names a job that does not exist."""
         return (
             self.table("events")
-            .selectExpr("*", "if(event_id % 50 = 49, -event_id, event_id - event_id % 3) as job", "cast(ts as date) as raised")
             .selectExpr(
                 "event_id as exception_key",
-                "job as shipment_key",
-                f"{_job_number('job')} as job_number",
+                "if(event_id % 50 = 49, -event_id, event_id - event_id % 3) as shipment_key",
+                f"{_job_number('shipment_key')} as job_number",
                 """cast(case event_type when 'click' then 1 when 'error' then 2 when 'purchase' then 3 when 'signup' then 4
                         when 'view' then 5 end as bigint) as exception_type_key""",
-                f"pmod(job, {CARRIERS}L) as carrier_key",
+                f"pmod(shipment_key, {CARRIERS}L) as carrier_key",
                 "user_id as customer_key",
                 f"user_id % {BRANCHES} as branch_key",
-                "raised as raised_date",
-                f"if(event_id % 7 = 0, null, {dates.plus_days('raised', '1 + event_id % 6')}) as resolved_date",
+                "cast(ts as date) as raised_date",
+                f"if(event_id % 7 = 0, null, {dates.plus_days('raised_date', '1 + event_id % 6')}) as resolved_date",
                 "cast(floor(value) % 10 as int) as delay_days_attributed",
                 "if(event_id % 7 = 0, ' Open', 'Resolved') as exception_status",
             )
@@ -339,7 +343,6 @@ class TableFeeds(Feeds):
     def event_batches(self) -> DataFrame:
         """Events with the source they came from and the hour they were landed in."""
         return self.table("events").selectExpr(
-            "event_id",
             "event_type",
             "cast(value as decimal(12,2)) as seconds",
             f"{_midnight('ts')} + make_dt_interval(0, hour(ts)) as hour",

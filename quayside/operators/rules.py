@@ -139,19 +139,42 @@ def payment_rollup(payments: DataFrame) -> DataFrame:
     )
 
 
+def netted_invoices(lines: DataFrame) -> DataFrame:
+    """Receivable invoices with the credit notes against them, in one pass over the lines.
+
+    A credit-note line is grouped under the invoice it names and any other line under its
+    own, so rolling up and netting take a single scan and shuffle. Groups made of credit
+    notes alone name no known invoice and drop out, as does a note naming none.
+    """
+    own = "invoice_type != 'Credit Note'"
+    target = credited_invoice("line_description")
+    smallest = ("customer_key", "branch_key", "invoice_date", "due_date")
+    return (
+        lines.where(f"{own} or (invoice_type = 'Credit Note' and {target} is not null)")
+        .selectExpr(
+            f"if({own}, invoice_number, {target}) as invoice_number", f"{own} as own", *smallest, "total_amount_inr"
+        )
+        .groupBy("invoice_number")
+        .agg(
+            *[expr(f"min(if(own, {c}, null)) as {c}") for c in smallest],
+            expr("sum(if(own, total_amount_inr, null)) as gross_total_inr"),
+            expr("sum(if(own, null, total_amount_inr)) as credited_inr"),
+            expr("max(own) as is_receivable"),
+        )
+        .where("is_receivable")
+        .drop("is_receivable")
+    )
+
+
 @shared
 def invoice_settlement(feeds: Feeds, params: Params) -> DataFrame:
     """One row per receivable invoice with balance and ageing.
 
     Reads the staged lines directly: matching to jobs adds columns that nothing here uses.
-    All three inputs are aggregates keyed on the invoice number, so the joins add no shuffle.
+    Both inputs are aggregates keyed on the invoice number, so the join adds no shuffle.
     """
-    lines = staging.stg_invoice_lines(feeds)
-    joined = (
-        invoice_rollup(lines)
-        .join(credit_note_netting(lines), "invoice_number", "left")
-        .join(payment_rollup(staging.stg_payments(feeds)), "invoice_number", "left")
-    )
+    invoices = netted_invoices(staging.stg_invoice_lines(feeds))
+    joined = invoices.join(payment_rollup(staging.stg_payments(feeds)), "invoice_number", "left")
     due = R.balance("invoice_total_inr", "amount_received_inr")
     return joined.selectExpr(
         "invoice_number", "customer_key", "branch_key", "invoice_date", "due_date",

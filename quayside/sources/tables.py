@@ -5,8 +5,8 @@ only, so another SQL engine reproduces the rows exactly. The text is left as unt
 a real export (spaces, mixed case, spelling variants, missing and mistyped references),
 so that staging has work to do.
 
-No feed carries a broadcast hint. The fixed lists are inline `VALUES`, whose exact size
-Catalyst knows; every table read from a file is left to its size statistics.
+Only the fixed lists, spelled out below as inline `VALUES`, carry a broadcast hint; every
+table read from a file is left to its size statistics.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.functions import expr
+from pyspark.sql.functions import broadcast, expr
 from pyspark.sql.types import StructType
 
 from quayside.functions import dates, money, rules
@@ -123,7 +123,8 @@ class TableFeeds(Feeds):
         return self._tables[name]
 
     def _values(self, rows: str) -> DataFrame:
-        return self.spark.sql(f"SELECT * FROM {rows}")
+        """An inline list; its few rows are spelled out here, which is what allows the hint."""
+        return broadcast(self.spark.sql(f"SELECT * FROM {rows}"))
 
     # ---------------------------------------------------------------- jobs --
     @cached_property

@@ -12,7 +12,8 @@ from quayside import session
 from quayside.operators import ingest, kpi, mart, quality, rules, staging
 from quayside.params import DRIVER, Params
 from quayside.plans import build, checks
-from quayside.sources.tables import TableFeeds
+from quayside.sources.tables import TableFeeds, batch_name
+from quayside.streaming import landing
 
 QUERIES: dict[str, Callable[[TableFeeds, Params], DataFrame]] = {}
 
@@ -416,3 +417,40 @@ def ar_summary(feeds, params):
 @query
 def dim_date(feeds, params):
     return ingest.dim_date(mart.fact_shipments(feeds))
+
+
+# ---------------------------------------------------------------- streaming --
+def _landed(feeds, label, build_stream):
+    """Run a stream over the whole events table to its end and read back what it landed."""
+    root = session.shared_folder(feeds.spark, label)
+    # As a glob the table may be one file or a folder of them.
+    events = landing.file_stream(feeds.spark, f"{feeds.path}/events.parquet*", feeds.table("events").schema)
+    landing.land(build_stream(events), f"{root}/table", f"{root}/checkpoint").awaitTermination()
+    return feeds.spark.read.parquet(f"{root}/table")
+
+
+@query
+def stream_hourly_counts(feeds, params):
+    """Event rows and rejects per source and closed hour, from a watermarked stream."""
+    runs = (
+        "ts as run_timestamp",
+        "if(event_type in ('click', 'view'), 'Operations', 'Finance') as source_system",
+        "1L as records_processed",
+        "if(event_type = 'error', 1L, 0L) as records_rejected",
+    )
+    return _landed(feeds, "hourly", lambda events: landing.hourly_run_log(events.selectExpr(*runs)))
+
+
+@query
+def stream_batch_dedup(feeds, params):
+    """Each hourly batch fingerprint once, however many of its rows arrive."""
+    name = batch_name("source_system", "hour")
+    hour = "cast(cast(ts as date) as timestamp_ntz) + make_dt_interval(0, hour(ts)) as hour"
+    source = "if(event_type in ('click', 'view'), 'Operations', 'Finance') as source_system"
+
+    def arrivals(events):
+        return landing.skip_repeated_batches(
+            events.selectExpr("ts as delivered_at", hour, source).selectExpr("delivered_at", f"{name} as batch_id")
+        ).select("batch_id")
+
+    return _landed(feeds, "batches", arrivals)

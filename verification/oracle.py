@@ -527,6 +527,11 @@ _STATEMENTS = {
         select date_trunc('hour', run_timestamp) as hour, source_system, count(*) as runs,
                cast(sum(records_processed) as bigint) as records_processed, cast(sum(records_rejected) as bigint) as records_rejected
         from fact_pipeline_runs group by 1, 2""",
+    "stream_hourly_counts": """
+        select hour, source_system, records_processed as runs, records_processed, records_rejected
+        from (select *, date_trunc('hour', run_timestamp) as hour from runs_feed)
+        where hour + interval 3 hour <= (select max(ts) from events)""",
+    "stream_batch_dedup": "select distinct batch_id from runs_feed",
     "run_status": """
         select source_system, run_status, count(*) as runs, cast(sum(records_processed) as bigint) as records_processed,
                count(error_message) as errors from fact_pipeline_runs group by 1, 2""",

@@ -16,14 +16,19 @@ def lookup(left: DataFrame, dim: DataFrame, key: str, columns: dict[str, str], d
     return left.join(right, key, "left")
 
 
-def reference(key: str, row_id: str) -> str:
-    """Join key for a typed job reference.
+def match_to_jobs(rows: DataFrame, row_id: str, jobs: DataFrame) -> DataFrame:
+    """Left join of rows to jobs on the job reference as typed; `jobs.job_number` is dropped.
 
     A missing reference can match nothing, yet an outer join would send every such row to
-    one task. Each gets its own placeholder instead; job numbers are upper case, so a
-    placeholder starting in lower case never equals one.
+    one task, so each row without one joins on its own placeholder. The prefixed key also
+    gives both sides an exchange of their own whatever partitioning they arrive in, which is
+    what lets adaptive execution split a job that holds a large share of the rows.
     """
-    return f"coalesce({key}, concat('none:', cast({row_id} as string)))"
+    left = rows.withColumn(
+        "match_key", F.expr(f"coalesce(concat('job:', job_number), concat('row:', cast({row_id} as string)))")
+    )
+    right = jobs.selectExpr("concat('job:', job_number) as match_key", *[c for c in jobs.columns if c != "job_number"])
+    return left.join(right, "match_key", "left").drop("match_key")
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = 10_000) -> DataFrame:

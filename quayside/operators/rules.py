@@ -10,7 +10,7 @@ from quayside.functions import rules as R
 from quayside.functions.dates import days_between
 from quayside.functions.text import credited_invoice, lane_label
 from quayside.operators import staging
-from quayside.operators.joins import lookup, reference
+from quayside.operators.joins import lookup, match_to_jobs
 from quayside.params import Params
 from quayside.sources.frames import Feeds, shared
 
@@ -66,10 +66,9 @@ def charges_classified(feeds: Feeds) -> DataFrame:
         "charge_code",
         {c: c for c in ("charge_name", "charge_category", "is_passthrough_expected")},
     )
-    jobs = jobs_core(feeds).selectExpr("job_number as ref", "job_completion_date")
-    joined = described.withColumn("ref", expr(reference("job_number", "charge_key"))).join(jobs, "ref", "left")
+    joined = match_to_jobs(described, "charge_key", jobs_core(feeds).select("job_number", "job_completion_date"))
     flag = expr(R.post_closure("charge_date", "job_completion_date"))
-    return joined.withColumn("is_post_closure", flag).drop("ref", "job_completion_date")
+    return joined.withColumn("is_post_closure", flag).drop("job_completion_date")
 
 
 # --------------------------------------------------------------- invoices --
@@ -99,8 +98,7 @@ def invoices_matched(feeds: Feeds) -> DataFrame:
     """
     lines = staging.stg_invoice_lines(feeds)
     jobs = jobs_core(feeds).select("job_number", "shipment_key", "job_completion_date")
-    jobs = jobs.join(first_originals(lines), "job_number", "left").withColumnRenamed("job_number", "ref")
-    matched = lines.withColumn("ref", expr(reference("job_number", "invoice_line_key"))).join(jobs, "ref", "left")
+    matched = match_to_jobs(lines, "invoice_line_key", jobs.join(first_originals(lines), "job_number", "left"))
     is_first = f"invoice_type = 'Original' and shipment_key is not null and {_VOUCHER_ORDER} = first_voucher"
     lag = days_between("job_completion_date", "invoice_date")
     return (

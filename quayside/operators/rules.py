@@ -78,15 +78,15 @@ _VOUCHER_ORDER = """struct(invoice_date is null as undated, invoice_date as day,
 
 
 def first_originals(lines: DataFrame) -> DataFrame:
-    """Earliest (date, number) among the Original vouchers of each job reference.
+    """Earliest (date, number) among the Original vouchers of each job reference, NULL where there is none.
 
     One `min` per job replaces a dense rank over all of a job's lines: it combines on the
     map side, so a job with a very large share of the lines needs no single large sort.
+    The condition sits in the aggregate, which leaves the scan the same as that of the
+    lines it is joined to.
     """
-    return (
-        lines.where("invoice_type = 'Original' and job_number is not null")
-        .groupBy("job_number")
-        .agg(expr(f"min({_VOUCHER_ORDER}) as first_voucher"))
+    return lines.groupBy("job_number").agg(
+        expr(f"min(case when invoice_type = 'Original' then {_VOUCHER_ORDER} end) as first_voucher")
     )
 
 
@@ -144,19 +144,22 @@ def netted_invoices(lines: DataFrame) -> DataFrame:
     own, so rolling up and netting take a single scan and shuffle. Groups made of credit
     notes alone name no known invoice and drop out, as does a note naming none.
     """
-    own = "invoice_type != 'Credit Note'"
     target = credited_invoice("line_description")
     smallest = ("customer_key", "branch_key", "invoice_date", "due_date")
     return (
-        lines.where(f"{own} or (invoice_type = 'Credit Note' and {target} is not null)")
-        .selectExpr(
-            f"if({own}, invoice_number, {target}) as invoice_number", f"{own} as own", *smallest, "total_amount_inr"
+        lines.selectExpr(
+            "invoice_type != 'Credit Note' as own",
+            f"case when invoice_type = 'Credit Note' then {target} end as target",
+            "invoice_number as number",
+            *smallest,
+            "total_amount_inr",
         )
+        .selectExpr("if(own, number, target) as invoice_number", "own", "target", *smallest, "total_amount_inr")
         .groupBy("invoice_number")
         .agg(
             *[expr(f"min(if(own, {c}, null)) as {c}") for c in smallest],
             expr("sum(if(own, total_amount_inr, null)) as gross_total_inr"),
-            expr("sum(if(own, null, total_amount_inr)) as credited_inr"),
+            expr("sum(if(target is not null, total_amount_inr, null)) as credited_inr"),
             expr("max(own) as is_receivable"),
         )
         .where("is_receivable")
@@ -201,9 +204,10 @@ def job_revenue_pivot(lines: DataFrame, charge_types: DataFrame) -> DataFrame:
     """Pre-tax revenue per job reference, credit notes included, with the first Original date.
 
     Keyed on the reference as typed, so it aggregates before any join to the jobs:
-    joining the result to them on `job_number` keeps exactly the matched lines.
+    joining the result to them on `job_number` keeps exactly the matched lines. Lines
+    without a reference collapse into one group, which matches no job.
     """
-    typed = lookup(lines.where("job_number is not null"), charge_types, "charge_type_key", {"charge_category": "billed_as"})
+    typed = lookup(lines, charge_types, "charge_type_key", {"charge_category": "billed_as"})
     return typed.groupBy("job_number").agg(
         expr("sum(line_amount_inr) as revenue_billed_inr"),
         expr(f"{money.sum_where("billed_as = 'Surcharge'", 'line_amount_inr')} as surcharge_billed_inr"),

@@ -192,7 +192,13 @@ class TableFeeds(Feeds):
     # ------------------------------------------------------------- charges --
     @cached_property
     def charge_base(self) -> DataFrame:
-        """One row per (job, line): the table repeats pairs, so they are collapsed before the join."""
+        """One row per (job, line): the table repeats pairs, so they are collapsed before the join.
+
+        Charges, invoice lines and receipts all derive from this. What sets them apart (who is
+        billed, who pays, which references are missing) hangs on the customer or the amount and
+        not on the line's own key, so no filter of theirs moves below this aggregation and a plan
+        with several of them reads and shuffles the table once.
+        """
         return (
             self.table("lineitem")
             .groupBy("l_orderkey", "l_linenumber")
@@ -230,9 +236,9 @@ class TableFeeds(Feeds):
         delay = "case series when 'A' then 0 when 'B' then 3 * ((k + 1) % 2) else 9 end"
         low, high = money.scaled("line_amount", "0.05"), money.scaled("line_amount", "0.18")
         return (
-            self.charge_base.where("completed is not null and k % 20 != 0")
+            self.charge_base.where("completed is not null and cust % 20 != 0")
             .selectExpr(
-                "k", "line", "cust", "charge_type",
+                "k", "line", "cust", "cost", "charge_type",
                 "case when line <= 3 then 'A' when line = 4 then 'B' else 'S' end as series",
                 f"{dates.plus_days('completed', f'2 + (k * 11) % 14 + {delay}')} as invoice_day",
                 f"{dates.plus_days('invoice_day', _terms('cust'))} as due_day",
@@ -256,7 +262,7 @@ class TableFeeds(Feeds):
             "invoice_day as invoice_date",
             "due_day as due_date",
             "cust as customer_key",
-            f"""case when {key} % 211 = 0 then null when {key} % 67 = 0 then concat('JOB-', {_padded('k')}, 'XX')
+            f"""case when cast(floor(cost) as bigint) % 211 = 0 then null when {key} % 67 = 0 then concat('JOB-', {_padded('k')}, 'XX')
                      else {_job_number('k')} end as job_number""",
             f"cust % {BRANCHES} as branch_key",
             "charge_type as charge_type_key",
@@ -269,7 +275,7 @@ class TableFeeds(Feeds):
 
     def _credit_notes(self) -> DataFrame:
         return (
-            self.jobs.where("completed is not null and k % 20 != 0 and k % 83 = 0")
+            self.jobs.where("completed is not null and cust % 20 != 0 and k % 83 = 0")
             .selectExpr("*", "date_add(completed, 30) as day")
             .where(f"day <= {dates.day(self.params.as_of)}")
             .selectExpr(
@@ -300,7 +306,7 @@ class TableFeeds(Feeds):
                   struct(1 as part, {second} as day, {money.scaled('gross', '0.4')} as paid)),
             array(struct(0 as part, {first} as day, {money.amount('gross')} as paid)))"""
         return (
-            self.billed_lines.where("k % 31 != 0")
+            self.billed_lines.where("cust % 31 != 0")
             .groupBy("k", "series")
             .agg(expr("sum(total_amount) as gross"), expr("min(due_day) as due_day"), expr("min(cust) as cust"))
             .selectExpr("k", "series", "cust", f"inline({parts})")

@@ -90,7 +90,7 @@ CTES = {
                            completed + cast(2 + (k * 11) % 14
                                + case series when 'A' then 0 when 'B' then if(k % 2 = 0, 3, 0) else 9 end as integer) as invoice_day
                     from (select *, case when line < 4 then 'A' when line = 4 then 'B' else 'S' end as series
-                          from charge_base where completed is not null and k % 20 <> 0)))
+                          from charge_base where completed is not null and cust % 20 <> 0)))
         where invoice_day <= {AS_OF}""",
     "lines_feed": f"""
         select k * 100 + line as invoice_line_key, {_inv('k', 'series')} || if((k * 100 + line) % 13 = 0, ' ', '') as invoice_number,
@@ -98,7 +98,7 @@ CTES = {
                     when series = 'S' then if((k * 100 + line) % 3 = 0, ' supplementary', 'Supplementary')
                     else if((k * 100 + line) % 3 = 0, 'ORIGINAL', 'Original ') end as invoice_type,
                invoice_day as invoice_date, due_day as due_date, cust as customer_key,
-               case when (k * 100 + line) % 211 = 0 then null
+               case when cast(floor(cost) as bigint) % 211 = 0 then null
                     when (k * 100 + line) % 67 = 0 then 'JOB-' || {_pad('k')} || 'XX' else {_job('k')} end as job_number,
                cust % 5 as branch_key, charge_type as charge_type_key,
                'Line ' || cast(line as varchar) || ' of ' || {_inv('k', 'series')} as line_description,
@@ -110,7 +110,7 @@ CTES = {
                case when k % 11 = 0 then 'Goodwill'
                     else 'Credit note against ' || if(k % 5 = 1, 'OLD/0001', 'INV/' || {_pad('k')} || '/A') end,
                cast(-1000 as decimal(14,2)), cast(-180 as decimal(14,2)), cast(-1180 as decimal(14,2))
-        from jobs where completed + 30 <= {AS_OF} and k % 20 <> 0 and k % 83 = 0""",
+        from jobs where completed + 30 <= {AS_OF} and cust % 20 <> 0 and k % 83 = 0""",
     "runs_feed": """
         select epoch_ms(hour) // 3600000 * 2 + if(source = 'Finance', 1, 0) as run_key,
                hour + interval 12 minute as run_timestamp, cast(hour as date) as run_date,
@@ -200,7 +200,7 @@ CTES = {
         from lines_feed""",
     "stg_payments": f"""
         with due as (select k, series, min(cust) as cust, min(due_day) as due_day, cast(sum(total_amount) as decimal(24,2)) as gross
-                     from billed where k % 31 <> 0 group by k, series),
+                     from billed where cust % 31 <> 0 group by k, series),
              parts as (select *, 0 as part, due_day + cast(k % 40 - 5 as integer) as day,
                               cast(if(k % 12 = 0, cast(gross * cast(0.6 as decimal(2,1)) as decimal(14,2)), gross) as decimal(14,2)) as paid
                        from due

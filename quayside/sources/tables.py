@@ -309,13 +309,14 @@ class TableFeeds(Feeds):
             self.billed_lines.where("cust % 31 != 0")
             .groupBy("k", "series")
             .agg(expr("sum(total_amount) as gross"), expr("min(due_day) as due_day"), expr("min(cust) as cust"))
-            .selectExpr("k", "series", "cust", f"inline({parts})")
+            .selectExpr("k", "series", "cust", "gross", f"inline({parts})")
             .where(f"day <= {dates.day(self.params.as_of)}")
             .selectExpr("*", f"k * {LINE_SLOT} + case series when 'A' then 0 when 'B' then 2 else 4 end + part as payment_key")
             .selectExpr(
                 "payment_key",
                 "concat(' RCP/', cast(payment_key as string)) as receipt_number",
-                f"if(k % 97 = 0, concat('ADV/', {_padded('k')}), {_invoice_number('k', 'series')}) as invoice_number",
+                f"""if(cast(floor(gross) as bigint) % 97 = 0, concat('ADV/', {_padded('k')}), {_invoice_number('k', 'series')})
+                    as invoice_number""",
                 "cust as customer_key",
                 "day as payment_date",
                 "paid as amount_inr",

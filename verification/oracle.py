@@ -209,7 +209,7 @@ CTES = {
                        from due where k % 12 = 0)
         select k * 100 + case series when 'A' then 0 when 'B' then 2 else 4 end + part as payment_key,
                'RCP/' || (k * 100 + case series when 'A' then 0 when 'B' then 2 else 4 end + part) as receipt_number,
-               if(k % 97 = 0, 'ADV/' || {_pad('k')}, {_inv('k', 'series')}) as invoice_number, cust as customer_key,
+               if(cast(floor(gross) as bigint) % 97 = 0, 'ADV/' || {_pad('k')}, {_inv('k', 'series')}) as invoice_number, cust as customer_key,
                day as payment_date, paid as amount_inr,
                case k % 3 when 0 then 'Wire' when 1 then 'Cheque' else 'Transfer' end as payment_mode
         from parts where day <= {AS_OF}""",

@@ -3,7 +3,7 @@
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
 
 Every query is planned and run to completion into the `noop` sink, once to warm up and then
-BENCH_RUNS times (default 2); the median of the timed runs counts.
+BENCH_RUNS times (default 1); the median of the timed runs counts.
 """
 
 from __future__ import annotations
@@ -46,7 +46,7 @@ def session(cpus: str) -> SparkSession:
 
 def main() -> None:
     path = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs = int(os.environ.get("BENCH_RUNS", "1"))
     names = sys.argv[1:] or HEADLINE
     spark = session(os.environ.get("BENCH_CPUS", "8"))
     seconds: dict[str, float] = {}

@@ -1,6 +1,6 @@
-"""Command line of the batch job, for spark-submit.
+"""Command line of the batch job.
 
-    spark-submit -m quayside.app {freshness|run|test|outcomes|release}
+    spark-submit --py-files quayside.zip quayside/app.py {freshness|run|test|outcomes|release}
         --feeds DIR --dims DIR --root DIR [--format csv|parquet] [--run-id ID]
         [--as-of 2025-01-15] [--go-live 2024-07-01] [--now "2025-01-15 23:00:00"]
 
@@ -30,7 +30,8 @@ from quayside.sources.frames import Feeds, csv_feeds, parquet_feeds
 
 def main(argv: list[str] | None = None) -> int:
     args = _arguments(argv)
-    spark = session.tune(SparkSession.builder.appName(f"quayside {args.step}").getOrCreate())
+    spark = SparkSession.builder.appName(f"quayside {args.step}").getOrCreate()
+    session.tune(spark, session.path_bytes(spark, args.feeds))
     opener = csv_feeds if args.format == "csv" else parquet_feeds
     feeds, params = opener(spark, args.feeds, args.dims), _params(args)
     return min(STEPS[args.step](feeds, params, args), 100)

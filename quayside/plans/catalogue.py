@@ -24,20 +24,10 @@ def query(fn: Callable[[TableFeeds, Params], DataFrame]) -> Callable[[TableFeeds
 
 
 def run(name: str, spark: SparkSession, path: str, params: Params = DRIVER) -> DataFrame:
-    session.tune(spark, input_bytes(spark, path))
+    session.tune(spark, session.path_bytes(spark, *(f"{path}/{t}.parquet" for t in ("orders", "lineitem"))))
     return comparable(QUERIES[name](TableFeeds(spark, path, params), params))
 
 
-def input_bytes(spark: SparkSession, path: str) -> int:
-    """Size of the two tables that dominate every shuffle, as the file system reports it."""
-    fs_path = spark._jvm.org.apache.hadoop.fs.Path
-    total = 0
-    for table in ("orders", "lineitem"):
-        p = fs_path(f"{path}/{table}.parquet")
-        total += p.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
-    return total
-
-
 def comparable(df: DataFrame) -> DataFrame:
     """32-bit integers widened and doubles cut to six places, so engines can be compared by value."""
     casts = {"int": "cast({0} as bigint) as {0}", "double": "round({0}, 6) as {0}"}

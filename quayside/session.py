@@ -7,9 +7,11 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-TARGET_PARTITION_BYTES = 128 * 1024 * 1024
-SHUFFLE_EXPANSION = 4  # decoded rows against compressed file bytes
-MAX_PARTITIONS = 50_000
+MIB = 1024 * 1024
+SHUFFLE_PARTITION_BYTES = 256 * MIB
+MAX_SHUFFLE_PARTITIONS = 100_000
+SCAN_PARTITION_BYTES = (128 * MIB, 1024 * MIB)
+MAX_SCAN_TASKS = 100_000
 
 # Adaptive execution splits a hot key's partition on the streamed side of a join; the force
 # flag keeps that split even where the next aggregate needs one more exchange because of it.
@@ -25,24 +27,45 @@ DEFAULTS = {
 
 
 def tune(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
-    """Set what the user has not set: adaptive execution and a shuffle width fit for the input.
+    """Set what the user has not set: adaptive execution, shuffle width and scan split size.
 
-    The width only has to be large enough; adaptive execution merges small partitions but
-    never splits ordinary ones, so it is derived from the input size with no upper use of memory.
+    Adaptive execution merges small shuffle partitions but does not split ordinary large
+    ones, so the width is derived from the input size. The plans shuffle a few columns of
+    what they read; at 100 TB the widest of them then hold well under 1 GB per partition,
+    and both task counts stay near 100,000, which bounds the number of shuffle blocks.
     """
     chosen = spark.conf.getAll
-    for key, value in DEFAULTS.items():
-        if key not in chosen:
+    wanted = dict(DEFAULTS)
+    if input_bytes is not None:
+        wanted["spark.sql.shuffle.partitions"] = str(shuffle_width(input_bytes, spark.sparkContext.defaultParallelism))
+        wanted["spark.sql.files.maxPartitionBytes"] = str(scan_split(input_bytes))
+    for key, value in wanted.items():
+        if key not in chosen or (key, chosen[key]) in _OURS:
             spark.conf.set(key, value)
-    width_key = "spark.sql.shuffle.partitions"
-    if input_bytes is not None and width_key not in chosen:
-        spark.conf.set(width_key, str(shuffle_width(input_bytes, spark.sparkContext.defaultParallelism)))
+            _OURS.add((key, value))
     return spark
 
 
+# Settings made here, which a later call for another input may change again.
+_OURS: set[tuple[str, str]] = set()
+
+
 def shuffle_width(input_bytes: int, parallelism: int) -> int:
-    needed = -(-input_bytes * SHUFFLE_EXPANSION // TARGET_PARTITION_BYTES)
-    return max(parallelism, min(needed, MAX_PARTITIONS))
+    return max(parallelism, min(-(-input_bytes // SHUFFLE_PARTITION_BYTES), MAX_SHUFFLE_PARTITIONS))
+
+
+def scan_split(input_bytes: int) -> int:
+    low, high = SCAN_PARTITION_BYTES
+    return max(low, min(input_bytes // MAX_SCAN_TASKS, high))
+
+
+def path_bytes(spark: SparkSession, *paths: str) -> int:
+    """Bytes under the paths, as their file system reports them."""
+    total = 0
+    for path in paths:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        total += p.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
+    return total
 
 
 def shared_folder(spark: SparkSession, label: str) -> str:

@@ -20,7 +20,7 @@ class Feeds:
     def __init__(self, spark: SparkSession, opener: Callable[[str, str], DataFrame]):
         self.spark = spark
         self._opener = opener
-        self.relations: dict[tuple, DataFrame] = {}
+        self.relations: dict[tuple, tuple] = {}
 
     shipments = cached_property(lambda self: self._opener("feed", "shipments"))
     job_charges = cached_property(lambda self: self._opener("feed", "job_charges"))
@@ -46,8 +46,8 @@ def shared(fn):
     def once(feeds: Feeds, *args) -> DataFrame:
         key = (fn.__module__, fn.__name__, *map(id, args))
         if key not in feeds.relations:
-            feeds.relations[key] = fn(feeds, *args)
-        return feeds.relations[key]
+            feeds.relations[key] = (fn(feeds, *args), args)  # holding the arguments keeps their ids valid
+        return feeds.relations[key][0]
 
     return once
 

@@ -489,7 +489,11 @@ class TableFeeds(Feeds):
         )
 
     def _ports(self, role: str, name: str) -> DataFrame:
-        regions = self.table("region").selectExpr("r_regionkey as n_regionkey", "initcap(r_name) as region")
+        # Grouped, hence known to be unique: Catalyst drops the join where the region is not read.
+        regions = (
+            self.table("region").groupBy("r_regionkey").agg(expr("max(initcap(r_name)) as region"))
+            .withColumnRenamed("r_regionkey", "n_regionkey")
+        )
         return self.table("nation").join(regions, "n_regionkey", "left").selectExpr(
             "cast(n_nationkey as bigint) as port_key",
             f"concat('{role[0]}-', lpad(cast(n_nationkey as string), 3, '0')) as port_code",

@@ -95,6 +95,7 @@ def test_unused_lookups_leave_the_plan(spark):
     assert "o_custkey" not in narrow
     facts = plan(mart.fact_shipments(source))
     assert "c_custkey" not in facts and "s_suppkey" not in facts
+    assert "r_regionkey" not in plan(staging.stg_shipments(source))
 
 
 def test_profit_aggregates_before_it_joins(spark, conf):
@@ -132,16 +133,20 @@ def test_no_query_plans_a_cross_join_or_python_rows(spark, conf):
             assert banned not in text, (name, banned)
 
 
-def test_shuffle_width_follows_the_input():
+def test_task_counts_follow_the_input():
     assert session.shuffle_width(0, 8) == 8
-    assert session.shuffle_width(100 * 2**40, 8) == session.MAX_PARTITIONS
-    assert session.shuffle_width(2**40, 8) == 32768
+    assert session.shuffle_width(2**40, 8) == 4096
+    assert session.shuffle_width(100 * 2**40, 8) == session.MAX_SHUFFLE_PARTITIONS
+    assert session.scan_split(0) == 128 * session.MIB
+    assert session.scan_split(100 * 2**40) == 1024 * session.MIB
 
 
 def test_user_settings_are_left_alone(spark, conf):
     conf("spark.sql.shuffle.partitions", "5")
     session.tune(spark, 10**12)
     assert spark.conf.get("spark.sql.shuffle.partitions") == "5"
+    assert spark.conf.get("spark.sql.adaptive.forceOptimizeSkewedJoin") == "true"
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
 def test_shared_folder_follows_the_session(spark):

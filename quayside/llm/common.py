@@ -8,13 +8,16 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Texts handled at once by the array code, in bytes; a longer text is handled alone.
 CHUNK_BYTES = 1 << 20
 #: Rows of one emitted Arrow batch.
 EMIT_ROWS = 1 << 16
+#: Size of the bitmap that keeps rows out of a join's shuffle: 1 MiB. A fuller bitmap keeps out fewer.
+MARK_BITS = 1 << 23
 
 _U = np.uint64
 _WHITE = np.zeros(256, bool)
@@ -43,10 +46,33 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dense(values: DataFrame, size: int) -> DataFrame:
+    """One row with `values`, an array that has the `value` of each `index` below size, 0 where there is none."""
+    every = values.sparkSession.range(size).select(F.col("id").alias("index"))
+    full = every.join(values, "index", "left").select("index", F.expr("coalesce(value, 0)").alias("value"))
+    return full.agg(F.expr("transform(array_sort(collect_list(struct(index, value))), x -> x.value)").alias("values"))
+
+
+def marks(keys: DataFrame) -> DataFrame:
+    """One row with a bitmap of hashed keys, `MARK_BITS` large whatever the input; `keys` has one column."""
+    name = keys.columns[0]
+    at = keys.select(F.expr(f"pmod(xxhash64(cast({name} as bigint)), {MARK_BITS})").alias("at")).distinct()
+    word = at.groupBy(F.expr("at div 64").alias("index")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at % 64 as int))")).alias("value"))
+    return stored(dense(word, MARK_BITS // 64), "marks")
+
+
+def marked(column: str, bitmap: DataFrame) -> Column:
+    """False only for rows whose key is surely not among those marked; it saves their shuffle before an exact join."""
+    at = F.expr(f"pmod(xxhash64(cast({column} as bigint)), {MARK_BITS})")
+    word = F.get(bitmap.scalar(), (at / 64).cast("int"))
+    bit = F.call_function("shiftrightunsigned", word, F.pmod(at, F.lit(64)).cast("int"))
+    return F.coalesce(bit.bitwiseAND(F.lit(1)) == 1, F.lit(False))
+
+
 # ---- hashing --------------------------------------------------------------------------------
 
 

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quayside.llm.common import stored
+from quayside.llm.common import dense, marked, marks, stored
 
 THRESHOLD = 0.9
 MIN_WORDS = 3
@@ -52,10 +52,8 @@ def rarity(docs: DataFrame) -> DataFrame:
     """One row: the rank of each bucket as an array, larger for buckets with more words."""
     word = docs.where("text is not null").select(F.explode(F.expr(_names("text"))).alias("w"))
     count = word.groupBy(F.expr(f"cast(shiftrightunsigned(w, {64 - BUCKET_BITS}) as int)").alias("bucket")).count()
-    every = docs.sparkSession.range(1 << BUCKET_BITS).select(F.col("id").cast("int").alias("bucket"))
-    rank = F.expr("cast(least(log2(coalesce(count, 0) + 1) * 32, 2047) as int)")
-    full = every.join(count, "bucket", "left").select("bucket", rank.alias("rank"))
-    return full.agg(F.expr("transform(array_sort(collect_list(struct(bucket, rank))), x -> x.rank)").alias("ranks"))
+    rank = F.expr("cast(least(log2(count + 1) * 32, 2047) as int)")
+    return dense(count.select(F.col("bucket").cast("long").alias("index"), rank.alias("value")), 1 << BUCKET_BITS).withColumnRenamed("values", "ranks")
 
 
 def _with_sets(lines: DataFrame, ranks: DataFrame) -> DataFrame:
@@ -151,7 +149,8 @@ def _verified(pairs: DataFrame, plain: DataFrame, ranks: DataFrame, num: int, de
     """The pairs (at, with) whose whole sets match."""
     pairs = stored(pairs, "line-pairs")
     asked = pairs.select("at").union(pairs.select("with")).distinct().select("at.id", "at.line_no")
-    whole = plain.join(asked.select("id").distinct(), "id", "left_semi")
+    owner = asked.select("id").distinct()
+    whole = plain.where(marked("id", marks(owner))).join(owner, "id", "left_semi")
     sets = _with_sets(_lines(whole).join(asked, ["id", "line_no"], "left_semi"), ranks).select(F.struct("id", "line_no").alias("place"), "words")
     sets = stored(sets, "line-sets")
     both = pairs.join(sets.select(F.col("place").alias("at"), F.col("words").alias("x")), "at").join(

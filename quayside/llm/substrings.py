@@ -7,14 +7,14 @@ dictionary, and equal substrings get equal symbols except near their ends. With
 the exact stretch of words that decides it; two equal windows therefore share every symbol whose
 stretch lies inside the window.
 
-1. Symbol pass: texts equal to another of their batch wait; the others are rewritten, and of the
-   symbols decided inside a window the one of smallest name stands for the window. Its key is the
-   name of its deciding stretch.
-2. A key that occurs once in the corpus proves that no window standing on it is repeated.
-   Occurrences are combined per batch first, so a key in every document is no hot group.
-3. Only the windows whose every key is repeated are named word by word and compared: a window is
-   a repeat when its sequence starts earlier, by (document, position).
-4. Words under repeats are removed.
+1. Documents of one and the same word sequence are one class; all but its first are repeats whole.
+2. Symbol pass: of the symbols decided inside a window, the one of smallest name stands for the
+   window. Its key is the name of its deciding stretch. A key found in one class only, and there
+   once, proves that no window standing on it is repeated. Occurrences are combined per batch
+   first, so a key in every document is no hot group.
+3. The other windows of each class's first document are named word by word and compared: a window
+   is a repeat when its sequence starts earlier, by (document, position).
+4. Words under repeats are removed. Only texts that may lose words are shuffled for it.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -50,6 +51,8 @@ def recompress(words: np.ndarray, doc: np.ndarray, rounds: int = ROUNDS) -> tupl
     n = len(words)
     name, d = words, doc
     low, high = np.arange(n), np.arange(1, n + 1)
+    if not n:
+        return name, low, high
     begin = np.searchsorted(doc, doc, "left")
     end = np.searchsorted(doc, doc, "right")
     for r in range(rounds):
@@ -147,23 +150,57 @@ def _texts_of(batch: pa.RecordBatch) -> tuple[np.ndarray, list[bytes]]:
     return batch.column(batch.schema.get_field_index("id")).to_numpy(), [t or b"" for t in c.binary_texts(batch, "text")]
 
 
-def _symbols(docs: DataFrame, width: int) -> DataFrame:
-    """(key, id, place, known): a key's first occurrence in a batch, or an occurrence known to be repeated."""
-    kind, schema = c.arrow_schema("key long, id long, place int, known boolean")
+def _sequences(words: np.ndarray, doc: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Name of each of n texts' word sequence, and its length."""
+    count = np.bincount(doc, minlength=n)
+    place = np.arange(len(words)) - (np.cumsum(count) - count)[doc]
+    name = np.zeros(n, _U)
+    full = np.flatnonzero(count)
+    if len(full):
+        with np.errstate(over="ignore"):
+            placed = words * (c.mix(place.astype(_U) + _U(0x77)) | _U(1))
+            name[full] = c.mix(np.add.reduceat(placed, (np.cumsum(count) - count)[full]) + count[full].astype(_U) * c._LENGTH)
+    return name, count
+
+
+def _classes(docs: DataFrame) -> DataFrame:
+    """(id, class, n): the name and length of every document's word sequence."""
+    kind, schema = c.arrow_schema("id long, class long, n long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, texts = _texts_of(batch)
-            parts, bares = [], []
             for a, b in c.by_bytes(texts):
                 words, doc = c.word_hashes(texts[a:b])
+                name, count = _sequences(words, doc, b - a)
+                yield from c.emit({"id": ids[a:b], "class": c.signed(name), "n": count}, schema)
+
+    return docs.mapInArrow(run, kind)
+
+
+def _symbols(docs: DataFrame, width: int) -> DataFrame:
+    """(key, class, place, known): a key's first occurrence in a batch, or an occurrence known to be repeated."""
+    kind, schema = c.arrow_schema("key long, class long, place int, known boolean")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            _, texts = _texts_of(batch)
+            parts, bares, seen = [], [], set()
+            for a, b in c.by_bytes(texts):
+                words, doc = c.word_hashes(texts[a:b])
+                name = _sequences(words, doc, b - a)[0]
+                fresh = np.zeros(b - a, bool)  # one text of each class in a batch is enough
+                for i, x in enumerate(name.tolist()):
+                    if x not in seen:
+                        seen.add(x)
+                        fresh[i] = True
+                words, doc = words[fresh[doc]], doc[fresh[doc]]
                 key, low, w, which = _keys(words, doc, width)
                 d = doc[low]
                 count = np.bincount(d, minlength=b - a)
                 place = np.arange(len(key)) - (np.cumsum(count) - count)[d]
-                parts.append((key, ids[a:b][d], place))
-                for i in np.unique(doc[w[which < 0]]).tolist():
-                    bares.append(int(ids[a + i]))
+                parts.append((key, name[d], place))
+                bares += name[np.unique(doc[w[which < 0]])].tolist()
             if not parts:
                 continue
             key, owner, place = (np.concatenate(x) for x in zip(*parts, strict=True))
@@ -174,22 +211,22 @@ def _symbols(docs: DataFrame, width: int) -> DataFrame:
             single = first.copy()
             single[:-1] &= first[1:]
             with np.errstate(over="ignore"):  # a name of their own for what needs no comparing
-                key = np.where(first, key, c.mix(owner.view(_U) * _U(5) + place.astype(_U) * _U(3) + _U(1)))
-            yield from c.emit({"key": c.signed(key), "id": owner, "place": place.astype(np.int32), "known": ~single}, schema)
+                key = np.where(first, key, c.mix(owner * _U(5) + place.astype(_U) * _U(3) + _U(1)))
+            yield from c.emit({"key": c.signed(key), "class": c.signed(owner), "place": place.astype(np.int32), "known": ~single}, schema)
             if bares:  # a window without a decided symbol is compared whatever the keys say
-                bare = np.array(bares, np.int64)
+                bare = np.array(bares, _U)
                 place = np.full(len(bare), -1, np.int32)
-                yield from c.emit({"key": c.signed(c.mix(bare.view(_U))), "id": bare, "place": place, "known": place < 0}, schema)
+                yield from c.emit({"key": c.signed(c.mix(bare)), "class": c.signed(bare), "place": place, "known": place < 0}, schema)
 
     return docs.mapInArrow(run, kind)
 
 
 def _windows(docs: DataFrame, width: int) -> DataFrame:
-    """(name, id, start, known): a window's first occurrence in a batch, or one known to be repeated.
+    """(name, id, start, stop, known): a window's first occurrence in a batch, or a stretch of starts known to be repeated.
 
     `docs` has id, text and `places`, the ordinals of the text's repeated keys.
     """
-    kind, schema = c.arrow_schema("name long, id long, start int, known boolean")
+    kind, schema = c.arrow_schema("name long, id long, start int, stop int, known boolean")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -226,32 +263,42 @@ def _windows(docs: DataFrame, width: int) -> DataFrame:
             head = np.maximum.accumulate(np.where(first, np.arange(len(name)), 0))
             stay = first | (owner != owner[head]) | (start != start[head])  # else a repeated row of the head's
             name, owner, start, first = name[stay], owner[stay], start[stay], first[stay]
-            with np.errstate(over="ignore"):
-                name = np.where(first, name, c.mix(owner.view(_U) * _U(5) + start.astype(_U) * _U(3) + _U(1)))
-            yield from c.emit({"name": c.signed(name), "id": owner, "start": start.astype(np.int32), "known": ~first}, schema)
+            yield from c.emit({"name": c.signed(name[first]), "id": owner[first], "start": start[first], "stop": start[first] + 1, "known": np.zeros(first.sum(), bool)}, schema)
+            owner, start = owner[~first], start[~first]
+            if len(owner):
+                order = np.lexsort((start, owner))
+                owner, start = owner[order], start[order]
+                new = np.ones(len(owner), bool)
+                new[1:] = (owner[1:] != owner[:-1]) | (start[1:] != start[:-1] + 1)
+                at = np.flatnonzero(new)
+                stop = start[np.append(at[1:], len(start)) - 1] + 1
+                owner, start = owner[at], start[at]
+                with np.errstate(over="ignore"):  # a name of its own for what needs no comparing
+                    name = c.mix(owner.view(_U) * _U(5) + start.astype(_U) * _U(3) + _U(1))
+                yield from c.emit({"name": c.signed(name), "id": owner, "start": start, "stop": stop, "known": np.ones(len(at), bool)}, schema)
 
     return docs.mapInArrow(run, kind)
 
 
 def _cut(docs: DataFrame, width: int) -> DataFrame:
-    """id, kept text, counts and digest; `docs` has id, text and `starts` of the repeated windows."""
+    """id, kept text, counts and digest; `docs` has id, text and `starts` and `stops` of the stretches of repeated windows' first words."""
     kind, schema = c.arrow_schema("id long, kept binary, n_words long, n_removed long, kept_sha256 string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(batch.schema.get_field_index("id"))
-            starts = batch.column(batch.schema.get_field_index("starts"))
+            begins = batch.column(batch.schema.get_field_index("starts"))
+            stops = batch.column(batch.schema.get_field_index("stops"))
             texts = c.binary_texts(batch, "text")
             for a, b in c.by_bytes(texts):
                 kept, total, removed, digest = [], [], [], []
                 for i in range(a, b):
                     words = (texts[i] or b"").split()
                     n, gone = len(words), 0
-                    if starts[i].is_valid:
-                        s = starts[i].values.to_numpy()
+                    if begins[i].is_valid:
                         cut = np.zeros(n + 1, np.int32)
-                        np.add.at(cut, s, 1)
-                        np.add.at(cut, np.minimum(s + width, n), -1)
+                        np.add.at(cut, np.minimum(begins[i].values.to_numpy(), n), 1)
+                        np.add.at(cut, np.minimum(stops[i].values.to_numpy().astype(np.int64) + (width - 1), n), -1)
                         stay = np.cumsum(cut)[:n] == 0
                         gone = int(n - stay.sum())
                         words = [w for w, ok in zip(words, stay.tolist(), strict=True) if ok]
@@ -268,16 +315,30 @@ def _cut(docs: DataFrame, width: int) -> DataFrame:
 
 
 def repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """(id, starts): the first words of every document's repeated windows. `docs` has id and text; ids are distinct."""
+    """(id, starts, stops): stretches of the first words of every document's repeated windows.
+
+    `docs` has id, not null, and text.
+    """
+    named = c.stored(_classes(docs), "sequences")
+    head = named.where(f"n >= {width}").groupBy("class", "n").agg(F.min("id").alias("id"))
+    whole = named.join(head.withColumnRenamed("id", "head"), ["class", "n"]).where("id <> head")
+    whole = whole.select("id", F.lit(0).alias("start"), F.expr("cast(least(n, 2147483000) as int)").alias("stop"))
     seen = _symbols(docs, width)
-    count = F.count("*").over(Window.partitionBy("key"))
-    places = (
-        seen.withColumn("n", count).where("known or n > 1").groupBy("id").agg(F.collect_list("place").alias("places"))
-    )
-    windows = _windows(docs.join(places, "id"), width)
+    of_key = Window.partitionBy("key")
+    shared = seen.withColumn("lo", F.min("class").over(of_key)).withColumn("hi", F.max("class").over(of_key)).where("known or lo <> hi")
+    places = shared.groupBy("class").agg(F.collect_list("place").alias("places"))
+    asked = c.stored(places.join(head, "class").groupBy("id").agg(F.flatten(F.collect_list("places")).alias("places")), "symbol-places")
+    windows = _windows(docs.where(c.marked("id", c.marks(asked.select("id")))).join(asked, "id"), width)
     least = F.min(F.struct("id", "start")).over(Window.partitionBy("name"))
-    again = windows.withColumn("least", least).where("known or struct(id, start) > least")
-    return again.groupBy("id").agg(F.collect_list("start").alias("starts"))
+    again = windows.withColumn("least", least).where("known or struct(id, start) > least").select("id", "start", "stop")
+    stretch = again.unionByName(whole)
+    return stretch.groupBy("id").agg(F.collect_list("start").alias("starts"), F.collect_list("stop").alias("stops"))
+
+
+def _decided(docs: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
+    """`repeats` as a table, and a bitmap of the ids it has."""
+    found = c.stored(repeats(docs, width), "repeats")
+    return found, c.marks(found.select("id"))
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
@@ -290,15 +351,42 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width
     empty result. Windows are compared by 64-bit name.
     """
     plain = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    found = repeats(plain.where("id is not null"), width)
-    return _cut(plain.join(found, "id", "left"), width).withColumnRenamed("id", id_col)
+    found, bitmap = _decided(plain.where("id is not null"), width)
+    mark = c.marked("id", bitmap)
+    none = F.lit(None).cast("array<int>")
+    kept = _cut(plain.where(~mark).select("id", "text", none.alias("starts"), none.alias("stops")), width)
+    cut = _cut(plain.where(mark).join(found, "id", "left"), width)
+    return kept.unionByName(cut).withColumnRenamed("id", id_col)
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
     """`docs` with repeated words removed from the text; texts that keep every word stay as they are."""
     plain = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    cut = _cut(plain.join(repeats(plain, width), "id"), width).select(
-        F.col("id").alias("_cut_id"), F.col("kept").cast("string").alias("_kept")
-    ).dropDuplicates(["_cut_id", "_kept"])
-    joined = docs.join(cut, docs[id_col].cast("long") == cut["_cut_id"], "left")
-    return joined.select(*[F.coalesce("_kept", docs[n]).alias(n) if n == text_col else docs[n] for n in docs.columns])
+    found, bitmap = _decided(plain, width)
+    mark = c.marked(f"`{id_col}`", bitmap)
+    row = docs.where(mark).select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    cut = _cut_rows(row.join(found, "id", "left"), docs, text_col, width)
+    return docs.where(~mark).unionByName(cut)
+
+
+def _cut_rows(rows: DataFrame, docs: DataFrame, text_col: str, width: int) -> DataFrame:
+    """The rows with their texts cut by a pandas function; all columns of `docs` as they are."""
+
+    @F.pandas_udf("string")
+    def cut(texts: pd.Series, starts: pd.Series, stops: pd.Series) -> pd.Series:
+        out = []
+        for text, a, b in zip(texts, starts, stops, strict=True):
+            if a is None or not isinstance(text, str):
+                out.append(text)
+                continue
+            words = text.encode().split()
+            n = len(words)
+            depth = np.zeros(n + 1, np.int32)
+            np.add.at(depth, np.minimum(np.asarray(a), n), 1)
+            np.add.at(depth, np.minimum(np.asarray(b, dtype=np.int64) + (width - 1), n), -1)
+            stay = np.cumsum(depth)[:n] == 0
+            out.append(text if stay.all() else b" ".join(w for w, ok in zip(words, stay.tolist(), strict=True) if ok).decode())
+        return pd.Series(out, dtype=object)
+
+    made = rows.withColumn("kept", cut("text", "starts", "stops"))
+    return made.select(*[F.col("kept").alias(x) if x == text_col else F.col("row").getField(x).alias(x) for x in docs.columns])

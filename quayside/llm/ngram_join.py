@@ -4,13 +4,16 @@ Every shingle is hashed into one of `GROUPS` token groups; a document becomes th
 counts per group. Two sets overlap in at most the summed coordinate minima of their points, which
 prunes pairs, and whole R-tree nodes, before any set is compared.
 
-1. Signature pass: set size, set name, and a count of every shingle bucket over the whole corpus.
+1. Signature pass: set size, set name, point, and a count of every shingle bucket over the whole corpus.
 2. Equal sets share their name and go on as one class.
 3. Blocks: two sets with Jaccard >= num/den share a shingle among the first
    n - ceil(n * num / den) + 1 of each, in any fixed order. Rare buckets come first, so shared
    passages and frequent phrases are rarely in a block key. Nothing is dropped: any order is exact.
-4. Stars: in each block every class is compared with the block's smallest class only. This joins
-   almost all of a group of near copies with as many pairs as classes.
+4. Stars, in rounds: in each block that still holds several components every class meets one class
+   of the block only, another one each round, and of those it meets the one of best bound is
+   verified. This joins almost all of a group of near copies with as many pairs as classes. Blocks
+   of frequent shingles are dealt out by class and their heads meet in turn, so no block is one
+   task's work.
 5. Blocks that still hold different components get an R-tree each; pairs of different components
    whose bound reaches the needed overlap are verified. Blocks of equal membership are searched
    once; large ones are dealt out as pairs of tiles.
@@ -20,6 +23,7 @@ prunes pairs, and whole R-tree nodes, before any set is compared.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -29,13 +33,19 @@ from pyspark.sql import functions as F
 from quayside.llm import common as c
 from quayside.llm.graph import components
 
-GROUPS = 128
+GROUPS = 256
+#: Counts are kept in 16 bits; the largest value stands for itself and more.
+FULL = np.iinfo(np.uint16).max
 #: Shingle buckets counted for the order: 4 MiB of counts, 1 MiB of ranks, whatever the input.
 BUCKET_BITS = 20
 SLICE_BITS = 12
 LEAF = 16
 FAN = 16
 TILE = 2048
+#: Parts of a block whose shingle bucket counts this many, over the mean, or more.
+DEAL = 64
+OFTEN = 2000
+STAR_ROUNDS = 2
 
 _U = np.uint64
 
@@ -73,12 +83,19 @@ def _set_names(h: np.ndarray, d: np.ndarray, n: int) -> tuple[np.ndarray, np.nda
     return size, name
 
 
+def _points(h: np.ndarray, d: np.ndarray, n: int) -> list[bytes]:
+    """Counts per group of each of n texts."""
+    at = d * GROUPS + (h % _U(GROUPS)).astype(np.int64)
+    counts = np.minimum(np.bincount(at, minlength=n * GROUPS), FULL).astype(np.uint16).reshape(n, GROUPS)
+    return [x.tobytes() for x in counts]
+
+
 def _bucket(h: np.ndarray) -> np.ndarray:
     return (h >> _U(64 - BUCKET_BITS)).astype(np.int64)
 
 
 def _signatures(docs: DataFrame, width: int) -> DataFrame:
-    kind, schema = c.arrow_schema("id long, n long, key long, slice int, counts binary")
+    kind, schema = c.arrow_schema("id long, n long, key long, point binary, slice int, counts binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << BUCKET_BITS, np.uint32)
@@ -95,6 +112,7 @@ def _signatures(docs: DataFrame, width: int) -> DataFrame:
                         ids.slice(a, b - a),
                         pa.array(size, pa.int64()),
                         pa.array(c.signed(name), pa.int64(), mask=size == 0),
+                        pa.array(_points(h, d, b - a), pa.binary()),
                         pa.nulls(b - a, pa.int32()),
                         pa.nulls(b - a, pa.binary()),
                     ],
@@ -105,15 +123,18 @@ def _signatures(docs: DataFrame, width: int) -> DataFrame:
             part = counts[k * step : (k + 1) * step]
             if part.any():
                 yield pa.RecordBatch.from_arrays(
-                    [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([k], pa.int32()), pa.array([part.tobytes()], pa.binary())],
+                    [*(pa.nulls(1, pa.int64()) for _ in range(3)), pa.nulls(1, pa.binary()), pa.array([k], pa.int32()), pa.array([part.tobytes()], pa.binary())],
                     schema=schema,
                 )
 
     return docs.mapInArrow(run, kind)
 
 
-def _ranks(signatures: DataFrame) -> np.ndarray:
-    """A byte per bucket, larger for buckets with more shingles: 1 MiB to the driver, whatever the input."""
+def _ranks(signatures: DataFrame) -> tuple[np.ndarray, int]:
+    """A byte per bucket, larger for buckets with more shingles: 1 MiB to the driver, whatever the input.
+
+    And the rank of a bucket that counts OFTEN more shingles than the mean bucket.
+    """
     kind, schema = c.arrow_schema("slice int, counts binary")
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,7 +151,20 @@ def _ranks(signatures: DataFrame) -> np.ndarray:
     rank = np.zeros(1 << BUCKET_BITS, np.uint8)
     for k, raw in found:
         rank[k << SLICE_BITS : (k + 1) << SLICE_BITS] = np.frombuffer(bytes(raw), np.uint8)
-    return rank
+    mean = signatures.agg(F.sum("n")).first()[0] or 0
+    return rank, int(np.log2(mean / len(rank) + OFTEN) * 6)
+
+
+@dataclass(frozen=True)
+class Order:
+    """The ranks of buckets as a broadcast, and the rank from which on a block is dealt out."""
+
+    shared: object
+    often: int
+
+    @property
+    def value(self) -> np.ndarray:
+        return self.shared.value
 
 
 def _prefixes(h: np.ndarray, d: np.ndarray, rank: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
@@ -144,47 +178,37 @@ def _prefixes(h: np.ndarray, d: np.ndarray, rank: np.ndarray, num: int, den: int
     return h[keep], d[keep]
 
 
-def _stars(docs: DataFrame, width: int, num: int, den: int, rank) -> DataFrame:
-    """(h, key, other): a posting (other null) of a block's smallest class in a batch, or a pair within the batch."""
-    kind, schema = c.arrow_schema("h long, key long, other long")
+def _postings(docs: DataFrame, width: int, num: int, den: int, rank) -> DataFrame:
+    """(h, key, top): the blocks of every class; `top` is set where a frequent block is dealt out by class."""
+    kind, schema = c.arrow_schema("h long, key long, top long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = c.binary_texts(batch, "text")
-            hs, keys = [], []
+            seen: set[int] = set()
             for a, b in c.by_bytes(texts):
                 part = [t or b"" for t in texts[a:b]]
                 h, d = _distinct(part, width)
-                name = c.signed(_set_names(h, d, len(part))[1])
+                name = _set_names(h, d, len(part))[1]
+                fresh = np.zeros(len(part), bool)  # one text of each class in a batch is enough
+                for i, x in enumerate(name.tolist()):
+                    if x not in seen:
+                        seen.add(x)
+                        fresh[i] = True
+                h, d = h[fresh[d]], d[fresh[d]]
                 h, d = _prefixes(h, d, rank.value, num, den)
-                hs.append(h)
-                keys.append(name[d])
-            if not hs:
-                continue
-            h, key = np.concatenate(hs), np.concatenate(keys)
-            order = np.lexsort((key, h))
-            h, key = h[order], key[order]
-            first = np.ones(len(h), bool)
-            first[1:] = h[1:] != h[:-1]
-            head = key[np.flatnonzero(first)][np.cumsum(first) - 1] if len(h) else key
-            pairs = np.unique(np.stack([head, key], 1)[key != head], axis=0)
-            with np.errstate(over="ignore"):
-                own = c.mix(pairs[:, 0].view(_U) * _U(3) + pairs[:, 1].view(_U)) if len(pairs) else np.zeros(0, _U)
-            yield from c.emit(
-                {
-                    "h": c.signed(np.concatenate([h[first], own])),
-                    "key": np.concatenate([key[first], pairs[:, 0]]),
-                    "other": pa.array(np.concatenate([np.zeros(first.sum(), np.int64), pairs[:, 1]]), mask=np.arange(first.sum() + len(pairs)) < first.sum()),
-                },
-                schema,
-            )
+                key = name[d]
+                often = rank.value[_bucket(h)] >= rank.often
+                with np.errstate(over="ignore"):
+                    dealt = np.where(often, c.mix(h + (key % _U(DEAL) + _U(1)) * c._LENGTH), h)
+                yield from c.emit({"h": c.signed(dealt), "key": c.signed(key), "top": pa.array(c.signed(h), mask=~often)}, schema)
 
     return docs.mapInArrow(run, kind)
 
 
-def _points(docs: DataFrame, width: int, num: int, den: int, rank) -> DataFrame:
-    """Size, counts per group, whole sorted set and block keys of the texts asked for."""
-    kind, schema = c.arrow_schema("key long, n long, counts binary, shingles binary, prefix array<long>")
+def _sets(docs: DataFrame, width: int) -> DataFrame:
+    """(key, shingles): the whole sorted sets of the classes asked for."""
+    kind, schema = c.arrow_schema("key long, shingles binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -195,45 +219,49 @@ def _points(docs: DataFrame, width: int, num: int, den: int, rank) -> DataFrame:
                 h, d = _distinct(part, width)
                 size, name = _set_names(h, d, len(part))
                 end = np.cumsum(size)
-                ph, pd = _prefixes(h, d, rank.value, num, den)
-                pend = np.cumsum(np.bincount(pd, minlength=len(part)))
-                group = (h % _U(GROUPS)).astype(np.int64)
-                rows = []
-                for i in np.flatnonzero((c.signed(name) == wanted[a:b]) & (size > 0)):
-                    s = slice(end[i] - size[i], end[i])
-                    counts = np.bincount(group[s], minlength=GROUPS).astype(np.uint32)
-                    start = pend[i - 1] if i else 0
-                    rows.append((int(name[i].view(np.int64)), int(size[i]), counts.tobytes(), h[s].tobytes(), c.signed(ph[start : pend[i]])))
-                if rows:
-                    yield from c.emit(dict(zip(schema.names, zip(*rows, strict=True), strict=True)), schema)
+                rows = np.flatnonzero((c.signed(name) == wanted[a:b]) & (size > 0))
+                made = [h[end[i] - size[i] : end[i]].tobytes() for i in rows]
+                yield from c.emit({"key": wanted[a:b][rows], "shingles": made}, schema)
 
     return docs.mapInArrow(run, kind)
 
 
+def overlap_bound(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Summed coordinate minima of the rows of x and y; without bound where both counts are full."""
+    low = np.minimum(x, y)
+    bound = low.sum(1, dtype=np.int64)
+    if low.size and low.max() == FULL:
+        bound[(low == FULL).any(1)] = np.iinfo(np.int64).max
+    return bound
+
+
 def needed(n: np.ndarray, m: np.ndarray, num: int, den: int) -> np.ndarray:
     """Least overlap of sets of sizes n and m whose Jaccard is num/den or more."""
     return -(-num * (n + m) // (num + den))
 
 
 def _bounded(pairs: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs whose sizes and summed minima allow a link."""
-    kind, schema = c.arrow_schema("a long, b long")
+    """Pairs whose sizes and summed minima allow a link, and by how much."""
+    kind, schema = c.arrow_schema("a long, b long, slack double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b, n, m = (batch.column(i).to_numpy() for i in range(4))
-            x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint32).reshape(-1, GROUPS) for i in (4, 5))
-            bound = np.minimum(x, y).sum(1, dtype=np.int64)
-            ok = bound >= needed(n, m, num, den)
-            yield from c.emit({"a": a[ok], "b": b[ok]}, schema)
+            x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint16).reshape(-1, GROUPS) for i in (4, 5))
+            bound, least = overlap_bound(x, y), needed(n, m, num, den)
+            ok = bound >= least
+            yield from c.emit({"a": a[ok], "b": b[ok], "slack": bound[ok] / least[ok]}, schema)
 
     return pairs.mapInArrow(run, kind)
 
 
-def _verified(pairs: DataFrame, points: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) whose sets are that similar."""
+def _verified(pairs: DataFrame, texts: DataFrame, owner: DataFrame, width: int, num: int, den: int) -> DataFrame:
+    """The pairs (a, b) whose sets are that similar; `owner` has a document of each class."""
     kind, schema = c.arrow_schema("a long, b long")
-    sets = points.select("key", "shingles")
+    pairs = c.stored(pairs, "ngram-pairs")
+    asked = owner.join(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "key").select("key", "id")
+    asked = c.stored(asked, "ngram-asked")
+    sets = c.stored(_sets(texts.where(c.marked("id", c.marks(asked.select("id")))).join(asked, "id").select("text", "key"), width), "ngram-sets")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -255,9 +283,8 @@ def _verified(pairs: DataFrame, points: DataFrame, num: int, den: int) -> DataFr
 
 
 def _with_counts(pairs: DataFrame, points: DataFrame, num: int, den: int) -> DataFrame:
-    own = points.select("key", "n", "counts")
-    x = own.select(F.col("key").alias("a"), F.col("n").alias("n"), F.col("counts").alias("x"))
-    y = own.select(F.col("key").alias("b"), F.col("n").alias("m"), F.col("counts").alias("y"))
+    x = points.select(F.col("key").alias("a"), F.col("n").alias("n"), F.col("point").alias("x"))
+    y = points.select(F.col("key").alias("b"), F.col("n").alias("m"), F.col("point").alias("y"))
     fits: Column = F.expr(f"{num} * n <= {den} * m and {num} * m <= {den} * n")
     return pairs.join(x, "a").join(y, "b").where(fits).select("a", "b", "n", "m", "x", "y")
 
@@ -308,7 +335,7 @@ class CountTree:
                 ok = np.zeros(len(q), bool)
                 for k in range(0, len(q), 4096):
                     part = slice(k, k + 4096)
-                    bound = np.minimum(counts[q[part]], top[node[part]]).sum(1, dtype=np.int64)
+                    bound = overlap_bound(counts[q[part]], top[node[part]])
                     ok[part] = bound >= needed(sizes[q[part]], low[node[part]], num, den)
                 q, node = q[ok], node[ok]
             yield q, self.order[node]
@@ -319,7 +346,7 @@ def _tree_pairs(num: int, den: int):
 
     def make(block: pa.Table) -> dict[str, object] | None:
         key, label, n = (block.column(k).to_numpy() for k in ("key", "label", "n"))
-        counts = np.frombuffer(b"".join(block.column("counts").to_pylist()), np.uint32).reshape(-1, GROUPS)
+        counts = np.frombuffer(b"".join(block.column("point").to_pylist()), np.uint16).reshape(-1, GROUPS)
         tile = block.column("tile").to_numpy()
         left = np.flatnonzero(tile == block.column("ti")[0].as_py())
         right = np.flatnonzero(tile == block.column("tj")[0].as_py())
@@ -350,29 +377,38 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width:
     spark = docs.sparkSession
     plain = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     signatures = c.stored(_signatures(plain, width), "ngram-signatures")
-    rank = spark.sparkContext.broadcast(_ranks(signatures))
+    ranks, often = _ranks(signatures)
+    order = Order(spark.sparkContext.broadcast(ranks), often)
     named = signatures.where("slice is null").select("id", "n", F.expr("if(id is null, null, key)").alias("key"))
-
     texts = plain.where("id is not null")
-    in_block = F.min("key").over(Window.partitionBy("h"))
-    star = _stars(texts, width, num, den, rank).withColumn("head", in_block)
-    pairs = star.select(
-        F.explode(F.expr("array(struct(head as a, key as b), struct(key as a, other as b))")).alias("p")
-    ).select("p.a", "p.b")
-    tried = c.stored(pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "ngram-stars")
-
-    # the texts of the classes that share a block with another, one document of each class
-    shared = tried.select("a").union(tried.select("b")).distinct().withColumnRenamed("a", "key")
-    asked = named.where("key is not null").groupBy("key").agg(F.min("id").alias("id")).join(shared, "key")
-    points = c.stored(_points(texts.join(asked, "id").select("text", "key"), width, num, den, rank).dropDuplicates(["key"]), "ngram-points")
-
-    first = c.stored(_verified(_bounded(_with_counts(tried, points, num, den), num, den), points, num, den), "ngram-links")
-    label = components(first).select(F.col("node").alias("key"), F.col("root").alias("label"))
-
-    member = points.select("key", F.explode("prefix").alias("h")).join(label, "key", "left").select("h", "key", F.coalesce("label", "key").alias("label"))
-    member = c.stored(member, "ngram-members")
-    split = member.groupBy("h").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("m"), F.bit_xor(F.xxhash64("key")).alias("who"))
-    split = split.where("lo <> hi").groupBy("who", "m").agg(F.min("h").alias("h"))
+    owner = named.where("key is not null").groupBy("key").agg(F.min("id").alias("id"))
+
+    group = Window.partitionBy("h")
+    posting = _postings(texts, width, num, den, order).withColumn("head", F.min("key").over(group)).withColumn("last", F.max("key").over(group))
+    posting = c.stored(posting.where("head <> last or top is not null").drop("last"), "ngram-postings")
+    heads = posting.where("top is not null").select("top", "head").distinct()
+    pairs = posting.select(F.col("head").alias("a"), F.col("key").alias("b")).unionByName(
+        heads.join(heads.groupBy("top").agg(F.min("head").alias("a")), "top").select("a", F.col("head").alias("b"))
+    )
+    tried = c.stored(pairs.where("a <> b").distinct(), "ngram-stars")
+    # one point of each class that shares a block with another
+    shared = tried.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+    points = signatures.where("slice is null and id is not null").select("id", "key", "n", "point")
+    points = c.stored(points.join(owner.join(shared, "key"), ["key", "id"], "left_semi").dropDuplicates(["key"]).drop("id"), "ngram-points")
+    best = F.max_by("a", F.struct("slack", "a")).alias("a")
+    nearest = c.stored(_bounded(_with_counts(tried, points, num, den), num, den).groupBy("b").agg(best).select("a", "b"), "ngram-nearest")
+    links = c.stored(_verified(nearest, texts, owner, width, num, den), "ngram-links")
+    block = posting.select(F.coalesce("top", "h").alias("h"), "key").distinct()
+    for round_ in range(1, STAR_ROUNDS):
+        member, split = _unsettled(block, links)
+        other = F.min_by("key", F.xxhash64("key", F.lit(round_))).alias("a")
+        head = member.join(split.select("h"), "h").groupBy("h").agg(other).join(member.select("h", F.col("key").alias("a"), F.col("label").alias("of")), ["h", "a"])
+        pairs = member.join(head, "h").where("label <> of").select(F.least("a", "key").alias("a"), F.greatest("a", "key").alias("b")).distinct()
+        pairs = _bounded(_with_counts(pairs.join(nearest, ["a", "b"], "left_anti"), points, num, den), num, den)
+        pairs = c.stored(pairs.groupBy("b").agg(best).select("a", "b"), "ngram-nearest")
+        nearest = nearest.unionByName(pairs)
+        links = links.unionByName(c.stored(_verified(pairs, texts, owner, width, num, den), "ngram-links"))
+    member, split = _unsettled(block, links)
     tiles = F.expr(f"cast(ceil(m / {TILE}) as int)")
     dealt = (
         member.join(split, "h")
@@ -380,11 +416,11 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width:
         .withColumn("tile", F.expr("cast(pmod(xxhash64(key), tiles) as int)"))
         .select("h", "key", "label", "tile", F.explode(F.expr("transform(sequence(0, tiles - 1), t -> struct(least(t, tile) as ti, greatest(t, tile) as tj))")).alias("t"))
         .select("h", "key", "label", "tile", "t.ti", "t.tj")
-        .join(points.select("key", "n", "counts"), "key")
+        .join(points, "key")
     )
     more = c.over_groups(dealt, ["h", "ti", "tj"], [], _tree_pairs(num, den), "a long, b long").distinct()
-    second = _verified(more.join(tried, ["a", "b"], "left_anti"), points, num, den)
-    links = first.unionByName(second)
+    second = _verified(more.join(nearest, ["a", "b"], "left_anti"), texts, owner, width, num, den)
+    links = links.unionByName(second)
 
     root = components(links).select(F.col("node").alias("key"), "root")
     row = named.join(root, "key", "left").withColumn("root", F.coalesce("root", "key"))
@@ -394,6 +430,14 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width:
     )
 
 
+def _unsettled(block: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(h, key, label) with the components so far; (who, m, h): a block for each membership of several components."""
+    label = components(links).select(F.col("node").alias("key"), F.col("root").alias("label"))
+    member = c.stored(block.join(label, "key", "left").select("h", "key", F.coalesce("label", "key").alias("label")), "ngram-members")
+    blocks = member.groupBy("h").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("m"), F.bit_xor(F.xxhash64("key")).alias("who"))
+    return member, c.stored(blocks.where("lo <> hi").groupBy("who", "m").agg(F.min("h").alias("h")), "ngram-blocks")
+
+
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of `docs` whose id is the smallest of its group; rows without id stay, all columns are kept."""
     found = join(docs, id_col, text_col, **options).where("component_id <> {0}".format(id_col)).select(F.col(id_col).alias("_gone")).distinct()

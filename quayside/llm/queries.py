@@ -104,7 +104,7 @@ def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkS
     return run
 
 
-# The words of each document, its 5-word shingles, and components by repeated minima.
+# DuckDB has no crc32, so the hosts' is folded bit by bit.
 _OP2 = """
 with captures as (
   select page_id, nullif(lower(regexp_extract(url, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]+)', 1)), '') as host,
@@ -113,9 +113,9 @@ with captures as (
 named as (select distinct host from captures where host is not null),
 hosts as (
   select host, list_reduce(list_prepend(4294967295::bigint, list_transform(range(0, octet_length(encode(host))),
-             i -> ord(host[i + 1])::bigint)),
-           (crc, byte) -> list_reduce(list_prepend(xor(crc, byte), range(0, 8)),
-             (x, step) -> case when x & 1 = 1 then xor(x >> 1, 3988292384::bigint) else x >> 1 end)) as crc,
+             lambda i: ord(host[i + 1])::bigint)),
+           lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(0, 8)),
+             lambda x, step: case when x & 1 = 1 then xor(x >> 1, 3988292384::bigint) else x >> 1 end)) as crc,
          case when len(string_split(host, '.')) > 3 then substring(host, position('.' in host) + 1) end as parent
   from named),
 hashed as (select host, parent, xor(crc, 4294967295::bigint) as h from hosts),
@@ -141,7 +141,7 @@ from captures c left join hits h on h.page_id = c.page_id and h.place = 1
 """
 
 _WORDS = r"""
-words as (select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), w -> w <> '') as w from documents)
+words as (select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') as w from documents)
 """
 
 _OP5 = f"""
@@ -153,16 +153,16 @@ gone as (select distinct doc_id, unnest(range(s, s + 20)) as i from ranked where
 cut as (select doc_id, list(i) as g from gone group by doc_id),
 kept as (
   select doc_id, len(w) as n, coalesce(len(g), 0) as r,
-         array_to_string(case when g is null then w else list_filter(w, (x, i) -> not list_contains(g, i)) end, ' ') as t
+         array_to_string(case when g is null then w else list_filter(w, lambda x, i: not list_contains(g, i)) end, ' ') as t
   from words left join cut using (doc_id))
 select doc_id, cast(n as bigint) as n_words, cast(r as bigint) as n_removed, sha256(t) as kept_sha256 from kept
 """
 
 _OP8 = """
 with recursive usable as (
-  select vec_id, label, list_transform(embedding, x -> x::double) as v from embeddings
-  where embedding is not null and label is not null and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0
-    and len(list_filter(embedding, x -> x <> 0)) > 0),
+  select vec_id, label, list_transform(embedding, lambda x: x::double) as v from embeddings
+  where embedding is not null and label is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0),
 links as (
   select a.vec_id as a, b.vec_id as b from usable a join usable b
     on a.label = b.label and a.vec_id <> b.vec_id and len(a.v) = len(b.v)

@@ -54,9 +54,8 @@ def judge(captures: DataFrame, entries: DataFrame, id_col: str = "page_id", url_
     hit = part.join(spans, "pattern").where("fetched >= since and (until is null or fetched < until)")
     choice = F.struct((-F.length("pattern")).alias("size"), F.col("list"), F.col("pattern"))
     best = hit.groupBy("id", "host", "fetched").agg(F.min(choice).alias("best"))
-    every = capture.join(best, (capture["id"] == best["id"]) & capture["host"].eqNullSafe(best["host"]) & capture["fetched"].eqNullSafe(best["fetched"]), "left").select(
-        capture["id"], capture["host"], capture["fetched"], "best"
-    )
+    best = best.select(F.col("id").alias("hit_id"), F.col("host").alias("hit_host"), F.col("fetched").alias("hit_day"), "best")
+    every = capture.join(best, F.expr("id = hit_id and host = hit_host and fetched = hit_day"), "left")
     one = every.groupBy("id").agg(F.min(F.struct(F.col("best").isNull().alias("free"), "fetched", "host", "best")).alias("x"))
     return one.select(
         F.col("id").alias(id_col), F.col("x.host").alias("host"), F.col("x.fetched").alias("fetched"), (~F.col("x.free")).alias("blocked"),

@@ -15,7 +15,7 @@ from __future__ import annotations
 import argparse
 import sys
 from dataclasses import replace
-from datetime import date, datetime
+from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -62,7 +62,8 @@ def outcomes(feeds: Feeds, params: Params, args: argparse.Namespace) -> int:
 
 
 def release(feeds: Feeds, params: Params, args: argparse.Namespace) -> int:
-    done = build.release(feeds, params, args.root, args.run_id)
+    run_id = args.run_id or datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%SZ")
+    done = build.release(feeds, params, args.root, run_id)
     print(done)
     return 0 if done.published else 1
 
@@ -78,7 +79,7 @@ def _show(report: DataFrame, failing: str) -> int:
 
 
 def _run_root(args: argparse.Namespace) -> str:
-    return f"{args.root}/runs/{args.run_id}"
+    return f"{args.root}/runs/{args.run_id or 'manual'}"
 
 
 def _params(args: argparse.Namespace) -> Params:
@@ -96,7 +97,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     for name in ("feeds", "dims", "root"):
         parser.add_argument(f"--{name}", required=True)
     parser.add_argument("--format", choices=("csv", "parquet"), default="csv")
-    parser.add_argument("--run-id", default="manual")
+    parser.add_argument("--run-id", help="of run, test and outcomes: manual; of release: the time, an id used before is refused")
     for name in ("as-of", "go-live", "now"):
         parser.add_argument(f"--{name}")
     return parser.parse_args(argv)

@@ -104,9 +104,9 @@ DRIVER = Params(
     focus_customers=tuple(f"CUST-{k:012d}" for k in range(0, 108, 9)),
     bands=_driver_bands(),
     outages=(
-        Outage("Operations", datetime(2024, 1, 5, 9), datetime(2024, 1, 5, 15), "mailbox unreachable"),
-        Outage("Operations", datetime(2024, 1, 5, 13), datetime(2024, 1, 5, 18), "mailbox unreachable"),
-        Outage("Finance", datetime(2024, 1, 12, 20), datetime(2024, 1, 14, 8), "agent host offline"),
+        Outage("Finance", datetime(2024, 1, 3, 22), datetime(2024, 1, 4, 6), "export held back"),
+        Outage("Operations", datetime(2024, 1, 18, 2), datetime(2024, 1, 18, 7), "queue paused"),
+        Outage("Operations", datetime(2024, 1, 18, 6), datetime(2024, 1, 19, 1), "queue paused"),
     ),
     source_systems=("Operations", "Finance"),
     now=datetime(2024, 1, 31, 2, 0, 0),

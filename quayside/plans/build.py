@@ -6,7 +6,7 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 
 from quayside.operators import ingest, mart, rules, staging
 from quayside.operators.quality import suite_report
@@ -117,8 +117,9 @@ class Release:
 def release(feeds: Feeds, params: Params, root: str, run_id: str, tolerate: frozenset[str] = frozenset()) -> Release:
     """Freshness, then build, then checks; the run becomes current only if nothing blocks it.
 
-    Each run is written to its own folder and `<root>/current` names the released one, so a
-    failed or lost run never disturbs what readers see. Only the verdicts reach the driver.
+    Each run is written to a folder of its own; a run id used before is refused. Released runs are
+    appended to `<root>/current`, and readers take the newest, so a blocked, failed or lost run
+    never disturbs what they see. Only the verdicts reach the driver.
     """
     spark = feeds.spark
     fresh = ingest.source_freshness(
@@ -128,18 +129,24 @@ def release(feeds: Feeds, params: Params, root: str, run_id: str, tolerate: froz
     run_root = f"{root}/runs/{run_id}"
     if stale:
         return Release(run_root, False, stale, {})
+    # fails where the folder exists, before anything in it is touched
+    spark.createDataFrame([(run_id,)], "run_id string").coalesce(1).write.mode("error").parquet(f"{run_root}/started")
     write_mart(feeds, params, run_root)
     relations = all_relations(feeds, params).replaced(read_mart(spark, run_root))
     failed = suite_report(spark, declared_checks(params), relations).where("status = 'fail'").collect()
     failures = {r["check_name"]: r["failures"] for r in failed if r["check_name"] not in tolerate}
     if failures:
         return Release(run_root, False, stale, failures)
-    spark.createDataFrame([(run_id, run_root)], "run_id string, root string").coalesce(1).write.mode("overwrite").parquet(
-        f"{root}/current"
-    )
+    pointer = spark.createDataFrame([(run_id, run_root)], "run_id string, root string").selectExpr("*", "current_timestamp() as released_at")
+    pointer.coalesce(1).write.mode("append").parquet(f"{root}/current")
     return Release(run_root, True, stale, {})
 
 
+def released(spark: SparkSession, root: str) -> Row:
+    """The newest released run: run_id, root, released_at."""
+    return spark.read.parquet(f"{root}/current").selectExpr("max_by(struct(*), released_at) as run").first()["run"]
+
+
 def current_mart(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """The tables of the released run."""
-    return read_mart(spark, spark.read.parquet(f"{root}/current").first()["root"])
+    return read_mart(spark, released(spark, root)["root"])

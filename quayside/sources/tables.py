@@ -25,33 +25,24 @@ from quayside.sources.frames import Feeds
 CARRIERS = 9
 NATIONS = 25
 BRANCHES = 5
-LINE_SLOT = 100  # keys of one job's lines occupy job*100 .. job*100+99
-CREDIT_SLOT = 99
-
-# The short reference lists.
-MODES = """VALUES
-    (1L, 'Ocean', 'Full', 'Ocean / Full', 'TEU'),
-    (2L, 'Ocean', 'Shared', 'Ocean / Shared', 'TEU'),
-    (3L, 'Air', 'Economy', 'Air / Economy', 'kg'),
-    (4L, 'Air', 'Priority', 'Air / Priority', 'kg')
-    AS t(mode_key, mode, service_level, mode_service, unit_of_measure)"""
-CHARGE_TYPES = """VALUES
-    (1L, 'SEA', 'Sea haulage', 'Base Cost', 'Ocean', true),
-    (2L, 'FLY', 'Air haulage', 'Base Cost', 'Air', true),
-    (3L, 'LOD', 'Loading', 'Base Cost', 'Both', true),
-    (4L, 'UNL', 'Unloading', 'Base Cost', 'Both', true),
-    (5L, 'CLR', 'Border clearance', 'Base Cost', 'Both', true),
-    (6L, 'PPR', 'Paperwork', 'Base Cost', 'Both', false),
-    (7L, 'ROD', 'Road leg', 'Base Cost', 'Both', true),
-    (8L, 'BNK', 'Bunker levy', 'Surcharge', 'Ocean', true),
-    (9L, 'CUR', 'Currency levy', 'Surcharge', 'Ocean', true),
-    (10L, 'PEK', 'Peak levy', 'Surcharge', 'Both', true),
-    (11L, 'HLD', 'Holding levy', 'Surcharge', 'Ocean', true),
-    (12L, 'DLY', 'Delay levy', 'Surcharge', 'Ocean', false),
-    (13L, 'FUL', 'Fuel levy', 'Surcharge', 'Air', true),
-    (14L, 'SCR', 'Screening levy', 'Surcharge', 'Air', true),
-    (15L, 'RSK', 'Risk levy', 'Surcharge', 'Both', false)
-    AS t(charge_type_key, charge_code, charge_name, charge_category, applies_to_mode, is_passthrough_expected)"""
+LINE_SLOT = 100_000  # keys of one job's lines occupy job*LINE_SLOT onwards; a job with more lines fails
+CREDIT_SLOT = LINE_SLOT - 1
+
+BRANDS = 25  # of the part table: each is a kind of charge
+# Two modes with two grades each; the metrics know the modes by name and measure them in these units.
+MODES = """(SELECT mode_key, mode, service_level, concat(mode, ' / ', service_level) AS mode_service, unit_of_measure
+    FROM (SELECT cast(m + 1 AS bigint) AS mode_key, if(m < 2, 'Ocean', 'Air') AS mode, if(m % 2 = 0, 'Grade 1', 'Grade 2') AS service_level,
+                 if(m < 2, 'TEU', 'kg') AS unit_of_measure
+          FROM (VALUES (0), (1), (2), (3)) AS g(m)) AS grades) AS t"""
+# A charge type for each brand of the part table. Odd brands are base costs.
+CHARGE_TYPES = """SELECT brand AS charge_type_key, concat('BR', cast(brand AS string)) AS charge_code,
+    concat('Service ', cast(brand AS string)) AS charge_name,
+    if(brand % 2 = 1, 'Base Cost', 'Surcharge') AS charge_category,
+    case brand % 5 when 0 then 'Ocean' when 1 then 'Air' else 'Both' end AS applies_to_mode,
+    brand % 4 <> 3 AS is_passthrough_expected
+    FROM (SELECT DISTINCT try_cast(substring(p_brand, 7) AS bigint) AS brand FROM {part}) AS brands
+    WHERE brand IS NOT NULL"""
+# The event types of the events table, as exceptions.
 EXCEPTION_TYPES = """VALUES
     (1L, 'CLICK', 'Query raised', 'Low', 'Customer'),
     (2L, 'ERROR', 'Document error', 'High', 'Carrier'),
@@ -59,6 +50,8 @@ EXCEPTION_TYPES = """VALUES
     (4L, 'SIGNUP', 'Registration hold', 'Medium', 'Customs'),
     (5L, 'VIEW', 'Inspection', 'Low', 'Customs')
     AS t(exception_type_key, exception_code, exception_name, severity, responsible_party)"""
+# Columns that order the lines of a job; rows equal in all of them are interchangeable.
+LINE_ORDER = ("linenumber", "partkey", "suppkey", "extendedprice", "quantity", "discount", "tax", "shipdate", "returnflag", "linestatus")
 COMMODITIES = ("Textiles", "Machinery", "Chemicals", "Foodstuffs", "Electronics")
 INCOTERMS = ("fob", "cif ", "exw", " dap")
 
@@ -192,23 +185,22 @@ class TableFeeds(Feeds):
     # ------------------------------------------------------------- charges --
     @cached_property
     def charge_base(self) -> DataFrame:
-        """One row per (job, line): the table repeats pairs, so they are collapsed before the join.
+        """Every row of the line table with its job; lines are numbered within the job.
 
-        Charges, invoice lines and receipts all derive from this. What sets them apart (who is
-        billed, who pays, which references are missing) hangs on the customer or the amount and
-        not on the line's own key, so no filter of theirs moves below this aggregation and a plan
-        with several of them reads and shuffles the table once.
+        Line numbers repeat in the table, so they are counted anew, in the order of all columns. The
+        count and the join to the jobs need the same shuffle. Charges, invoice lines and receipts all
+        derive from this.
         """
+        order = ", ".join(f"l_{c}" for c in LINE_ORDER)
         return (
             self.table("lineitem")
-            .groupBy("l_orderkey", "l_linenumber")
-            .agg(expr("max(l_extendedprice) as price"), expr("min(l_suppkey) as supplier"))
-            .withColumnRenamed("l_orderkey", "k")
+            .selectExpr("l_orderkey as k", f"row_number() over (partition by l_orderkey order by {order}) as row", "l_suppkey as supplier", "l_extendedprice as price")
             .join(self.jobs.select("k", "cust", "booking", "completed"), "k")
             .selectExpr(
-                "k", "cast(l_linenumber as bigint) as line", "supplier", "cust", "booking", "completed",
+                "k", f"if(row < {CREDIT_SLOT}, cast(row as bigint), raise_error('a job has more lines than its keys')) as line",
+                "supplier", "cust", "booking", "completed",
                 f"{money.scaled(money.amount('price'), '0.7')} as cost",
-                "1 + (k + 4 * line) % 15 as charge_type",
+                f"1 + (k + 4 * line) % {BRANDS} as charge_type",
                 f"{dates.plus_days('booking', '(k * 7 + line * 11) % 60')} as charge_day",
             )
         )
@@ -428,7 +420,7 @@ class TableFeeds(Feeds):
 
     @cached_property
     def dim_charge_type(self) -> DataFrame:
-        return self._values(CHARGE_TYPES)
+        return self.spark.sql(CHARGE_TYPES, part=self.table("part"))
 
     @cached_property
     def dim_exception_type(self) -> DataFrame:

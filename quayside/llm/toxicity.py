@@ -35,6 +35,8 @@ WORDS = 20_000
 GRAMS = 30_000
 LEAST = 4
 ROUNDS = 5
+#: Least steps of a round; few windows are gone through again and again.
+STEPS = 60
 #: One in so many sampled texts is kept from training, to calibrate the score.
 CALIBRATE = 3
 BATCH = 256
@@ -288,7 +290,9 @@ def _fit_network(toxic: list[bytes], clean: list[bytes], seed: int) -> Network:
             use = np.flatnonzero((y == 0) | (score >= top(score)[owner]))
         weight = np.where(y == 1, (y[use] == 0).sum() / max(1, (y[use] == 1).sum()), 1.0).astype(np.float32) ** 0.5
         adam.rate = 0.01 * 0.6**round_
-        for part in np.array_split(rng.permutation(use), max(1, len(use) // BATCH)):
+        batches = max(1, len(use) // BATCH)
+        order_ = [part for _ in range(-(-STEPS // batches)) for part in np.array_split(rng.permutation(use), batches)]
+        for part in order_:
             x, back, distinct, at, which = inputs(rows[part])
             g, dx = _gradients(x[back.T], filled[part].T, y[part], weight[part], p)
             adam.n += 1

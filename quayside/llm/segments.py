@@ -8,17 +8,18 @@ segment by segment with the very ids of the whole, and most segments are words m
 from __future__ import annotations
 
 import base64
+import contextlib
 import os
 import re
 from collections.abc import Callable
 
 import numpy as np
 
-#: Segments kept per worker, and the longest one kept, in characters: tens of megabytes at most.
+#: Segments of a generation of a worker's cache, and the longest one kept, in characters: tens of megabytes at most.
 CACHE_SEGMENTS = 200_000
 CACHE_CHARS = 32
 
-_DOUBLE = re.compile(r"\s\s|^\s|\s$")
+_DOUBLE = re.compile(r"\s(?:\s|\Z)")
 _BREAK = re.compile(r"(?<=\S) (?=\S)")
 _MADE: dict[tuple[str, str], SegmentEncoder] = {}
 
@@ -26,25 +27,42 @@ Encode = Callable[[list[str]], list[bytes]]
 
 
 class SegmentEncoder:
-    def __init__(self, encode: Encode):
+    """`encode` gives the ids of texts; `leads` tells for every id whether its bytes begin with a space."""
+
+    def __init__(self, encode: Encode, leads: np.ndarray):
         self.encode = encode
+        self.leads = leads
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Ids of every text as little-endian unsigned 32-bit integers."""
-        parts = [_BREAK.split(t) if _DOUBLE.search(t) else t.split(" ") for t in texts]
+        parts = [_BREAK.split(t) if t[:1].isspace() or _DOUBLE.search(t) else t.split(" ") for t in texts]
         heads = self.encode([p[0] for p in parts])
-        missing = [x for x in {x for p in parts for x in p[1:]} if x not in self.known]
-        fresh = dict(zip(missing, self.encode([" " + m for m in missing]), strict=True))
-        if len(self.known) + len(fresh) > CACHE_SEGMENTS:
-            fresh = {**self.known, **fresh}
-            self.known = {}
-        else:
-            self.known.update((k, v) for k, v in fresh.items() if len(k) <= CACHE_CHARS)
-        known = self.known
-        if all(len(m) <= CACHE_CHARS for m in missing) and known:
-            return [h + b"".join([known[x] for x in p[1:]]) for h, p in zip(heads, parts, strict=True)]
-        return [h + b"".join([known[x] if x in known else fresh[x] for x in p[1:]]) for h, p in zip(heads, parts, strict=True)]
+        if len(self.known) > CACHE_SEGMENTS:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        missing = [x for x in {x for p in parts for x in p[1:]} if x not in known]
+        known.update((x, older[x]) for x in missing if x in older)
+        known.update(self._fresh([x for x in missing if x not in older]))
+        out = [h + b"".join([known[x] for x in p[1:]]) for h, p in zip(heads, parts, strict=True)]
+        for x in missing:
+            if len(x) > CACHE_CHARS:
+                del known[x]
+        return out
+
+    def _fresh(self, segments: list[str]) -> dict[str, bytes]:
+        """Ids of new segments, each after a space: encoded as one text, which falls apart at the ids that begin with one."""
+        joined = [x for x in segments if " " not in x and not x[-1].isspace()]
+        made: dict[str, bytes] = {}
+        if joined:
+            raw = self.encode(["".join([" " + x for x in joined])])[0]
+            cuts = np.append(np.flatnonzero(self.leads[np.frombuffer(raw, "<u4")]) * 4, len(raw)).tolist()
+            if len(cuts) == len(joined) + 1 and not cuts[0]:
+                made = {x: raw[i:j] for x, i, j in zip(joined, cuts, cuts[1:], strict=False)}
+        rest = [x for x in segments if x not in made]
+        made.update(zip(rest, self.encode([" " + x for x in rest]), strict=True))
+        return made
 
 
 def _file(name_or_path: str) -> str:
@@ -68,7 +86,11 @@ def json_encoder(vocabulary: str) -> SegmentEncoder:
         def encode(texts: list[str]) -> list[bytes]:
             return [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-        _MADE[key] = SegmentEncoder(encode)
+        words = tokenizer.get_vocab(with_added_tokens=True)
+        space = tokenizer.pre_tokenizer.pre_tokenize_str(" ")[0][0]  # how the file writes the byte of a space
+        leads = np.zeros(max(words.values()) + 1, bool)
+        leads[[i for word, i in words.items() if word.startswith(space)]] = True
+        _MADE[key] = SegmentEncoder(encode, leads)
     return _MADE[key]
 
 
@@ -82,6 +104,14 @@ def rank_encoding(vocabulary: str):
     return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+def _by_rank(encoding) -> np.ndarray:
+    leads = np.zeros(encoding.n_vocab, bool)
+    for i in range(encoding.n_vocab):
+        with contextlib.suppress(KeyError):  # a rank without token
+            leads[i] = encoding.decode_single_token_bytes(i).startswith(b" ")
+    return leads
+
+
 _RANKED: dict[str, tuple] = {}
 
 
@@ -93,5 +123,5 @@ def rank_encoder(vocabulary: str) -> tuple[SegmentEncoder, object]:
         def encode(texts: list[str]) -> list[bytes]:
             return [np.array(encoding.encode_ordinary(t), "<u4").tobytes() for t in texts]
 
-        _RANKED[vocabulary] = (SegmentEncoder(encode), encoding)
+        _RANKED[vocabulary] = (SegmentEncoder(encode, _by_rank(encoding)), encoding)
     return _RANKED[vocabulary]

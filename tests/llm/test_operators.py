@@ -281,3 +281,19 @@ def test_url_filters(spark):
     no = (False, None, None)
     assert got == {1: (True, "y", "a.b.org"), 2: no, 3: no, 4: no, 5: no}
     assert not any(r["blocked"] for r in url_filters.judge(pages, days.where("false")).collect())
+
+
+def test_segments_encoded_together_are_those_of_the_whole_text(monkeypatch):
+    """New segments are encoded as one text; ids stay those of the whole, whatever white space and however small the cache."""
+    import random
+
+    from quayside.llm import segments
+
+    rng = random.Random(5)
+    bits = ["a", "b", " ", "  ", "\n", "\t", "'s", "é", "　", "\xa0", "\x1c", "7", "!", "<|endoftext|>", "\x85", "中", "ab cd ef", "x" * 40]
+    texts = ["".join(rng.choice(bits) for _ in range(rng.randrange(60))) for _ in range(600)]
+    monkeypatch.setattr(segments, "CACHE_SEGMENTS", 50)
+    for encoder in (segments.json_encoder("byte_bpe_50k.json"), segments.rank_encoder("byte_bpe_multi_50k.tiktoken")[0]):
+        whole = encoder.encode(texts)
+        assert [x for k in range(0, 600, 7) for x in encoder(texts[k : k + 7])] == whole
+        assert [encoder([t])[0] for t in texts] == whole

@@ -122,15 +122,19 @@ def _merged(outages: tuple[Outage, ...]) -> list[Outage]:
     return out
 
 
-def source_freshness(runs: DataFrame, now: datetime, warn_hours: int, error_hours: int) -> DataFrame:
-    """Age of the newest run of each source at `now`, and its verdict."""
+def source_freshness(
+    runs: DataFrame, now: datetime, warn_hours: int, error_hours: int, sources: tuple[str, ...] = ()
+) -> DataFrame:
+    """Age of the newest run of each source at `now`, and its verdict; a declared source without runs is an error."""
+    newest = runs.groupBy("source_system").agg(F.expr("max(run_timestamp) as newest_run"))
+    if sources:
+        declared = runs.sparkSession.sql(f"SELECT * FROM VALUES {', '.join(f'({literal(s)})' for s in sources)} AS t(source_system)")
+        newest = newest.join(declared, "source_system", "full")
     return (
-        runs.groupBy("source_system")
-        .agg(F.expr("max(run_timestamp) as newest_run"))
-        .selectExpr("*", f"timestampdiff(SECOND, newest_run, {instant(now)}) as age_seconds")
+        newest.selectExpr("*", f"timestampdiff(SECOND, newest_run, {instant(now)}) as age_seconds")
         .selectExpr(
             "*",
-            f"""case when age_seconds > {error_hours * 3600} then 'error' when age_seconds > {warn_hours * 3600} then 'warn'
+            f"""case when age_seconds is null or age_seconds > {error_hours * 3600} then 'error' when age_seconds > {warn_hours * 3600} then 'warn'
                      else 'pass' end as status""",
         )
     )

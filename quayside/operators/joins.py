@@ -31,13 +31,6 @@ def match_to_jobs(rows: DataFrame, row_id: str, jobs: DataFrame) -> DataFrame:
     return left.join(right, "match_key", "left").drop("match_key")
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
-    """Broadcast hint for a set whose row count has been checked; unhinted beyond the limit."""
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
 def orphan_keys(child: DataFrame, parent: DataFrame, key: str, parent_key: str | None = None) -> DataFrame:
     """Child keys with no parent and how many rows carry each; missing keys never match.
 

@@ -16,14 +16,14 @@ from pyspark.sql.functions import expr
 from quayside.functions.dates import day, reporting_lag_days
 from quayside.functions.money import ratio
 from quayside.functions.text import literal
-from quayside.operators.joins import broadcast_if_small, lookup, orphan_keys
+from quayside.operators.joins import lookup, orphan_keys
 from quayside.params import Params
 
 
 # ---------------------------------------------------------------- cohorts --
 def members(dim: DataFrame, key: str, code_column: str, codes: tuple[str, ...]) -> DataFrame:
-    """Keys of the listed codes; broadcast once counted to be few."""
-    return broadcast_if_small(dim.where(F.col(code_column).isin(*codes)).select(key)).distinct()
+    """Keys of the listed codes. No hint and no count: adaptive execution picks the join from measured sizes."""
+    return dim.where(F.col(code_column).isin(*codes)).select(key).distinct()
 
 
 def with_membership(df: DataFrame, group: DataFrame, key: str, flag: str) -> DataFrame:

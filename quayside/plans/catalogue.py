@@ -390,7 +390,7 @@ def outage_tagging(feeds, params):
 @query
 def source_freshness(feeds, params):
     return ingest.source_freshness(
-        mart.fact_pipeline_runs(feeds), params.now, params.freshness_warn_hours, params.freshness_error_hours
+        mart.fact_pipeline_runs(feeds), params.now, params.freshness_warn_hours, params.freshness_error_hours, params.source_systems
     )
 
 

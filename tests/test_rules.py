@@ -191,3 +191,9 @@ def test_receipts_without_invoice_do_not_settle(small):
 
 def test_every_job_is_kept(small):
     assert rules.shipments_conformed(small).count() == len(JOBS)
+
+
+def test_declared_source_without_runs_is_an_error(spark):
+    none = spark.sql("select 'Tally' as source_system, timestamp_ntz'2025-01-01 00:00:00' as run_timestamp").where("false")
+    fresh = ingest.source_freshness(none, PARAMS.now, 2, 4, ("Tally", "Finance")).collect()
+    assert {(r["source_system"], r["newest_run"], r["status"]) for r in fresh} == {("Tally", None, "error"), ("Finance", None, "error")}

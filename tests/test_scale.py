@@ -7,7 +7,7 @@ from pyspark.sql.functions import spark_partition_id
 
 from quayside import session
 from quayside.operators import mart, rules, staging
-from quayside.operators.joins import broadcast_if_small, match_to_jobs
+from quayside.operators.joins import match_to_jobs
 from quayside.params import DRIVER
 from quayside.plans import catalogue
 from quayside.sources.frames import Feeds
@@ -116,10 +116,13 @@ def test_settlement_reads_the_lines_once_and_joins_without_a_shuffle_of_its_own(
     assert len(re.findall(r"hashpartitioning\(invoice_number", settled)) == 2
 
 
-def test_only_small_sets_are_broadcast(spark):
-    hinted = lambda df: "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
-    assert hinted(broadcast_if_small(spark.range(10), 10))
-    assert not hinted(broadcast_if_small(spark.range(11), 10))
+def test_cohorts_start_no_job_and_give_no_hint(spark):
+    from quayside.operators.kpi import members
+
+    dim = spark.range(20_000).selectExpr("id as customer_key", "cast(id as string) as code")
+    found = members(dim, "customer_key", "code", tuple(str(i) for i in range(20)))
+    assert "ResolvedHint" not in found._jdf.queryExecution().analyzed().toString()
+    assert found.count() == 20
 
 
 def test_no_query_plans_a_cross_join_or_python_rows(spark, conf):

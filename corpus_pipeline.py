@@ -21,8 +21,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that match an earlier one."""
-    return lines.without_repeats(docs)
+    """Documents without the lines that match an earlier one, however few their words; blank lines stay."""
+    return lines.without_repeats(docs, min_words=1)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

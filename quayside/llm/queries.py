@@ -56,7 +56,7 @@ def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines.decide(table(spark, sf_dir, "documents"))
+    return lines.decide(table(spark, sf_dir, "documents"), min_words=1)
 
 
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -297,3 +297,15 @@ def test_segments_encoded_together_are_those_of_the_whole_text(monkeypatch):
         whole = encoder.encode(texts)
         assert [x for k in range(0, 600, 7) for x in encoder(texts[k : k + 7])] == whole
         assert [encoder([t])[0] for t in texts] == whole
+
+
+def test_short_lines_repeat_too(spark, tmp_path):
+    """The query and the pipeline judge lines of one or two distinct words; only blank ones are exempt."""
+    import corpus_pipeline
+
+    docs = spark.createDataFrame([(1, "Go.\n\na b\nw w w"), (2, "Go.\n\nb a\nx"), (3, "w\n \t\nGo.")], "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    found = {(r["doc_id"], r["line_no"]) for r in queries.op6_lines(spark, str(tmp_path)).where("removed").collect()}
+    assert found == {(2, 0), (2, 2), (3, 0), (3, 2)}
+    kept = {r["doc_id"]: r["text"] for r in corpus_pipeline.line_stage(spark, docs, str(tmp_path)).collect()}
+    assert kept == {1: "Go.\n\na b\nw w w", 2: "\nx", 3: " \t"}

@@ -26,6 +26,9 @@ SAMPLE = 1500
 SAMPLE_CHARS = 20_000
 #: The network itself learns from texts of at most so many characters; longer ones only calibrate.
 TRAIN_CHARS = 3_000
+#: Longest word; a longer run between white space is cut into words that share `SHARED` characters.
+LONGEST = 40
+SHARED = 3
 WINDOW = 32
 STRIDE = 24
 INPUT = 12
@@ -53,9 +56,23 @@ def normal(word: str) -> str:
     return word.strip(_STRIP).lower()
 
 
+def words_of(text: str) -> list[str]:
+    """All of a text's words; long runs, as in scripts without spaces, in pieces that lose no four-gram."""
+    words = text.split()
+    if all(len(w) <= LONGEST for w in words):
+        return words
+    out = []
+    for w in words:
+        if len(w) > LONGEST and len(run := normal(w)) > LONGEST:
+            out += [run[i : i + LONGEST] for i in range(0, len(run) - SHARED, LONGEST - SHARED)]
+        else:
+            out.append(w)
+    return out
+
+
 def grams(word: str) -> list[str]:
     """Character four-grams, marked at both ends; a shorter word is one n-gram."""
-    w = f"^{word[:40]}$"
+    w = f"^{word}$"
     return [w[i : i + 4] for i in range(len(w) - 3)] or [w]
 
 
@@ -216,7 +233,7 @@ def fit(toxic: list[bytes], clean: list[bytes], seed: int = 5) -> Network:
 
 def _fit_network(toxic: list[bytes], clean: list[bytes], seed: int) -> Network:
     rng = np.random.default_rng(seed)
-    texts = [t.decode("utf-8", "replace").split() for t in [*toxic, *clean]]
+    texts = [words_of(t.decode("utf-8", "replace")) for t in [*toxic, *clean]]
     truth = np.array([1] * len(toxic) + [0] * len(clean))
     seen: dict[str, int] = {}
     count: dict[str, int] = {}
@@ -352,7 +369,7 @@ class Scorer:
     def evidence(self, texts: list[str]) -> np.ndarray:
         """The logit of each text's highest window; minus infinity without words."""
         ids, owner, length = [], [], []
-        split = [t.split() for t in texts]
+        split = [words_of(t) for t in texts]
         flat = self._rows([w for ws in split for w in ws])
         begin = np.cumsum([0, *(len(ws) for ws in split)])
         for i, ws in enumerate(split):
@@ -380,6 +397,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_
 def score(docs: DataFrame, net: Network, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """One row per row of `docs`: id, score, predicted. Null, empty and blank texts score 0.
 
+    The whole text is read, runs of any length between white space too (see `words_of`).
     Rows are scored one by one, so repeated rows and null ids come back as they are. Other columns
     are not read; an empty table gives an empty result.
     """

@@ -309,3 +309,19 @@ def test_short_lines_repeat_too(spark, tmp_path):
     assert found == {(2, 0), (2, 2), (3, 0), (3, 2)}
     kept = {r["doc_id"]: r["text"] for r in corpus_pipeline.line_stage(spark, docs, str(tmp_path)).collect()}
     assert kept == {1: "Go.\n\na b\nw w w", 2: "\nx", 3: " \t"}
+
+
+def test_toxicity_reads_long_runs_to_their_end():
+    """What follows the 40th character of a run without blanks counts, wherever it stands."""
+    rng = np.random.default_rng(6)
+    for n in (41, 43, 77, 78, 1000):
+        run = "".join(rng.choice(list("abcdefgh"), n))
+        pieces = toxicity.words_of(f"so {run} on")
+        assert pieces[0] == "so" and pieces[-1] == "on" and max(map(len, pieces)) <= 40
+        assert {run[i : i + 4] for i in range(n - 3)} <= {g for w in pieces[1:-1] for g in toxicity.grams(w)}
+    assert toxicity.words_of("a " + "b" * 40 + "... --") == ["a", "b" * 40 + "...", "--"]
+    for link in ("_", "-", "/"):
+        head = link.join(["such", "a", "day"] * 5)  # the same 40 characters begin either class
+        toxic, clean = ([link.join([head, *tail * 20, str(i)]) for i in range(13)] for tail in (["you", "idiot", "clown"], ["walk", "along", "river"]))
+        scores = toxicity.Scorer(toxicity.fit(*([t.encode() for t in x[1:]] for x in (toxic, clean)))).scores([toxic[0], clean[0]])
+        assert scores[0] > 0.5 > scores[1]

@@ -421,14 +421,14 @@ def _landed(feeds, label, build_stream):
 
 @query
 def stream_hourly_counts(feeds, params):
-    """Event rows and rejects per source and closed hour, from a watermarked stream."""
+    """Event rows and rejects per source and closed hour, late rows too: events land as they come, then are counted."""
     runs = (
         "ts as run_timestamp",
         "if(event_type in ('click', 'view'), 'Operations', 'Finance') as source_system",
         "1L as records_processed",
         "if(event_type = 'error', 1L, 0L) as records_rejected",
     )
-    return _landed(feeds, "hourly", lambda events: landing.hourly_run_log(events.selectExpr(*runs)))
+    return landing.closed_hours(_landed(feeds, "hourly", lambda events: events.selectExpr(*runs)))
 
 
 @query

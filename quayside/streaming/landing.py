@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from quayside.operators import ingest
+
 
 def file_stream(spark: SparkSession, path: str, schema, files_per_batch: int | None = None) -> DataFrame:
     """New parquet files of a folder as a stream; the schema is declared, never inferred."""
@@ -41,6 +43,20 @@ def hourly_run_log(runs: DataFrame, lateness: str = "2 hours") -> DataFrame:
     )
 
 
+def closed_hours(landed: DataFrame, lateness: str = "2 hours") -> DataFrame:
+    """`hourly_run_log` over a table of landed runs: every row of a closed hour counts, in whatever order it came.
+
+    An hour is closed when the newest landed run is `lateness` or more past its end.
+    """
+    newest = landed.agg(F.max("run_timestamp").alias("newest"))
+    return (
+        ingest.hourly_run_log(landed)
+        .crossJoin(F.broadcast(newest))
+        .where(f"hour + interval 1 hour + interval {lateness} <= newest")
+        .drop("newest")
+    )
+
+
 def land(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Append everything available to a parquet table and stop; the next run resumes at the checkpoint."""
     return (

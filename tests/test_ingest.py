@@ -1,9 +1,14 @@
+import collections
+import time
 from datetime import date, datetime, timedelta
 from decimal import Decimal
 
 from quayside.operators import ingest, mart
-from quayside.params import Outage
+from quayside.params import DRIVER, Outage
+from quayside.plans import catalogue
+from quayside.sources.tables import TableFeeds
 from quayside.streaming import landing
+from tests.conftest import SF_DIR
 from tests.fixtures import feeds
 
 T0 = datetime(2025, 1, 1)
@@ -100,3 +105,23 @@ def test_stream_run_log_resumes_and_drops_late_rows(spark, tmp_path):
     batch = ingest.hourly_run_log(spark.read.schema(RUNS).parquet(f"{tmp_path}/in").where("records_processed < 100"))
     closed = {(r["hour"], r["source_system"]): (r["runs"], r["records_processed"], r["records_rejected"]) for r in batch.collect()}
     assert {k: v for k, v in closed.items() if k[0] < at(9)} == second
+
+
+def test_stream_hourly_counts_do_not_depend_on_the_order_of_arrival(spark, tmp_path, monkeypatch):
+    """Files that are read one by one, newest first, lose no row of a closed hour."""
+    events = spark.read.parquet(f"{SF_DIR}/events.parquet")
+    rows = sorted(events.collect(), key=lambda r: r["ts"], reverse=True)
+    size = -(-len(rows) // 4)
+    for k in range(4):
+        part = spark.createDataFrame(rows[k * size : (k + 1) * size], events.schema).coalesce(1)
+        part.write.mode("append").parquet(f"{tmp_path}/events.parquet")
+        time.sleep(0.05)  # the stream takes files by their time
+    want = collections.Counter()
+    for r in rows:
+        hour = r["ts"].replace(minute=0, second=0, microsecond=0)
+        if hour + timedelta(hours=3) <= rows[0]["ts"]:
+            want[(hour, "Operations" if r["event_type"] in ("click", "view") else "Finance")] += 1
+    stream = landing.file_stream
+    monkeypatch.setattr(landing, "file_stream", lambda *args: stream(*args, files_per_batch=1))
+    found = catalogue.stream_hourly_counts(TableFeeds(spark, str(tmp_path), DRIVER), DRIVER).collect()
+    assert {(r["hour"], r["source_system"]): r["runs"] for r in found} == dict(want)

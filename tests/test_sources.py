@@ -1,3 +1,5 @@
+import pytest
+
 from quayside.operators import mart, rules
 from quayside.sources.frames import csv_feeds, parquet_feeds
 from quayside.sources.schemas import DIMS, FEED_FILES, FEEDS
@@ -35,6 +37,55 @@ def test_csv_header_must_match_the_declared_columns(spark, tmp_path):
         raise AssertionError("a wrong header was accepted")
 
 
+DIM = "dim_mode"
+
+
+def export(spark, folder, text, name=DIM):
+    folder.mkdir(exist_ok=True)
+    (folder / f"{name}.csv").write_text(text)
+    return csv_feeds(spark, str(folder), str(folder)).export("dim", name)
+
+
+def test_csv_columns_are_bound_by_their_names(spark, tmp_path):
+    text = "note,unit_of_measure, mode_service,mode,service_level,mode_key,more\nx,kg,Air / A,Air,A,2,y\nx,TEU,Ocean / B,Ocean,B,1,\n"
+    found = export(spark, tmp_path, text)
+    assert {tuple(r) for r in found.valid.collect()} == {(2, "Air", "A", "Air / A", "kg"), (1, "Ocean", "B", "Ocean / B", "TEU")}
+    assert found.valid.schema.simpleString() == "struct<mode_key:bigint,mode:string,service_level:string,mode_service:string,unit_of_measure:string>"
+    assert found.rejected.count() == 0
+
+
+def test_unreadable_csv_rows_are_kept_aside_and_counted(spark, tmp_path):
+    good = "\n".join(f"{i},CAR-{i},n,Air,t,l,1990-01-{i + 10},true" for i in range(4))
+    bad = ["x,CAR-8,n,Air,t,l,1990-01-08,true", "9,CAR-9,n,Air,t,l,1990-13-08,true", "10,CAR-10,n", "11,CAR-11,n,Air,t,l,,maybe", "12,C,n,Air,t,l,1990-01-08,true,one too many"]
+    header = "carrier_key,carrier_code,carrier_name,carrier_mode,carrier_type,primary_lanes,contract_start_date,is_active"
+    found = export(spark, tmp_path, "\n".join([header, good, *bad, ",,,,,,,", ""]), "dim_carrier")
+    assert sorted(r["carrier_key"] for r in found.valid.collect() if r["carrier_key"] is not None) == [0, 1, 2, 3]
+    assert found.valid.count() == 5  # a row of empty fields is a row of nulls
+    # whatever columns are read, the same rows are in and out
+    assert found.valid.select("carrier_code").count() == 5 and found.rejected.select("reason").count() == 5
+    reasons = {r["row_text"].split(",")[0]: r["reason"] for r in found.rejected.collect()}
+    assert reasons == {
+        "x": "unreadable carrier_key", "9": "unreadable contract_start_date", "10": "wrong number of fields", "11": "unreadable is_active", "12": "wrong number of fields",
+    }
+    assert all(r["source_file"].endswith("dim_carrier.csv") for r in found.rejected.collect())
+
+
+def test_csv_header_rules(spark, tmp_path):
+    for header in ("mode_key,mode,service_level,mode_service", "mode_key,mode,service_level,mode_service,unit_of_measure,mode", ""):
+        with pytest.raises(ValueError, match="header"):
+            export(spark, tmp_path, header + "\n1,a,b,c,d\n")
+    assert export(spark, tmp_path, "mode_key,mode,service_level,mode_service,unit_of_measure\n").valid.count() == 0
+
+
+def test_files_of_one_export_share_a_header(spark, tmp_path):
+    folder = tmp_path / f"{DIM}.csv"
+    folder.mkdir()
+    (folder / "a.csv").write_text("mode_key,mode,service_level,mode_service,unit_of_measure\n1,a,b,c,d\n")
+    (folder / "b.csv").write_text("mode,mode_key,service_level,mode_service,unit_of_measure\na,2,b,c,d\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        csv_feeds(spark, str(tmp_path), str(tmp_path)).dim_mode.collect()
+
+
 def test_landed_parquet(spark, tmp_path):
     source = feeds(spark)
     for name in FEEDS:

@@ -1,4 +1,9 @@
-"""Hourly append-only landing as streams over a folder of files."""
+"""Hourly append-only landing as streams over a folder of files.
+
+`ingest_runs` and `land_once` account for every row whatever order files come in: they keep what they
+landed in tables (see `store`), and count what was late or repeated. `hourly_run_log` and
+`skip_repeated_batches` are the forms with bounded state: rows behind their watermark are lost to them.
+"""
 
 from __future__ import annotations
 
@@ -7,14 +12,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quayside.operators import ingest
+from quayside.streaming.store import BatchTables
 
 
-def file_stream(spark: SparkSession, path: str, schema, files_per_batch: int | None = None) -> DataFrame:
-    """New parquet files of a folder as a stream; the schema is declared, never inferred."""
+def file_stream(spark: SparkSession, path: str, schema, files_per_batch: int | None = None, kind: str = "parquet") -> DataFrame:
+    """New parquet (or CSV) files of a folder as a stream; the schema is declared, never inferred."""
     reader = spark.readStream.schema(schema)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(path)
+    return reader.option("header", True).csv(path) if kind == "csv" else reader.parquet(path)
 
 
 def _watermarked(stream: DataFrame, column: str, lateness: str) -> DataFrame:
@@ -43,20 +49,105 @@ def hourly_run_log(runs: DataFrame, lateness: str = "2 hours") -> DataFrame:
     )
 
 
-def closed_hours(landed: DataFrame, lateness: str = "2 hours") -> DataFrame:
-    """`hourly_run_log` over a table of landed runs: every row of a closed hour counts, in whatever order it came.
+# ------------------------------------------------------ resumable landing --
+RUN = "run_timestamp timestamp_ntz, source_system string, records_processed long, records_rejected long"
+HOURS = "hour timestamp_ntz, source_system string, runs long, records_processed long, records_rejected long, late_runs long"
+RUN_COUNTS = ("source_system", "records_processed", "records_rejected")
+LATENESS = "2 hours"
+
+
+def run_tables(spark: SparkSession, root: str) -> BatchTables:
+    """`runs` as landed, `hours`, the share of each batch in every hour, and per batch its rows, late rows and newest time."""
+    return BatchTables(spark, root, {"runs": RUN, "hours": HOURS}, "rows long, late_rows long, newest timestamp_ntz")
+
 
-    An hour is closed when the newest landed run is `lateness` or more past its end.
+def ingest_runs(runs: DataFrame, root: str, lateness: str = LATENESS) -> StreamingQuery:
+    """Land every run once and add it to its hour; call again to take what came since.
+
+    A row is late when its hour ended `lateness` or more before the newest run of the batches before
+    its own. Late rows are landed and counted as any other; the ledger and `late_runs` say how many they were.
+    Hours are kept as sums per batch, so counting them reads no landed row again.
     """
-    newest = landed.agg(F.max("run_timestamp").alias("newest"))
+    tables = run_tables(runs.sparkSession, root)
+
+    def put(rows: DataFrame, batch: int) -> DataFrame:
+        landed = tables.write("runs", rows.selectExpr("cast(run_timestamp as timestamp_ntz) as run_timestamp", *RUN_COUNTS), batch)
+        newest = tables.ledger().agg(F.max("newest").alias("newest"))
+        known = landed.withColumn("newest", newest.scalar()).withColumn("hour", F.expr("date_trunc('hour', run_timestamp)").cast("timestamp_ntz"))
+        marked = known.withColumn("late", F.expr(f"coalesce(hour + interval 1 hour + interval {lateness} <= newest, false)"))
+        hours = marked.groupBy("hour", "source_system").agg(
+            F.expr("count(*) as runs"),
+            F.expr("sum(records_processed) as records_processed"),
+            F.expr("sum(records_rejected) as records_rejected"),
+            F.expr("count_if(late) as late_runs"),
+        )
+        summed = tables.write("hours", hours, batch)
+        # an empty batch has sums of none
+        return summed.selectExpr("coalesce(sum(runs), 0L) as rows", "coalesce(sum(late_runs), 0L) as late_rows").withColumn(
+            "newest", landed.agg(F.max("run_timestamp").alias("newest")).scalar()
+        )
+
+    return tables.land(runs, put)
+
+
+def hourly_log(spark: SparkSession, root: str, lateness: str = LATENESS) -> DataFrame:
+    """Runs, rows and rejects per source and hour of all that was landed, late runs among them.
+
+    An hour is open until the newest run is `lateness` past its end: its counts may still grow, and
+    `is_open` says so. Runs without a time have an hour, and a flag, of NULL.
+    """
+    tables = run_tables(spark, root)
+    newest = tables.ledger().agg(F.max("newest").alias("newest"))
+    sums = ("runs", "records_processed", "records_rejected", "late_runs")
     return (
-        ingest.hourly_run_log(landed)
-        .crossJoin(F.broadcast(newest))
-        .where(f"hour + interval 1 hour + interval {lateness} <= newest")
+        tables.read("hours")
+        .groupBy("hour", "source_system")
+        .agg(*[F.sum(c).alias(c) for c in sums])
+        .withColumn("newest", newest.scalar())
+        .withColumn("is_open", F.expr(f"hour + interval 1 hour + interval {lateness} > newest"))
         .drop("newest")
     )
 
 
+def delivery_tables(spark: SparkSession, root: str, arrivals: str) -> BatchTables:
+    """`batches`, the first landed delivery of each fingerprint, and `deliveries`, how often each came in every micro-batch."""
+    return BatchTables(spark, root, {"batches": arrivals, "deliveries": "batch_id string, deliveries long"}, "rows long, repeats long")
+
+
+def land_once(arrivals: DataFrame, root: str) -> StreamingQuery:
+    """Land the first delivery of each `batch_id` and count the others, in whatever order and however late they come.
+
+    Of several deliveries in one micro-batch the earliest counts as first (all columns but `batch_id`, in
+    their order). Landed fingerprints are looked up by key, and are not shuffled where a micro-batch is
+    small enough to be broadcast. A missing fingerprint is one like any other.
+    """
+    kind = arrivals.schema
+    others = [c for c in arrivals.columns if c != "batch_id"]
+    tables = delivery_tables(arrivals.sparkSession, root, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kind))
+
+    def put(rows: DataFrame, batch: int) -> DataFrame:
+        aggregates = [F.count("*").alias("deliveries"), *([F.min(F.struct(*others)).alias("s")] if others else [])]
+        came = rows.groupBy("batch_id").agg(*aggregates)
+        deliveries = tables.write("deliveries", came.select("batch_id", "deliveries"), batch)
+        first = came.select("batch_id", *[F.col(f"s.{c}").alias(c) for c in others])
+        seen = tables.read("batches").select(F.col("batch_id").alias("seen")).join(
+            first.select("batch_id"), F.expr("seen <=> batch_id"), "left_semi"
+        )
+        new = tables.write("batches", first.join(seen, F.expr("batch_id <=> seen"), "left_anti").select(*arrivals.columns), batch)
+        counted = deliveries.agg(F.expr("coalesce(sum(deliveries), 0L) as rows"))
+        landed = new.agg(F.count("*").alias("landed"))
+        return counted.withColumn("landed", landed.scalar()).selectExpr("rows", "rows - landed as repeats")
+
+    return tables.land(arrivals, put)
+
+
+def landed_batches(spark: SparkSession, root: str, arrivals: str) -> DataFrame:
+    """Every landed batch with the number of its deliveries so far."""
+    tables = delivery_tables(spark, root, arrivals)
+    counts = tables.read("deliveries").groupBy("batch_id").agg(F.sum("deliveries").alias("deliveries"))
+    return tables.read("batches").drop("batch").join(counts.withColumnRenamed("batch_id", "id"), F.expr("batch_id <=> id")).drop("id")
+
+
 def land(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Append everything available to a parquet table and stop; the next run resumes at the checkpoint."""
     return (

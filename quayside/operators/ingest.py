@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.functions.dates import day, instant
@@ -91,35 +91,64 @@ def hourly_run_log(runs: DataFrame) -> DataFrame:
     )
 
 
-def outage_tagging(runs: DataFrame, outages: tuple[Outage, ...]) -> DataFrame:
-    """Mark runs that fall into a declared outage window of their source (start <= t < end).
+def outage_windows(spark: SparkSession, outages: tuple[Outage, ...]) -> DataFrame:
+    """A short declared list as a relation: outage_source, outage_start, outage_end, outage_message."""
+    rows = ", ".join(f"({literal(o.source)}, {instant(o.start)}, {instant(o.end)}, {literal(o.message)})" for o in outages)
+    columns = "outage_source, outage_start, outage_end, outage_message"
+    if not outages:
+        none = "cast(null as string), cast(null as timestamp_ntz), cast(null as timestamp_ntz), cast(null as string)"
+        return spark.sql(f"SELECT * FROM VALUES ({none}) AS t({columns})").where("false")
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t({columns})")
 
-    The windows come in as a short list and so as an inline relation. Overlapping windows
-    of one source are merged first, so a run meets at most one and is never repeated.
+
+_SECONDS = "timestampdiff(SECOND, timestamp_ntz'1970-01-01 00:00:00', {0})"
+_SLOT = "floor({0} / ({1} * shiftleft(1L, level)))"
+#: Length in seconds of the time slots of level 0; those of each further level are twice as long.
+SLOT_SECONDS = 3600
+
+
+def outage_tagging(runs: DataFrame, outages: DataFrame | tuple[Outage, ...]) -> DataFrame:
+    """Mark runs that fall into an outage window of their source (start <= t < end), with the messages of all of them.
+
+    Windows may be a table of any size. A window is entered in the slots it touches among those of
+    its own length rounded up to a power of two: two or three, however long it is. A run looks up one slot
+    of each length that occurs, a few dozen at most, so runs meet windows by equality on (source, level, slot).
+    The tag hangs on source and time alone, so each pair of these is looked up once, however many
+    runs share it, and no run is repeated. Messages are joined with '; ', by start and then by text.
     """
-    merged = _merged(outages)
-    if not merged:
-        return runs.selectExpr("*", "cast(null as string) as outage_message", "false as in_outage")
-    rows = ", ".join(f"({literal(o.source)}, {instant(o.start)}, {instant(o.end)}, {literal(o.message)})" for o in merged)
-    windows = runs.sparkSession.sql(
-        f"SELECT * FROM VALUES {rows} AS t(outage_source, outage_start, outage_end, outage_message)"
+    windows = outages if isinstance(outages, DataFrame) else outage_windows(runs.sparkSession, outages)
+    length = "timestampdiff(SECOND, outage_start, outage_end)"
+    slotted = (
+        windows.where("outage_start < outage_end")
+        .withColumn("level", F.expr(f"cast(greatest(ceil(log2(greatest({length}, 1) / {SLOT_SECONDS}D)), 0) as int)"))
+        .withColumn("slot", F.expr(f"explode(sequence({_slot('outage_start')}, {_slot('outage_end')}))"))
+    )
+    levels = slotted.agg(F.collect_set("level").alias("levels"))
+    at = (
+        runs.select(F.col("source_system").alias("at_source"), F.col("run_timestamp").alias("at_time"))
+        .where("at_source is not null and at_time is not null")
+        .distinct()
+        .withColumn("levels", levels.scalar())
+        .selectExpr("at_source", "at_time", "explode(levels) as level")
+        .withColumn("slot", F.expr(_slot("at_time")))
+    )
+    inside = "at_source = outage_source and at.level = w.level and at.slot = w.slot and at_time >= outage_start and at_time < outage_end"
+    hits = (
+        at.alias("at").join(slotted.alias("w"), F.expr(inside))
+        .groupBy("at_source", "at_time")
+        .agg(F.array_sort(F.collect_set(F.struct("outage_start", "outage_message"))).alias("hits"))
+        .selectExpr("*", "nullif(array_join(array_distinct(transform(hits, x -> x.outage_message)), '; '), '') as outage_message")
+        .drop("hits")
     )
-    inside = "source_system = outage_source and run_timestamp >= outage_start and run_timestamp < outage_end"
     return (
-        runs.join(windows, F.expr(inside), "left")
-        .withColumn("in_outage", F.expr("outage_source is not null"))
-        .drop("outage_source", "outage_start", "outage_end")
+        runs.join(hits, F.expr("source_system = at_source and run_timestamp = at_time"), "left")
+        .withColumn("in_outage", F.expr("at_source is not null"))
+        .drop("at_source", "at_time")
     )
 
 
-def _merged(outages: tuple[Outage, ...]) -> list[Outage]:
-    out: list[Outage] = []
-    for o in sorted(outages, key=lambda o: (o.source, o.start)):
-        if out and out[-1].source == o.source and o.start <= out[-1].end:
-            out[-1] = Outage(o.source, out[-1].start, max(out[-1].end, o.end), out[-1].message)
-        else:
-            out.append(o)
-    return out
+def _slot(time: str) -> str:
+    return _SLOT.format(_SECONDS.format(time), SLOT_SECONDS)
 
 
 def source_freshness(

@@ -106,40 +106,129 @@ def read_mart(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     return {**dims, **{f: spark.read.parquet(f"{root}/mart/{f}") for f in mart.FACTS}}
 
 
+# ------------------------------------------------------------- built runs --
+# Where each relation of a run is written. Shared relations are written when they are first asked for, so
+# that every later one reads the table; `work` holds what is only a step towards others.
+LAYERS = {
+    **{name: "reference" for name in mart.DIMENSIONS},
+    **{name: "staging" for name in STAGING},
+    **{name: "intermediate" for name in INTERMEDIATE},
+    **{name: "mart" for name in mart.FACTS},
+}
+KEPT = {
+    "typed_shipments": "work/typed_shipments",
+    "stg_job_charges": "staging/stg_job_charges",
+    "stg_invoice_lines": "staging/stg_invoice_lines",
+    "stg_payments": "staging/stg_payments",
+    "charges_classified": "intermediate/int_charges_classified",
+    "invoices_matched": "intermediate/int_invoices_matched",
+    "invoice_settlement": "intermediate/int_invoice_settlement",
+    "booked_financials": "work/booked_financials",
+}
+
+
+class KeptFeeds(Feeds):
+    """The feeds of `source`, with each shared relation of `KEPT` written once under `root` and read from there."""
+
+    def __init__(self, source: Feeds, root: str):
+        super().__init__(source.spark, lambda kind, name: getattr(source, name))
+        self.root = root
+
+    def kept(self, name: str, df: DataFrame) -> DataFrame:
+        if name not in KEPT:
+            return df
+        _write(df, f"{self.root}/{KEPT[name]}")
+        return self.spark.read.schema(df.schema).parquet(f"{self.root}/{KEPT[name]}")
+
+
+def _write(df: DataFrame, path: str) -> None:
+    """Overwrite one table; a staging table is stamped with the time of reading, which later layers do not see."""
+    stamped = staging.with_loaded_at(df) if "/staging/" in path else df
+    stamped.write.mode("overwrite").parquet(path)
+
+
+def write_run(feeds: Feeds, params: Params, root: str) -> Relations:
+    """Build every relation of the four layers once, each from the tables of those before it, and return them as written.
+
+    Staging tables carry `_loaded_at`, when the feed was read. Rows of the feeds that could not be read
+    are kept beside the layers, in `rejected/rows`.
+    """
+    kept = KeptFeeds(feeds, root)
+    relations = all_relations(kept, params)
+    there = {path.split("/")[1] for path in KEPT.values()}
+    for name, layer in LAYERS.items():
+        df = relations[name]
+        if layer == "mart":
+            write_fact(df, name, root)
+        elif name not in there:
+            _write(df, f"{root}/{layer}/{name}")
+    rejected = feeds.rejected()
+    if rejected is not None:
+        rejected.write.mode("overwrite").parquet(f"{root}/rejected/rows")
+    return read_run(feeds.spark, root)
+
+
+def read_run(spark: SparkSession, root: str) -> Relations:
+    """The relations of a built run, all of them tables."""
+    return Relations({name: partial(spark.read.parquet, f"{root}/{layer}/{name}") for name, layer in LAYERS.items()})
+
+
+def publish_names(spark: SparkSession, root: str, prefix: str = "") -> None:
+    """Point the tables `staging.stg_*`, `intermediate.int_*`, `mart.*` and `reference.*` of the catalogue at a built run.
+
+    The databases are created where they are missing; `prefix` keeps several environments apart. Data
+    are not copied: the names are external tables over the run's folders, replaced by the next run's.
+    """
+    for layer in sorted(set(LAYERS.values())):
+        spark.sql(f"create database if not exists `{prefix}{layer}`")
+    for name, layer in LAYERS.items():
+        table = f"`{prefix}{layer}`.`{name}`"
+        spark.sql(f"drop table if exists {table}")
+        spark.sql(f"create table {table} using parquet location '{root}/{layer}/{name}'")
+
+
+# ---------------------------------------------------------------- release --
 @dataclass(frozen=True)
 class Release:
     root: str
     published: bool
     stale_sources: list[str]
     failed_checks: dict[str, int]
+    rejected_rows: int = 0
+
+
+def freshness(feeds: Feeds, params: Params) -> DataFrame:
+    """Age and verdict of every source, those declared in the parameters included."""
+    return ingest.source_freshness(
+        mart.fact_pipeline_runs(feeds), params.now, params.freshness_warn_hours, params.freshness_error_hours, params.source_systems
+    )
 
 
 def release(feeds: Feeds, params: Params, root: str, run_id: str, tolerate: frozenset[str] = frozenset()) -> Release:
     """Freshness, then build, then checks; the run becomes current only if nothing blocks it.
 
-    Each run is written to a folder of its own; a run id used before is refused. Released runs are
-    appended to `<root>/current`, and readers take the newest, so a blocked, failed or lost run
-    never disturbs what they see. Only the verdicts reach the driver.
+    Each run is written to a folder of its own, every layer of it, and the checks read what was
+    written; a run id used before is refused. Released runs are appended to `<root>/current`, and readers
+    take the newest, so a blocked, failed or lost run never disturbs what they see. A source that is
+    declared but has no run blocks the release as a stale one does. Only the verdicts reach the driver.
     """
     spark = feeds.spark
-    fresh = ingest.source_freshness(
-        mart.fact_pipeline_runs(feeds), params.now, params.freshness_warn_hours, params.freshness_error_hours
-    )
+    fresh = freshness(feeds, params)
     stale = [r["source_system"] for r in fresh.where("status = 'error'").collect()]
     run_root = f"{root}/runs/{run_id}"
     if stale:
         return Release(run_root, False, stale, {})
     # fails where the folder exists, before anything in it is touched
     spark.createDataFrame([(run_id,)], "run_id string").coalesce(1).write.mode("error").parquet(f"{run_root}/started")
-    write_mart(feeds, params, run_root)
-    relations = all_relations(feeds, params).replaced(read_mart(spark, run_root))
+    relations = write_run(feeds, params, run_root)
     failed = suite_report(spark, declared_checks(params), relations).where("status = 'fail'").collect()
     failures = {r["check_name"]: r["failures"] for r in failed if r["check_name"] not in tolerate}
+    rejected = 0 if feeds.rejected() is None else spark.read.parquet(f"{run_root}/rejected/rows").count()
     if failures:
-        return Release(run_root, False, stale, failures)
+        return Release(run_root, False, stale, failures, rejected)
     pointer = spark.createDataFrame([(run_id, run_root)], "run_id string, root string").selectExpr("*", "current_timestamp() as released_at")
     pointer.coalesce(1).write.mode("append").parquet(f"{root}/current")
-    return Release(run_root, True, stale, {})
+    return Release(run_root, True, stale, {}, rejected)
 
 
 def released(spark: SparkSession, root: str) -> Row:

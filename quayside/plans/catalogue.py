@@ -298,9 +298,27 @@ def unmatched_rate(feeds, params):
     return kpi.unmatched_rate(mart.fact_invoice_lines(feeds))
 
 
+# Built runs of this session, by the tables they were built from.
+_RUNS: dict[tuple, tuple[Params, build.Relations]] = {}
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+
+
+def built(feeds: TableFeeds, params: Params) -> build.Relations:
+    """The run built from these tables as they are now: each relation is written once a session, then read.
+
+    Checks and outcomes judge what was written, as a release does. The run lies in the shared folder.
+    """
+    spark = feeds.spark
+    key = (spark.sparkContext.applicationId, id(params), *session.fingerprint(spark, *(f"{feeds.path}/{t}.parquet" for t in TABLES)))
+    if key not in _RUNS:
+        _RUNS[key] = params, build.write_run(feeds, params, session.shared_folder(spark, "run"))  # held, so that its id stays its own
+    return _RUNS[key][1]
+
+
 def _outcomes(feeds, params):
-    relations = build.all_relations(feeds, params)
-    return kpi.outcome_metrics(relations, rules.booked_financials(feeds), relations, params)
+    run = built(feeds, params)
+    booked = kpi.booked_financials(run["fact_shipment_financials"], run["fact_shipments"])
+    return kpi.outcome_metrics(run, booked, run, params)
 
 
 @query
@@ -313,11 +331,19 @@ def outcome_report(feeds, params):
     return kpi.outcome_report(_outcomes(feeds, params), params)
 
 
+@query
+def run_build(feeds, params):
+    """A run built anew, and the rows of each relation as written."""
+    run = build.write_run(feeds, params, session.shared_folder(feeds.spark, "run"))
+    counts = [df.agg(F.count("*").alias("row_count")).select(F.lit(name).alias("relation"), "row_count") for name, df in run.items()]
+    return reduce(DataFrame.unionByName, counts)
+
+
 # ---------------------------------------------------------------- quality --
 def _checks_of(kind):
     def fn(feeds, params):
         chosen = [c for c in checks.declared_checks(params) if c.kind == kind]
-        return quality.failure_counts(feeds.spark, chosen, build.all_relations(feeds, params))
+        return quality.failure_counts(feeds.spark, chosen, built(feeds, params))
 
     return fn
 
@@ -331,16 +357,13 @@ QUERIES["dq_expression"] = _checks_of("expression")
 
 @query
 def fk_audit(feeds, params):
-    return quality.key_audit(checks.foreign_keys(), build.all_relations(feeds, params))
+    return quality.key_audit(checks.foreign_keys(), built(feeds, params))
 
 
 @query
 def dq_suite(feeds, params):
-    """All declared checks, the mart ones on the tables as written to the shared folder."""
-    root = session.shared_folder(feeds.spark, "suite")
-    build.write_mart(feeds, params, root)
-    relations = build.all_relations(feeds, params).replaced(build.read_mart(feeds.spark, root))
-    return quality.suite_report(feeds.spark, checks.declared_checks(params), relations)
+    """All declared checks, on the tables of the built run."""
+    return quality.suite_report(feeds.spark, checks.declared_checks(params), built(feeds, params))
 
 
 # ----------------------------------------------------------------- ingest --
@@ -410,37 +433,32 @@ def dim_date(feeds, params):
 
 
 # ---------------------------------------------------------------- streaming --
-def _landed(feeds, label, build_stream):
-    """Run a stream over the whole events table to its end and read back what it landed."""
-    root = session.shared_folder(feeds.spark, label)
-    # As a glob the table may be one file or a folder of them.
-    events = landing.file_stream(feeds.spark, f"{feeds.path}/events.parquet*", feeds.table("events").schema)
-    landing.land(build_stream(events), f"{root}/table", f"{root}/checkpoint").awaitTermination()
-    return feeds.spark.read.parquet(f"{root}/table")
+def _events(feeds, *columns):
+    """The whole events table as a stream; as a glob it may be one file or a folder of them."""
+    return landing.file_stream(feeds.spark, f"{feeds.path}/events.parquet*", feeds.table("events").schema).selectExpr(*columns)
 
 
 @query
 def stream_hourly_counts(feeds, params):
-    """Event rows and rejects per source and closed hour, late rows too: events land as they come, then are counted."""
-    runs = (
+    """Event rows and rejects per source and hour, late rows and open hours too: events are landed once, then summed."""
+    runs = _events(
+        feeds,
         "ts as run_timestamp",
         "if(event_type in ('click', 'view'), 'Operations', 'Finance') as source_system",
         "1L as records_processed",
         "if(event_type = 'error', 1L, 0L) as records_rejected",
     )
-    return landing.closed_hours(_landed(feeds, "hourly", lambda events: events.selectExpr(*runs)))
+    root = session.shared_folder(feeds.spark, "hourly")
+    landing.ingest_runs(runs, root).awaitTermination()
+    return landing.hourly_log(feeds.spark, root).drop("late_runs")
 
 
 @query
 def stream_batch_dedup(feeds, params):
-    """Each hourly batch fingerprint once, however many of its rows arrive."""
-    name = batch_name("source_system", "hour")
-    hour = "cast(cast(ts as date) as timestamp_ntz) + make_dt_interval(0, hour(ts)) as hour"
-    source = "if(event_type in ('click', 'view'), 'Operations', 'Finance') as source_system"
-
-    def arrivals(events):
-        return landing.skip_repeated_batches(
-            events.selectExpr("ts as delivered_at", hour, source).selectExpr("delivered_at", f"{name} as batch_id")
-        ).select("batch_id")
-
-    return _landed(feeds, "batches", arrivals)
+    """Each hourly batch fingerprint once, however many of its rows arrive, with the number of these."""
+    hour = "cast(cast(ts as date) as timestamp_ntz) + make_dt_interval(0, hour(ts))"
+    source = "if(event_type in ('click', 'view'), 'Operations', 'Finance')"
+    arrivals = _events(feeds, f"{batch_name(source, hour)} as batch_id")
+    root = session.shared_folder(feeds.spark, "batches")
+    landing.land_once(arrivals, root).awaitTermination()
+    return landing.landed_batches(feeds.spark, root, "batch_id string")

@@ -68,6 +68,17 @@ def path_bytes(spark: SparkSession, *paths: str) -> int:
     return total
 
 
+def fingerprint(spark: SparkSession, *paths: str) -> tuple:
+    """What the file system says of the paths: bytes, files and the newest change; it differs once a table is rewritten."""
+    found = []
+    for path in paths:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+        held = fs.getContentSummary(p)
+        found.append((path, held.getLength(), held.getFileCount(), fs.getFileStatus(p).getModificationTime()))
+    return tuple(found)
+
+
 def shared_folder(spark: SparkSession, label: str) -> str:
     """A new subfolder of the cluster's shared checkpoint folder.
 

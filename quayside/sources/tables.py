@@ -26,6 +26,7 @@ NATIONS = 25
 BRANCHES = 5
 LINE_SLOT = 100_000  # keys of one job's lines occupy job*LINE_SLOT onwards; a job with more lines fails
 CREDIT_SLOT = LINE_SLOT - 1
+LOST_CHARGES = 499
 
 BRANDS = 25  # of the part table: each is a kind of charge
 # Two modes with two grades each; the metrics know the modes by name and measure them in these units.
@@ -175,7 +176,7 @@ class TableFeeds(Feeds):
     # ------------------------------------------------------------- charges --
     @cached_property
     def charge_base(self) -> DataFrame:
-        """Every row of the line table with its job; lines are numbered within the job.
+        """Every row of the line table with its job, if there is one; lines are numbered within the job.
 
         Line numbers repeat in the table, so they are counted anew, in the order of all columns. The
         count and the join to the jobs need the same shuffle. Charges, invoice lines and receipts all
@@ -185,7 +186,7 @@ class TableFeeds(Feeds):
         return (
             self.table("lineitem")
             .selectExpr("l_orderkey as k", f"row_number() over (partition by l_orderkey order by {order}) as row", "l_suppkey as supplier", "l_extendedprice as price")
-            .join(self.jobs.select("k", "cust", "booking", "completed"), "k")
+            .join(self.jobs.select("k", "cust", "booking", "completed"), "k", "left")
             .selectExpr(
                 "k", f"if(row < {CREDIT_SLOT}, cast(row as bigint), raise_error('a job has more lines than its keys')) as line",
                 "supplier", "cust", "booking", "completed",
@@ -197,10 +198,11 @@ class TableFeeds(Feeds):
 
     @cached_property
     def job_charges(self) -> DataFrame:
+        """All lines as charges; 1 in 499 names a job that does not exist."""
         return self.charge_base.selectExpr(
             f"k * {LINE_SLOT} + line as charge_key",
-            "k as shipment_key",
-            f"{_job_number('k')} as job_number",
+            f"if(charge_key % {LOST_CHARGES} = 0, -charge_key, k) as shipment_key",
+            f"{_job_number('shipment_key')} as job_number",
             "charge_type as charge_type_key",
             "cust as customer_key",
             f"k % {CARRIERS} as carrier_key",

@@ -64,6 +64,54 @@ def test_overlapping_outages_tag_a_run_once(spark):
     assert not any(r["in_outage"] for r in ingest.outage_tagging(runs, ()).collect())
 
 
+def test_every_message_of_overlapping_outages_is_kept(spark):
+    runs = mart.fact_pipeline_runs(feeds(spark)).select("run_key", "run_timestamp", "source_system")
+    lost = runs.selectExpr("-1L as run_key", "cast(null as timestamp_ntz) as run_timestamp", "source_system").limit(1)
+    runs = runs.unionByName(runs).unionByName(lost)  # runs at one instant, and one without a time
+    day = datetime(2025, 1, 15)
+    windows = (
+        Outage("Ops", day + timedelta(hours=9), day + timedelta(hours=10), "short"),
+        Outage("Ops", datetime(1999, 1, 1), datetime(2031, 1, 1), "for ever"),
+        Outage("Ops", day, day + timedelta(hours=11), "short"),
+        Outage("Ops", day + timedelta(hours=9), day + timedelta(hours=11), None),
+        Outage("Ops", day + timedelta(hours=12), day, "runs backwards"),
+    )
+    table = spark.createDataFrame(
+        [(o.source, o.start, o.end, o.message) for o in windows], "outage_source string, outage_start timestamp_ntz, outage_end timestamp_ntz, outage_message string"
+    )
+    found = [(r["run_key"], r["in_outage"], r["outage_message"]) for r in ingest.outage_tagging(runs, table).collect()]
+    tags = {r["run_key"]: (r["in_outage"], r["outage_message"]) for r in ingest.outage_tagging(runs, table).collect()}
+    assert len(found) == runs.count() and tags[-1] == (False, None)
+    for r in runs.where("run_key >= 0").collect():
+        hits = sorted((w.start, w.message) for w in windows if w.message and w.source == r["source_system"] and w.start <= r["run_timestamp"] < w.end)
+        assert tags[r["run_key"]] == (bool(hits), "; ".join(dict.fromkeys(m for _, m in hits)) or None)
+    assert any(t == (True, "for ever; short") for t in tags.values())
+
+
+def test_a_hundred_thousand_outage_windows_meet_runs_by_equality(spark):
+    windows = spark.range(100_000).selectExpr(
+        "concat('s', cast(id % 3 as string)) as outage_source",
+        "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, cast(pmod(xxhash64(id), 500000) as int)) as outage_start",
+        "outage_start + make_dt_interval(0, 0, 0, cast(1 + pmod(xxhash64(id, 1), if(id % 100 = 0, 300000, 90)) as int)) as outage_end",
+        "cast(id as string) as outage_message",
+    )
+    runs = spark.range(2000).selectExpr(
+        "id as run_key", "concat('s', cast(id % 4 as string)) as source_system",
+        "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, cast(id * 251 as int)) as run_timestamp",
+    )
+    tagged = ingest.outage_tagging(runs, windows)
+    text = tagged._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in text and "Cartesian" not in text
+    by_source = collections.defaultdict(list)
+    for w in windows.collect():
+        by_source[w["outage_source"]].append(w)
+    got = {r["run_key"]: r["outage_message"] for r in tagged.collect()}
+    assert len(got) == 2000
+    for r in runs.where("run_key % 40 < 3").collect():
+        hits = sorted((w["outage_start"], w["outage_message"]) for w in by_source[r["source_system"]] if w["outage_start"] <= r["run_timestamp"] < w["outage_end"])
+        assert got[r["run_key"]] == ("; ".join(m for _, m in hits) or None)
+
+
 ARRIVALS = "batch_id string, source_system string, delivered_at timestamp_ntz, row_count long"
 
 
@@ -108,7 +156,7 @@ def test_stream_run_log_resumes_and_drops_late_rows(spark, tmp_path):
 
 
 def test_stream_hourly_counts_do_not_depend_on_the_order_of_arrival(spark, tmp_path, monkeypatch):
-    """Files that are read one by one, newest first, lose no row of a closed hour."""
+    """Files that are read one by one, newest first, lose no row of any hour; hours near the end are open."""
     events = spark.read.parquet(f"{SF_DIR}/events.parquet")
     rows = sorted(events.collect(), key=lambda r: r["ts"], reverse=True)
     size = -(-len(rows) // 4)
@@ -116,12 +164,16 @@ def test_stream_hourly_counts_do_not_depend_on_the_order_of_arrival(spark, tmp_p
         part = spark.createDataFrame(rows[k * size : (k + 1) * size], events.schema).coalesce(1)
         part.write.mode("append").parquet(f"{tmp_path}/events.parquet")
         time.sleep(0.05)  # the stream takes files by their time
-    want = collections.Counter()
+    want, fingerprints = collections.Counter(), collections.Counter()
     for r in rows:
         hour = r["ts"].replace(minute=0, second=0, microsecond=0)
-        if hour + timedelta(hours=3) <= rows[0]["ts"]:
-            want[(hour, "Operations" if r["event_type"] in ("click", "view") else "Finance")] += 1
+        source = "Operations" if r["event_type"] in ("click", "view") else "Finance"
+        want[(hour, source, hour + timedelta(hours=3) > rows[0]["ts"])] += 1
+        fingerprints[f"{'ops' if source == 'Operations' else 'fin'}-{hour:%Y%m%d-%H}"] += 1
     stream = landing.file_stream
     monkeypatch.setattr(landing, "file_stream", lambda *args: stream(*args, files_per_batch=1))
     found = catalogue.stream_hourly_counts(TableFeeds(spark, str(tmp_path), DRIVER), DRIVER).collect()
-    assert {(r["hour"], r["source_system"]): r["runs"] for r in found} == dict(want)
+    assert {(r["hour"], r["source_system"], r["is_open"]): r["runs"] for r in found} == dict(want)
+    assert sum(r["runs"] for r in found) == len(rows)
+    batches = catalogue.stream_batch_dedup(TableFeeds(spark, str(tmp_path), DRIVER), DRIVER).collect()
+    assert {r["batch_id"]: r["deliveries"] for r in batches} == dict(fingerprints) and len(batches) == len(fingerprints)

@@ -39,3 +39,9 @@ def test_every_line_becomes_a_charge(spark, con):
     found = charges.selectExpr("count(*) as n", "count(distinct charge_key) as keys", "cast(sum(amount_inr) as decimal(24,2)) as cost").first()
     assert (found["n"], found["keys"]) == (lines, lines)
     assert found["cost"] == cost
+
+
+def test_charges_without_a_job_are_counted(spark, con):
+    found = {r["child"]: r["orphan_rows"] for r in QUERIES["orphan_counts"](spark, SF_DIR).collect()}
+    assert found == dict(con.execute(SQL["orphan_counts"]).fetchall())
+    assert all(found.values())

@@ -4,6 +4,8 @@ from datetime import datetime
 import pytest
 
 from quayside.plans import build
+from quayside.sources.frames import csv_feeds
+from quayside.sources.schemas import DIMS, FEED_FILES, FEEDS
 from tests.fixtures import JOBS, PARAMS, feeds
 
 KNOWN = frozenset(
@@ -39,6 +41,46 @@ def test_release_gate(spark, tmp_path):
     assert build.current_mart(spark, root)["fact_shipments"].count() == len(JOBS)
 
 
+def test_a_declared_source_without_runs_blocks_the_release(spark, tmp_path):
+    declared = replace(PARAMS, now=datetime(2025, 1, 15, 11), source_systems=(*PARAMS.source_systems, "Customs"))
+    held = build.release(feeds(spark), declared, str(tmp_path), "r1", tolerate=KNOWN)
+    assert (held.published, held.stale_sources) == (False, ["Customs"])
+    assert not (tmp_path / "runs").exists()
+
+
+def test_released_layers_can_be_queried_by_name(spark, tmp_path):
+    late = replace(PARAMS, now=datetime(2025, 1, 15, 11))
+    for run_id in ("r1", "r2"):
+        done = build.release(feeds(spark), late, str(tmp_path), run_id, tolerate=KNOWN)
+        build.publish_names(spark, done.root, "test_")
+    names = {"reference": "dim_customer", "staging": "stg_job_charges", "intermediate": "int_invoices_matched", "mart": "fact_shipments"}
+    for layer, name in names.items():
+        assert spark.table(f"test_{layer}.{name}").count() > 0
+        assert "/r2/" in spark.table(f"test_{layer}.{name}").inputFiles()[0]
+    # staging tables say when they were read
+    assert spark.sql("select count(*) from test_staging.stg_payments where _loaded_at is null").first()[0] == 0
+    for layer in sorted(set(build.LAYERS.values())):
+        spark.sql(f"drop database test_{layer} cascade")
+    assert build.read_run(spark, done.root)["fact_shipments"].count() == len(JOBS)  # the names go, the tables stay
+
+
+def test_unreadable_rows_are_written_beside_the_layers(spark, tmp_path):
+    source = feeds(spark)
+    for name in FEEDS:
+        getattr(source, name).coalesce(1).write.option("header", True).csv(f"{tmp_path}/raw/{FEED_FILES[name]}.csv")
+    for name in DIMS:
+        getattr(source, name).coalesce(1).write.option("header", True).csv(f"{tmp_path}/dims/{name}.csv")
+    columns = source.payments.columns
+    row = {"payment_key": "99", "amount_inr": "a lot", "payment_date": "2025-01-01"}
+    (tmp_path / "raw/fact_payments.csv/late.csv").write_text(",".join(columns) + "\n" + ",".join(row.get(c, "") for c in columns) + "\n")
+    late = replace(PARAMS, now=datetime(2025, 1, 15, 11))
+    done = build.release(csv_feeds(spark, f"{tmp_path}/raw", f"{tmp_path}/dims"), late, str(tmp_path / "out"), "r1", tolerate=KNOWN)
+    assert done.published and done.rejected_rows == 1
+    kept = spark.read.parquet(f"{done.root}/rejected/rows").first()
+    assert (kept["relation"], kept["reason"]) == ("payments", "unreadable amount_inr") and "a lot" in kept["row_text"]
+    assert build.current_mart(spark, str(tmp_path / "out"))["fact_payments"].count() == source.payments.count()
+
+
 def test_relations_are_queryable_by_name(spark):
     build.register_views(build.all_relations(feeds(spark), PARAMS))
     assert spark.sql("select count(*) from int_invoices_matched where is_matched").first()[0] > 0

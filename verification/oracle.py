@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 
 from quayside.params import DRIVER
+from quayside.plans.build import LAYERS
 from quayside.plans.checks import declared_checks, foreign_keys
 from quayside.sources import tables as T
 
@@ -82,7 +83,7 @@ CTES = {
                      row_number() over (partition by l_orderkey order by {', '.join('l_' + c for c in T.LINE_ORDER)}) as line,
                      cast(cast(l_extendedprice as decimal(14,2)) * cast(0.7 as decimal(2,1)) as decimal(14,2)) as cost
               from lineitem) l
-        join jobs j on j.k = l.k""",
+        left join jobs j on j.k = l.k""",
     "billed": f"""
         select *, cast(line_amount + tax_amount as decimal(14,2)) as total_amount,
                invoice_day + if(cust % 9 = 0, 45, 30) as due_day
@@ -188,11 +189,12 @@ CTES = {
         left join dim_destination_port d on d.port_key = (j.k * 7 + 3) % 25
         left join (select shipment_key, count(*) as n from exceptions_feed group by 1) e on e.shipment_key = j.k""",
     "stg_job_charges": f"""
-        select b.k * {T.LINE_SLOT} + b.line as charge_key, b.k as shipment_key, upper(trim({_job('b.k')})) as job_number,
+        select b.k * {T.LINE_SLOT} + b.line as charge_key, b.job as shipment_key, upper(trim({_job('b.job')})) as job_number,
                b.charge_type as charge_type_key, t.charge_code, t.charge_category, b.cust as customer_key, b.k % 9 as carrier_key,
                b.cust % 5 as branch_key, b.k % 4 + 1 as mode_key, b.charge_day as charge_date,
                'Vendor ' || b.supplier as vendor_name, b.cost as amount_inr
-        from charge_base b left join dim_charge_type t on t.charge_type_key = b.charge_type""",
+        from (select *, if((k * {T.LINE_SLOT} + line) % {T.LOST_CHARGES} = 0, -(k * {T.LINE_SLOT} + line), k) as job from charge_base) b
+        left join dim_charge_type t on t.charge_type_key = b.charge_type""",
     "stg_invoice_lines": """
         select * replace (trim(invoice_number) as invoice_number, upper(trim(job_number)) as job_number,
                           coalesce(map {'original': 'Original', 'supplementary': 'Supplementary', 'credit note': 'Credit Note',
@@ -228,15 +230,14 @@ CTES = {
         from stg_job_charges g
         left join dim_charge_type t using (charge_code)
         left join stg_shipments s on s.job_number = g.job_number""",
+    "job_refs": f"select k as shipment_key, upper(trim({_job('k')})) as job_number, completed as job_completion_date from jobs",
     "int_invoices_matched": """
-        with hit as (select l.*, s.shipment_key, s.job_completion_date
-                     from stg_invoice_lines l left join stg_shipments s on s.job_number = l.job_number),
-             firsts as (select invoice_line_key, dense_rank() over (partition by shipment_key
-                                                                    order by invoice_date, invoice_number) as pos
-                        from hit where shipment_key is not null and invoice_type = 'Original')
-        select hit.*, shipment_key is not null as is_matched, ifnull(pos = 1, false) as is_first_original_invoice,
-               if(pos = 1, date_diff('day', job_completion_date, invoice_date), null) as billing_lag_days
-        from hit left join firsts using (invoice_line_key)""",
+        select * exclude (is_first), shipment_key is not null as is_matched, is_first as is_first_original_invoice,
+               if(is_first, date_diff('day', job_completion_date, invoice_date), null) as billing_lag_days
+        from (select l.*, s.shipment_key, s.job_completion_date,
+                     s.shipment_key is not null and l.invoice_type = 'Original' and 1 = dense_rank() over (
+                         partition by s.shipment_key, l.invoice_type order by l.invoice_date, l.invoice_number) as is_first
+              from stg_invoice_lines l left join job_refs s on s.job_number = l.job_number)""",
     "credits": """
         select regexp_extract(line_description, 'against (.+)$', 1) as invoice_number,
                cast(sum(total_amount_inr) as decimal(24,2)) as credited_inr
@@ -423,9 +424,11 @@ def _links() -> str:
 def _outages() -> str:
     rows = ", ".join(f"('{o.source}', timestamp '{o.start}', timestamp '{o.end}', '{o.message}')" for o in P.outages)
     return f"""
-        select r.run_key, r.run_timestamp, r.source_system, count(w.s) > 0 as in_outage, min(w.msg) as outage_message
-        from fact_pipeline_runs r left join (values {rows}) w(s, a, b, msg)
-          on w.s = r.source_system and r.run_timestamp >= w.a and r.run_timestamp < w.b
+        select r.run_key, r.run_timestamp, r.source_system, count(m.a) > 0 as in_outage, string_agg(m.msg, '; ' order by m.a, m.msg) as outage_message
+        from fact_pipeline_runs r left join (
+          select run_key, w.msg, min(w.a) as a from fact_pipeline_runs q join (values {rows}) w(s, a, b, msg)
+            on w.s = q.source_system and q.run_timestamp >= w.a and q.run_timestamp < w.b
+          group by 1, 2) m on m.run_key = r.run_key
         group by 1, 2, 3"""
 
 
@@ -502,6 +505,7 @@ _STATEMENTS = {
     "problem_flag": """select shipment_key, customer_key, customer_key in (select customer_key from focus) as is_problem
                        from fact_shipments""",
     "orphan_counts": "select * from lost",
+    "run_build": " union all ".join(f"select '{n}' as relation, count(*) as row_count from {n}" for n in LAYERS),
     "outcome_assertions": _assertions("verdict = 'fail'", False),
     "outcome_report": _assertions("true", True),
     "dq_unique": _checks("unique"),
@@ -529,10 +533,10 @@ _STATEMENTS = {
                cast(sum(records_processed) as bigint) as records_processed, cast(sum(records_rejected) as bigint) as records_rejected
         from fact_pipeline_runs group by 1, 2""",
     "stream_hourly_counts": """
-        select hour, source_system, records_processed as runs, records_processed, records_rejected
-        from (select *, date_trunc('hour', run_timestamp) as hour from runs_feed)
-        where hour + interval 3 hour <= (select max(ts) from events)""",
-    "stream_batch_dedup": "select distinct batch_id from runs_feed",
+        select hour, source_system, records_processed as runs, records_processed, records_rejected,
+               hour + interval 3 hour > (select max(ts) from events) as is_open
+        from (select *, date_trunc('hour', run_timestamp) as hour from runs_feed)""",
+    "stream_batch_dedup": "select batch_id, cast(sum(records_processed) as bigint) as deliveries from runs_feed group by batch_id",
     "run_status": """
         select source_system, run_status, count(*) as runs, cast(sum(records_processed) as bigint) as records_processed,
                count(error_message) as errors from fact_pipeline_runs group by 1, 2""",

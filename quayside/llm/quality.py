@@ -130,18 +130,27 @@ def fit(good: list[bytes], bad: list[bytes]) -> Model:
 
 
 def sample(docs: DataFrame, labels: DataFrame, learn: Column, label_col: str, size: int, chars: int, id_col: str = "doc_id", text_col: str = "text") -> tuple[list[bytes], list[bytes]]:
-    """Up to `size` texts of label 1 and of label 0 of at most `chars` characters, by the order of a hash of the id."""
-    truth = labels.where(F.col(label_col).isin(0, 1)).select(F.col(id_col).cast("long").alias("id"), F.col(label_col).alias("truth"))
-    rows = (
-        docs.where(F.col(text_col).isNotNull() & (F.length(text_col) <= chars) & learn)
-        .select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-        .join(truth, "id")
+    """Up to `size` texts of label 1 and of label 0 of at most `chars` characters, chosen by a hash of the id.
+
+    Ids are chosen from the labels alone (`learn` is a condition on their id): a hash below a bound set
+    by the count of each class, some quarter more than `size` of them. These few are broadcast, so texts
+    are read once, none is shuffled but those chosen, and what the driver gets does not grow with the
+    tables. An id with both labels is left out; of several texts under one id the first in their order counts.
+    """
+    known = labels.where(F.col(label_col).isin(0, 1) & learn).select(F.col(id_col).cast("long").alias("id"), F.col(label_col).alias("truth"))
+    truth = known.groupBy("id").agg(F.min("truth").alias("truth"), F.max("truth").alias("other")).where("truth = other and id is not null")
+    place = F.pmod(F.xxhash64("id", F.lit(17)), F.lit(1 << 40))
+    ranked = truth.select("id", "truth", place.alias("place"))
+    wanted = F.lit(False)
+    for row in truth.groupBy("truth").count().collect():
+        wanted = wanted | ((F.col("truth") == row["truth"]) & (F.col("place") < int((1 << 40) * min(1.0, 1.25 * (size + 64) / row["count"]))))
+    ids = F.broadcast(ranked.where(wanted))
+    texts = docs.where(F.col(text_col).isNotNull() & (F.length(text_col) <= chars)).select(
+        F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")
     )
-    found = []
-    for value in (1, 0):
-        got = rows.where(F.col("truth") == value).orderBy(F.xxhash64("id", F.lit(17)), "id", "text").limit(size).select("text").collect()
-        found.append([r["text"].encode() for r in got])
-    return found[0], found[1]
+    rows = texts.join(ids, "id").groupBy("truth", "place", "id").agg(F.min("text").alias("text")).collect()
+    found = [sorted((r["place"], r["id"], r["text"]) for r in rows if r["truth"] == value)[:size] for value in (1, 0)]
+    return [t.encode() for _, _, t in found[0]], [t.encode() for _, _, t in found[1]]
 
 
 def remainder(id_col: str, mod: int) -> Column:

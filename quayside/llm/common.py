@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -46,8 +47,38 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    if _OPEN:
+        _OPEN[-1].append(path)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._stored_at = path
+    return table
+
+
+#: Tables written within each `dropping` block that is open.
+_OPEN: list[list[str]] = []
+
+
+@contextmanager
+def dropping(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Delete at the end, or at a failure, the tables that `stored` writes in the block, but for those `keep` is given.
+
+    Nothing that was defined in the block and not written or kept may be read after it.
+    """
+    kept: list[str] = []
+
+    def keep(table: DataFrame) -> DataFrame:
+        kept.append(table._stored_at)
+        return table
+
+    _OPEN.append([])
+    try:
+        yield keep
+    finally:
+        for path in _OPEN.pop():
+            if path not in kept:
+                where = spark._jvm.org.apache.hadoop.fs.Path(path)
+                where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def dense(values: DataFrame, size: int) -> DataFrame:

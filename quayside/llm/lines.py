@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 from quayside.llm.common import dense, marked, marks, stored
 
 THRESHOLD = 0.9
-MIN_WORDS = 3
+#: Lines of fewer distinct words are never judged; blank lines have none.
+MIN_WORDS = 1
 BUCKET_BITS = 18
 #: An ordered word: rank above, name below.
 NAME_BITS = 52
@@ -160,24 +161,34 @@ def _verified(pairs: DataFrame, plain: DataFrame, ranks: DataFrame, num: int, de
     return common.where(f"{den} * common >= {num} * (size(x) + size(y) - common)").select("at", "with")
 
 
-def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, min_words: int = MIN_WORDS) -> DataFrame:
-    """`docs` with removed lines taken out of the text; other texts and all other columns stay as they are."""
+def without_repeats(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, min_words: int = MIN_WORDS, drop_emptied: bool = False
+) -> DataFrame:
+    """`docs` with removed lines taken out of the text; other texts and all other columns stay as they are.
+
+    Null and empty texts and rows without an id stay untouched; rows that share an id lose the same
+    line numbers. With `drop_emptied`, a row that lost lines and has only blank ones left goes. Columns may
+    have any names; an empty table gives an empty result.
+    """
     decided, _ = _decide(docs, id_col, text_col, threshold, min_words)
     cut = decided.where("removed").groupBy(F.col(id_col).alias("_cut_id")).agg(F.sort_array(F.collect_set("line_no")).alias("_cut"))
     joined = docs.join(cut, docs[id_col].cast("long") == cut["_cut_id"], "left")
-    text = docs[text_col]
+    text, gone = docs[text_col], cut["_cut"]
     lines = F.split(text, "\n")
     # the stretches between removed lines
     kept = F.array_join(
         F.flatten(
             F.transform(
-                F.sequence(F.lit(0), F.size("_cut")),
-                lambda i: _stretch(lines, F.col("_cut"), i),
+                F.sequence(F.lit(0), F.size(gone)),
+                lambda i: _stretch(lines, gone, i),
             )
         ),
         "\n",
     )
-    return joined.select(*[F.when(F.col("_cut").isNull(), text).otherwise(kept).alias(x) if x == text_col else docs[x] for x in docs.columns])
+    left = F.when(gone.isNull(), text).otherwise(kept)
+    if drop_emptied:
+        joined = joined.where(gone.isNull() | left.isNull() | left.rlike("[^\\x20\\x09-\\x0D]"))
+    return joined.select(*[left.alias(x) if x == text_col else docs[x] for x in docs.columns])
 
 
 def _stretch(lines: Column, cut: Column, i: Column) -> Column:

@@ -127,9 +127,9 @@ def line_decisions(rows, threshold):
     for i, t in sorted({r for r in rows if r[0] is not None and r[1] is not None}, key=lambda r: r[0]):
         for k, line in enumerate(t.split("\n")):
             s = frozenset(WORDS.findall(line))
-            hit = len(s) >= 3 and (s in seen or any(len(s & x) * f.denominator >= f.numerator * len(s | x) for x in sets))
+            hit = len(s) >= 1 and (s in seen or any(len(s & x) * f.denominator >= f.numerator * len(s | x) for x in sets))
             out[(i, k)] = (len(s), hit)
-            if len(s) >= 3 and s not in seen:
+            if s and s not in seen:
                 seen.add(s)
                 sets.append(s)
     return out

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from quayside.llm import lines, ngram_join, packing, quality, substrings
-from quayside.llm.common import stored
+from quayside.llm.common import dropping, stored
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,8 +21,11 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that match an earlier one, however few their words; blank lines stay."""
-    return lines.without_repeats(docs, min_words=1)
+    """Documents without the lines that match an earlier one, however few their words; blank lines stay.
+
+    A document that lost lines and has no word left is a copy of what came before, and goes.
+    """
+    return lines.without_repeats(docs, drop_emptied=True)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,12 +51,14 @@ STAGES = [
     ("best-fit packing", packing_stage),
 ]
 
-#: Compression, tokenizing and packing have no SQL; tests/llm holds every stage against brute force.
+#: Compression, tokenizing and packing have no SQL; tests/llm/test_pipeline_stages.py holds every stage against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        # what a stage wrote on its way goes once its result is written, or has failed
+        with dropping(spark) as keep:
+            docs = keep(stored(stage(spark, docs, sf_dir), name.replace(" ", "-")))
     return STAGES[-1][1](spark, docs, sf_dir)

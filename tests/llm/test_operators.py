@@ -325,3 +325,35 @@ def test_toxicity_reads_long_runs_to_their_end():
         toxic, clean = ([link.join([head, *tail * 20, str(i)]) for i in range(13)] for tail in (["you", "idiot", "clown"], ["walk", "along", "river"]))
         scores = toxicity.Scorer(toxicity.fit(*([t.encode() for t in x[1:]] for x in (toxic, clean)))).scores([toxic[0], clean[0]])
         assert scores[0] > 0.5 > scores[1]
+
+
+def test_the_twin_of_a_vocabulary_gives_the_ids_of_tokenizers():
+    import random
+
+    encoder = segments.json_encoder("byte_bpe_50k.json")
+    assert encoder.twin is not None
+    rng = random.Random(8)
+    safe = [chr(x) for x in range(0x10000) if not 0xD800 <= x < 0xE000 and not segments._ODD.search(chr(x))]
+    common_ = " \n\t'aeiouthsnrl'1 .,"
+    texts = ["".join(rng.choice(safe) if rng.random() < 0.3 else rng.choice(common_) for _ in range(rng.randrange(200))) for _ in range(3000)]
+    texts += [rng.choice(safe) * rng.randrange(1, 400) for _ in range(500)] + ["", "<|endoftext|> a<|endoftext|>", "x" * 20_000, "a b " * 5000]
+    assert all(segments._ODD.search(t) is None or t.count(t[:1]) == len(t) for t in texts)
+    assert encoder(texts) == encoder.encode(texts)
+    # what the libraries may class differently, and white space without end, goes another way
+    for odd in ("\x1c", "\x85", "­", " ", "​", "\U0001f600", "﻿", " " * 200, "\n" * 70_000):
+        assert segments._ODD.search("a" + odd)
+    assert encoder(["a\x1cb", "ok", " " * 300]) == encoder.encode(["a\x1cb", "ok", " " * 300])
+
+
+def test_only_plain_byte_level_files_have_a_twin(tmp_path):
+    import json
+
+    import public_tokenizers
+
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        file = json.load(f)
+    for change in ({"normalizer": {"type": "Lowercase"}}, {"pre_tokenizer": {**file["pre_tokenizer"], "add_prefix_space": True}}, {"model": {**file["model"], "merges": file["model"]["merges"][::-1]}}):
+        path = tmp_path / "other.json"
+        path.write_text(json.dumps({**file, **change}), encoding="utf-8")
+        assert segments._twin(str(path)) is None
+    assert segments._twin(public_tokenizers.path("word_bpe_49k.json")) is None

@@ -23,9 +23,9 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that match an earlier one, however few their words; blank lines stay.
 
-    A document that lost lines and has no word left is a copy of what came before, and goes.
+    A document that loses all its lines stays, without text.
     """
-    return lines.without_repeats(docs, drop_emptied=True)
+    return lines.without_repeats(docs)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

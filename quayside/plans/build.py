@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import partial
 
@@ -115,6 +116,8 @@ LAYERS = {
     **{name: "intermediate" for name in INTERMEDIATE},
     **{name: "mart" for name in mart.FACTS},
 }
+#: Tables of a run that are written at the same time.
+WRITERS = 4
 KEPT = {
     "typed_shipments": "work/typed_shipments",
     "stg_job_charges": "staging/stg_job_charges",
@@ -153,15 +156,19 @@ def write_run(feeds: Feeds, params: Params, root: str) -> Relations:
     Staging tables carry `_loaded_at`, when the feed was read. Rows of the feeds that could not be read
     are kept beside the layers, in `rejected/rows`.
     """
-    kept = KeptFeeds(feeds, root)
-    relations = all_relations(kept, params)
+    relations = all_relations(KeptFeeds(feeds, root), params)
+    made = {name: relations[name] for name in LAYERS}  # writes the shared ones, in order
     there = {path.split("/")[1] for path in KEPT.values()}
-    for name, layer in LAYERS.items():
-        df = relations[name]
-        if layer == "mart":
-            write_fact(df, name, root)
-        elif name not in there:
-            _write(df, f"{root}/{layer}/{name}")
+
+    def write(name: str) -> None:
+        if LAYERS[name] == "mart":
+            write_fact(made[name], name, root)
+        else:
+            _write(made[name], f"{root}/{LAYERS[name]}/{name}")
+
+    # the others do not depend on each other; a few at a time keep the cluster busy while small ones finish
+    with ThreadPoolExecutor(WRITERS) as pool:
+        list(pool.map(write, [name for name in LAYERS if name not in there]))
     rejected = feeds.rejected()
     if rejected is not None:
         rejected.write.mode("overwrite").parquet(f"{root}/rejected/rows")

@@ -106,7 +106,7 @@ def audit_rows(df):
     return out
 
 
-@pytest.mark.parametrize("name", ["edge", "documents", "nothing"])
+@pytest.mark.parametrize("name", ["edge", "nothing"])
 def test_filter_audit(name, labels, request):
     df = request.getfixturevalue(name)
     rows = [(r["doc_id"], r["text"], r["lang"]) for r in df.select("doc_id", "text", "lang").collect()]
@@ -247,7 +247,7 @@ def scanned(rows):
     return out
 
 
-@pytest.mark.parametrize("name", ["edge", "documents", "nothing"])
+@pytest.mark.parametrize("name", ["edge", "nothing"])
 def test_licenses(name, request):
     df = request.getfixturevalue(name)
     rows = [(r["doc_id"], r["text"]) for r in df.select("doc_id", "text").collect()]

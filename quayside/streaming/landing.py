@@ -110,8 +110,8 @@ def hourly_log(spark: SparkSession, root: str, lateness: str = LATENESS) -> Data
 
 
 def delivery_tables(spark: SparkSession, root: str, arrivals: str) -> BatchTables:
-    """`batches`, the first landed delivery of each fingerprint, and `deliveries`, how often each came in every micro-batch."""
-    return BatchTables(spark, root, {"batches": arrivals, "deliveries": "batch_id string, deliveries long"}, "rows long, repeats long")
+    """`deliveries`, the first delivery of each fingerprint in every micro-batch and how many there were, and `batches`, those landed."""
+    return BatchTables(spark, root, {"deliveries": f"{arrivals}, deliveries long", "batches": arrivals}, "rows long, repeats long")
 
 
 def land_once(arrivals: DataFrame, root: str) -> StreamingQuery:
@@ -126,17 +126,15 @@ def land_once(arrivals: DataFrame, root: str) -> StreamingQuery:
     tables = delivery_tables(arrivals.sparkSession, root, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kind))
 
     def put(rows: DataFrame, batch: int) -> DataFrame:
-        aggregates = [F.count("*").alias("deliveries"), *([F.min(F.struct(*others)).alias("s")] if others else [])]
-        came = rows.groupBy("batch_id").agg(*aggregates)
-        deliveries = tables.write("deliveries", came.select("batch_id", "deliveries"), batch)
-        first = came.select("batch_id", *[F.col(f"s.{c}").alias(c) for c in others])
-        seen = tables.read("batches").select(F.col("batch_id").alias("seen")).join(
-            first.select("batch_id"), F.expr("seen <=> batch_id"), "left_semi"
-        )
-        new = tables.write("batches", first.join(seen, F.expr("batch_id <=> seen"), "left_anti").select(*arrivals.columns), batch)
-        counted = deliveries.agg(F.expr("coalesce(sum(deliveries), 0L) as rows"))
+        counted = rows.groupBy("batch_id").agg(F.count("*").alias("deliveries"), *([F.min(F.struct(*others)).alias("s")] if others else []))
+        columns = {**{c: F.col(f"s.{c}") for c in others}, "batch_id": F.col("batch_id")}
+        # the micro-batch is read once; all else reads what is written here
+        came = tables.write("deliveries", counted.select(*[columns[c].alias(c) for c in arrivals.columns], "deliveries"), batch)
+        seen = tables.read("batches").select(F.col("batch_id").alias("seen")).join(came.select("batch_id"), F.expr("seen <=> batch_id"), "left_semi")
+        new = tables.write("batches", came.drop("deliveries").join(seen, F.expr("batch_id <=> seen"), "left_anti"), batch)
         landed = new.agg(F.count("*").alias("landed"))
-        return counted.withColumn("landed", landed.scalar()).selectExpr("rows", "rows - landed as repeats")
+        total = came.agg(F.expr("coalesce(sum(deliveries), 0L) as rows"))
+        return total.withColumn("landed", landed.scalar()).selectExpr("rows", "rows - landed as repeats")
 
     return tables.land(arrivals, put)
 
@@ -144,7 +142,7 @@ def land_once(arrivals: DataFrame, root: str) -> StreamingQuery:
 def landed_batches(spark: SparkSession, root: str, arrivals: str) -> DataFrame:
     """Every landed batch with the number of its deliveries so far."""
     tables = delivery_tables(spark, root, arrivals)
-    counts = tables.read("deliveries").groupBy("batch_id").agg(F.sum("deliveries").alias("deliveries"))
+    counts = tables.read("deliveries").select("batch_id", "deliveries").groupBy("batch_id").agg(F.sum("deliveries").alias("deliveries"))
     return tables.read("batches").drop("batch").join(counts.withColumnRenamed("batch_id", "id"), F.expr("batch_id <=> id")).drop("id")
 
 

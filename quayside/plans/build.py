@@ -93,15 +93,6 @@ def write_fact(df: DataFrame, name: str, root: str) -> None:
     df.hint("rebalance", day).sortWithinPartitions(day).write.mode("overwrite").parquet(f"{root}/mart/{name}")
 
 
-def write_mart(feeds: Feeds, params: Params, root: str) -> None:
-    """Overwrite the reference and mart tables."""
-    relations = all_relations(feeds, params)
-    for name in mart.DIMENSIONS:
-        relations[name].write.mode("overwrite").parquet(f"{root}/reference/{name}")
-    for name in mart.FACTS:
-        write_fact(relations[name], name, root)
-
-
 def read_mart(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     dims = {d: spark.read.parquet(f"{root}/reference/{d}") for d in mart.DIMENSIONS}
     return {**dims, **{f: spark.read.parquet(f"{root}/mart/{f}") for f in mart.FACTS}}

@@ -1,5 +1,9 @@
 """Every query against its SQL on the smallest tables."""
 
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 
 import __spark_entry__ as entry
@@ -45,3 +49,9 @@ def test_charges_without_a_job_are_counted(spark, con):
     found = {r["child"]: r["orphan_rows"] for r in QUERIES["orphan_counts"](spark, SF_DIR).collect()}
     assert found == dict(con.execute(SQL["orphan_counts"]).fetchall())
     assert all(found.values())
+
+
+def test_the_rest_works_where_the_corpus_queries_cannot_be_imported():
+    code = "import sys; sys.modules['zstandard'] = None; import __spark_entry__ as e; print(sorted(e.queries()), sorted(e.oracle_sql()))"
+    done = subprocess.run([sys.executable, "-W", "ignore", "-c", code], cwd=Path(entry.__file__).parent, capture_output=True, text=True, check=True)
+    assert done.stdout.strip() == f"{sorted(catalogue.QUERIES)} {sorted(catalogue.QUERIES)}"

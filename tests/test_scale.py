@@ -158,3 +158,13 @@ def test_shared_folder_follows_the_session(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     a, b = session.shared_folder(spark, "x"), session.shared_folder(spark, "x")
     assert a != b and a.startswith(root)
+
+
+def test_sorts_of_a_gigabyte_are_dealt_to_many_tasks(spark, conf):
+    assert session.shuffle_width(2**30, 12) == 128
+    assert session.merged_size(2**30) == 16 * session.MIB and session.merged_size(2**40) == 64 * session.MIB
+    spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    session.tune(spark, 2**30)
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == str(16 * session.MIB)
+    spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")

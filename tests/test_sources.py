@@ -1,8 +1,11 @@
 import pytest
 
 from quayside.operators import mart, rules
+from quayside.operators.joins import match_to_jobs
+from quayside.plans import build
 from quayside.sources.frames import csv_feeds, parquet_feeds
 from quayside.sources.schemas import DIMS, FEED_FILES, FEEDS
+from quayside.sources.tables import TableFeeds
 from tests.fixtures import PARAMS, feeds
 
 
@@ -95,3 +98,30 @@ def test_landed_parquet(spark, tmp_path):
     read = parquet_feeds(spark, f"{tmp_path}/raw", f"{tmp_path}/dims")
     for fact in mart.FACTS:
         assert same(mart.FACTS[fact](read, PARAMS), mart.FACTS[fact](source, PARAMS)), fact
+
+
+def test_a_run_numbers_the_lines_once(spark, tmp_path):
+    keys = ", ".join(f"({k}, {line})" for k in (1, 2, 3) for line in (1, 2, 2))
+    spark.sql(f"""select cast(k as bigint) as l_orderkey, line as l_linenumber, 1L as l_partkey, 2L as l_suppkey, 100.0D + line as l_extendedprice,
+        1.0D as l_quantity, 0.0D as l_discount, 0.0D as l_tax, timestamp_ntz'2024-01-05 00:00:00' as l_shipdate, 'N' as l_returnflag, 'O' as l_linestatus
+        from values {keys} as t(k, line)""").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.sql("select id as o_orderkey, id + 1 as o_custkey, timestamp_ntz'2024-01-01 00:00:00' as o_orderdate from range(1, 4)").write.parquet(
+        f"{tmp_path}/orders.parquet"
+    )
+    source = TableFeeds(spark, str(tmp_path))
+    kept = build.KeptFeeds(source, f"{tmp_path}/run")
+    for name in ("job_charges", "invoice_lines", "payments"):
+        plan = getattr(kept, name)._jdf.queryExecution().optimizedPlan().toString()
+        assert "l_orderkey" not in plan and "Window" not in plan, name
+        assert same(getattr(kept, name), getattr(source, name))
+    assert spark.read.parquet(f"{tmp_path}/run/work/charge_base").count() == 9
+
+
+def test_a_matched_row_keeps_its_reference_and_ships_it_once(spark):
+    rows = spark.sql("select * from values (1L, 'A', 5), (2L, null, 6), (3L, 'row:2', 7), (4L, '', 8), (5L, 'Z', 9) as t(id, job_number, amount)")
+    jobs = spark.sql("select * from values ('A', 10), ('', 11), (null, 12) as t(job_number, hit)")
+    matched = match_to_jobs(rows, "id", jobs)
+    assert matched.columns == ["id", "job_number", "amount", "hit"]
+    assert sorted(map(tuple, matched.collect())) == [(1, "A", 5, 10), (2, None, 6, None), (3, "row:2", 7, None), (4, "", 8, 11), (5, "Z", 9, None)]
+    joined = [x for x in matched._jdf.queryExecution().optimizedPlan().toString().splitlines() if "LocalRelation" in x]
+    assert joined and not any("job_number" in x for x in joined)

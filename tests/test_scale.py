@@ -168,3 +168,13 @@ def test_sorts_of_a_gigabyte_are_dealt_to_many_tasks(spark, conf):
     assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == str(16 * session.MIB)
     spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_scans_of_run_tables_are_not_taken_for_small(spark, conf, tmp_path):
+    spark.range(50_000).write.option("compression", "zstd").parquet(f"{tmp_path}/t")
+    size = lambda: int(str(spark.read.parquet(f"{tmp_path}/t")._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    conf("spark.sql.sources.fileCompressionFactor", "1.0")
+    plain = size()
+    spark.conf.unset("spark.sql.sources.fileCompressionFactor")
+    session.tune(spark)
+    assert size() == 2 * plain

@@ -116,6 +116,13 @@ def test_settlement_reads_the_lines_once_and_joins_without_a_shuffle_of_its_own(
     assert len(re.findall(r"hashpartitioning\(invoice_number", settled)) == 2
 
 
+def test_lines_are_numbered_and_joined_in_one_shuffle(spark, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    text = plan(TableFeeds(spark, SF_DIR).charge_base)
+    assert text.count("Exchange hashpartitioning") == 2  # the lines once, the jobs once
+    assert len(re.findall(r"l_(?:orderkey|suppkey|extendedprice)#\d+L? AS ", text.split("Window")[1])) == 1  # only the key is renamed below
+
+
 def test_cohorts_start_no_job_and_give_no_hint(spark):
     from quayside.operators.kpi import members
 

@@ -14,9 +14,13 @@ prunes pairs, and whole R-tree nodes, before any set is compared.
    verified. This joins almost all of a group of near copies with as many pairs as classes. Blocks
    of frequent shingles are dealt out by class and their heads meet in turn, so no block is one
    task's work.
-5. Blocks that still hold different components get an R-tree each; pairs of different components
-   whose bound reaches the needed overlap are verified. Blocks of equal membership are searched
-   once; large ones are dealt out as pairs of tiles.
+5. Blocks that still hold different components get an R-tree each, which finds the pairs of
+   different components whose bound reaches the needed overlap; parities of finer counts, which
+   differ in no more places than the sets do, rule out most of the others. No block gives these pairs away,
+   only a forest that ties their classes together. Classes that are tied form a group, in which
+   each set is brought once; there an R-tree finds the pairs again and their sets are verified, and
+   only links that join components leave it. Blocks of equal membership are searched once; large
+   blocks and groups are dealt out as pairs of tiles.
 6. Components of all verified links.
 """
 
@@ -39,9 +43,14 @@ FULL = np.iinfo(np.uint16).max
 #: Shingle buckets counted for the order: 4 MiB of counts, 1 MiB of ranks, whatever the input.
 BUCKET_BITS = 20
 SLICE_BITS = 12
+#: Parities kept of a set: 512 bytes.
+PARITY_BITS = 4096
 LEAF = 16
 FAN = 16
 TILE = 2048
+#: Classes in one tile of a group and shingles of their sets, 32 MiB, unless a single set has more.
+GROUP_TILE = 8192
+TILE_SHINGLES = 1 << 22
 #: Parts of a block whose shingle bucket counts this many, over the mean, or more.
 DEAL = 64
 OFTEN = 2000
@@ -83,11 +92,18 @@ def _set_names(h: np.ndarray, d: np.ndarray, n: int) -> tuple[np.ndarray, np.nda
     return size, name
 
 
-def _points(h: np.ndarray, d: np.ndarray, n: int) -> list[bytes]:
+def _points(h: np.ndarray, d: np.ndarray, n: int) -> np.ndarray:
     """Counts per group of each of n texts."""
     at = d * GROUPS + (h % _U(GROUPS)).astype(np.int64)
-    counts = np.minimum(np.bincount(at, minlength=n * GROUPS), FULL).astype(np.uint16).reshape(n, GROUPS)
-    return [x.tobytes() for x in counts]
+    return np.minimum(np.bincount(at, minlength=n * GROUPS), FULL).astype(np.uint16).reshape(n, GROUPS)
+
+
+def _parities(h: np.ndarray, d: np.ndarray, n: int) -> np.ndarray:
+    """Whether each of n sets has an odd number of shingles per place, as bits."""
+    odd = np.zeros(n * (PARITY_BITS // 64), _U)
+    place = (h >> _U(20)) & _U(PARITY_BITS - 1)
+    np.bitwise_xor.at(odd, d * (PARITY_BITS // 64) + (place >> _U(6)).astype(np.int64), _U(1) << (place & _U(63)))
+    return odd.reshape(n, PARITY_BITS // 64)
 
 
 def _bucket(h: np.ndarray) -> np.ndarray:
@@ -95,7 +111,7 @@ def _bucket(h: np.ndarray) -> np.ndarray:
 
 
 def _signatures(docs: DataFrame, width: int) -> DataFrame:
-    kind, schema = c.arrow_schema("id long, n long, key long, point binary, slice int, counts binary")
+    kind, schema = c.arrow_schema("id long, n long, key long, point binary, odd binary, slice int, counts binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << BUCKET_BITS, np.uint32)
@@ -112,7 +128,8 @@ def _signatures(docs: DataFrame, width: int) -> DataFrame:
                         ids.slice(a, b - a),
                         pa.array(size, pa.int64()),
                         pa.array(c.signed(name), pa.int64(), mask=size == 0),
-                        pa.array(_points(h, d, b - a), pa.binary()),
+                        pa.array([x.tobytes() for x in _points(h, d, b - a)], pa.binary()),
+                        pa.array([x.tobytes() for x in _parities(h, d, b - a)], pa.binary()),
                         pa.nulls(b - a, pa.int32()),
                         pa.nulls(b - a, pa.binary()),
                     ],
@@ -123,7 +140,7 @@ def _signatures(docs: DataFrame, width: int) -> DataFrame:
             part = counts[k * step : (k + 1) * step]
             if part.any():
                 yield pa.RecordBatch.from_arrays(
-                    [*(pa.nulls(1, pa.int64()) for _ in range(3)), pa.nulls(1, pa.binary()), pa.array([k], pa.int32()), pa.array([part.tobytes()], pa.binary())],
+                    [*(pa.nulls(1, pa.int64()) for _ in range(3)), *(pa.nulls(1, pa.binary()) for _ in range(2)), pa.array([k], pa.int32()), pa.array([part.tobytes()], pa.binary())],
                     schema=schema,
                 )
 
@@ -255,13 +272,17 @@ def _bounded(pairs: DataFrame, num: int, den: int) -> DataFrame:
     return pairs.mapInArrow(run, kind)
 
 
+def _whole_sets(keys: DataFrame, texts: DataFrame, owner: DataFrame, width: int) -> DataFrame:
+    """(key, shingles) of distinct keys; `owner` has a document of each class."""
+    asked = c.stored(owner.join(keys, "key").select("key", "id"), "ngram-asked")
+    return c.stored(_sets(texts.where(c.marked("id", c.marks(asked.select("id")))).join(asked, "id").select("text", "key"), width), "ngram-sets")
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, owner: DataFrame, width: int, num: int, den: int) -> DataFrame:
     """The pairs (a, b) whose sets are that similar; `owner` has a document of each class."""
     kind, schema = c.arrow_schema("a long, b long")
     pairs = c.stored(pairs, "ngram-pairs")
-    asked = owner.join(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "key").select("key", "id")
-    asked = c.stored(asked, "ngram-asked")
-    sets = c.stored(_sets(texts.where(c.marked("id", c.marks(asked.select("id")))).join(asked, "id").select("text", "key"), width), "ngram-sets")
+    sets = _whole_sets(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), texts, owner, width)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -341,28 +362,97 @@ class CountTree:
             yield q, self.order[node]
 
 
-def _tree_pairs(num: int, den: int):
-    """Pairs of different components in one block, or between its tiles ti and tj."""
+def _sides(block: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of the tiles ti and tj."""
+    tile = block.column("tile").to_numpy()
+    return np.flatnonzero(tile == block.column("ti")[0].as_py()), np.flatnonzero(tile == block.column("tj")[0].as_py())
+
+
+def apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Least number of shingles in one but not both sets, by the rows of their parities."""
+    return np.concatenate([np.bitwise_count(x[k : k + 4096] ^ y[k : k + 4096]).sum(1, dtype=np.int64) for k in range(0, len(x), 4096)] or [np.zeros(0, np.int64)])
+
+
+def _by_query(q: np.ndarray, p: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each query with its points."""
+    order = np.argsort(q, kind="stable")
+    q, p = q[order], p[order]
+    cuts = [0, *(np.flatnonzero(q[1:] != q[:-1]) + 1).tolist(), len(q)]
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        if a < b:
+            yield q[a], p[a:b]
+
+
+def _tree_ties(num: int, den: int):
+    """A forest over the pairs of different components that pass the bound in one block, or between its tiles ti and tj."""
 
     def make(block: pa.Table) -> dict[str, object] | None:
         key, label, n = (block.column(k).to_numpy() for k in ("key", "label", "n"))
         counts = np.frombuffer(b"".join(block.column("point").to_pylist()), np.uint16).reshape(-1, GROUPS)
-        tile = block.column("tile").to_numpy()
-        left = np.flatnonzero(tile == block.column("ti")[0].as_py())
-        right = np.flatnonzero(tile == block.column("tj")[0].as_py())
+        odd = np.frombuffer(b"".join(block.column("odd").to_pylist()), _U).reshape(len(key), -1)
+        left, right = _sides(block)
+        tied = np.arange(len(key))
         found = []
-        tree = CountTree(counts[right], n[right])
-        for q, p in tree.search(counts[left], n[left], num, den):
+        for q, p in CountTree(counts[right], n[right]).search(counts[left], n[left], num, den):
             a, b = left[q], right[p]
-            ok = label[a] != label[b]
-            a, b = key[a[ok]], key[b[ok]]
-            found.append(np.stack([np.minimum(a, b), np.maximum(a, b)], 1))
-        pairs = np.unique(np.concatenate(found), axis=0)
-        return {"a": pairs[:, 0], "b": pairs[:, 1]} if len(pairs) else None
+            ok = (label[a] != label[b]) & (tied[a] != tied[b])
+            a, b = a[ok], b[ok]
+            ok = apart(odd[a], odd[b]) <= n[a] + n[b] - 2 * needed(n[a], n[b], num, den)
+            for x, others in _by_query(a[ok], b[ok]):
+                trees, at = np.unique(tied[others], return_index=True)
+                at = at[trees != tied[x]]
+                found += [(key[x], key[y]) for y in others[at].tolist()]
+                tied[np.isin(tied, trees)] = tied[x]
+        return {"a": np.array([a for a, _ in found]), "b": np.array([b for _, b in found])} if found else None
+
+    return make
+
+
+def _tree_links(num: int, den: int):
+    """Links that join different components in one group, or between its tiles ti and tj; none that closes a circle."""
+
+    def make(block: pa.Table) -> dict[str, object] | None:
+        key, label = block.column("key").to_numpy(), block.column("label").to_numpy()
+        sets = [np.frombuffer(x, _U) for x in block.column("shingles").to_pylist()]
+        size = np.array([len(x) for x in sets])
+        start = np.cumsum(size) - size
+        every = np.concatenate(sets)
+        names, place = np.unique(every, return_inverse=True)
+        counts = _points(every, np.repeat(np.arange(len(sets)), size), len(sets))
+        group = np.unique(label, return_inverse=True)[1]
+        held = np.zeros(len(names), bool)
+        found = []
+        left, right = _sides(block)
+        for q, p in CountTree(counts[right], size[right]).search(counts[left], size[left], num, den):
+            for x, others in _by_query(left[q], right[p]):
+                others = others[group[others] != group[x]]
+                if not len(others):
+                    continue
+                mine, n = place[start[x] : start[x] + size[x]], size[others]
+                first = np.cumsum(n) - n
+                held[mine] = True
+                common = np.add.reduceat(held[place[np.repeat(start[others] - first, n) + np.arange(n.sum())]], first, dtype=np.int64)
+                held[mine] = False
+                for y in others[den * common >= num * (size[x] + n - common)].tolist():
+                    if group[y] != group[x]:
+                        found.append((key[x], key[y]))
+                        group[group == group[y]] = group[x]
+        return {"a": np.array([a for a, _ in found]), "b": np.array([b for _, b in found])} if found else None
 
     return make
 
 
+def _dealt(member: DataFrame, tiles: str) -> DataFrame:
+    """The members of each block once for every pair of tiles that their tile is one of."""
+    pairs = "transform(sequence(0, tiles - 1), t -> struct(least(t, tile) as ti, greatest(t, tile) as tj))"
+    return (
+        member.withColumn("tiles", F.expr(f"cast({tiles} as int)"))
+        .withColumn("tile", F.expr("cast(pmod(xxhash64(key), tiles) as int)"))
+        .select("h", "key", "label", "tile", F.explode(F.expr(pairs)).alias("t"))
+        .select("h", "key", "label", "tile", "t.ti", "t.tj")
+    )
+
+
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, num: int = 3, den: int = 4) -> DataFrame:
     """One row per row of `docs`: id, n_shingles, component_id.
 
@@ -393,7 +483,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width:
     tried = c.stored(pairs.where("a <> b").distinct(), "ngram-stars")
     # one point of each class that shares a block with another
     shared = tried.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    points = signatures.where("slice is null and id is not null").select("id", "key", "n", "point")
+    points = signatures.where("slice is null and id is not null").select("id", "key", "n", "point", "odd")
     points = c.stored(points.join(owner.join(shared, "key"), ["key", "id"], "left_semi").dropDuplicates(["key"]).drop("id"), "ngram-points")
     best = F.max_by("a", F.struct("slack", "a")).alias("a")
     nearest = c.stored(_bounded(_with_counts(tried, points, num, den), num, den).groupBy("b").agg(best).select("a", "b"), "ngram-nearest")
@@ -409,18 +499,15 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width:
         nearest = nearest.unionByName(pairs)
         links = links.unionByName(c.stored(_verified(pairs, texts, owner, width, num, den), "ngram-links"))
     member, split = _unsettled(block, links)
-    tiles = F.expr(f"cast(ceil(m / {TILE}) as int)")
-    dealt = (
-        member.join(split, "h")
-        .withColumn("tiles", tiles)
-        .withColumn("tile", F.expr("cast(pmod(xxhash64(key), tiles) as int)"))
-        .select("h", "key", "label", "tile", F.explode(F.expr("transform(sequence(0, tiles - 1), t -> struct(least(t, tile) as ti, greatest(t, tile) as tj))")).alias("t"))
-        .select("h", "key", "label", "tile", "t.ti", "t.tj")
-        .join(points, "key")
-    )
-    more = c.over_groups(dealt, ["h", "ti", "tj"], [], _tree_pairs(num, den), "a long, b long").distinct()
-    second = _verified(more.join(nearest, ["a", "b"], "left_anti"), texts, owner, width, num, den)
-    links = links.unionByName(second)
+    place = ["h", "ti", "tj"]
+    dealt = _dealt(member.join(split, "h"), f"ceil(m / {TILE})").join(points, "key")
+    ties = c.over_groups(dealt, place, [], _tree_ties(num, den), "a long, b long")
+    tied = components(ties).select(F.col("node").alias("key"), F.col("root").alias("h"))
+    tied = c.stored(tied.join(member.select("key", "label").distinct(), "key").join(points.select("key", "n"), "key"), "ngram-tied")
+    groups = tied.groupBy("h").agg(F.count("*").alias("m"), F.sum("n").alias("total"))
+    dealt = _dealt(tied.join(groups, "h"), f"greatest(ceil(m / {GROUP_TILE}), ceil(total / {TILE_SHINGLES}))")
+    sets = _whole_sets(tied.select("key"), texts, owner, width)
+    links = links.unionByName(c.over_groups(dealt.join(sets, "key"), place, [], _tree_links(num, den), "a long, b long"))
 
     root = components(links).select(F.col("node").alias("key"), "root")
     row = named.join(root, "key", "left").withColumn("root", F.coalesce("root", "key"))

@@ -88,6 +88,35 @@ def test_count_tree_loses_nothing():
         assert {(a, int(b)) for b in np.flatnonzero(fits)} <= found
 
 
+def test_blocks_give_away_no_pairs(spark, monkeypatch):
+    """Forty texts share half of their words: each pair shares blocks, few of them pass the bound, none is linked."""
+    rows = [(i, " ".join([*(f"s{k}" for k in range(40)), *(f"t{i}x{k}" for k in range(12))])) for i in range(40)]
+    made = []
+    over = ngram_join.c.over_groups
+
+    def counted(df, *args):
+        out = over(df, *args)
+        made.append((df.count(), out.count()))
+        return out
+
+    monkeypatch.setattr(ngram_join.c, "over_groups", counted)
+    monkeypatch.setattr(ngram_join, "overlap_bound", lambda x, y: np.full(len(x), 10**6))  # as weak as for very large sets
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = collections.Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in ngram_join.join(df).collect())
+    assert got == linked(rows)
+    assert made and all(found <= read for read, found in made)
+
+
+def test_parities_never_rule_out_a_link():
+    rng = np.random.default_rng(3)
+    one = [np.unique(rng.integers(0, 2**63, 900).astype(np.uint64)) for _ in range(30)]
+    sets = one + [np.unique(np.concatenate([x[: len(x) - 40 * k], rng.integers(0, 2**63, 40 * k).astype(np.uint64)])) for k, x in enumerate(one)]
+    odd = ngram_join._parities(np.concatenate(sets), np.repeat(np.arange(60), [len(x) for x in sets]), 60)
+    for a in range(60):
+        true = np.array([len(np.setxor1d(sets[a], y)) for y in sets])
+        assert (ngram_join.apart(odd[[a] * 60], odd) <= true).all()
+
+
 def removed(rows):
     seen, out = {}, {}
     for i, t in sorted({r for r in rows if r[0] is not None}, key=lambda r: r[0]):

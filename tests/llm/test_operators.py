@@ -89,8 +89,8 @@ def test_count_tree_loses_nothing():
 
 
 def test_blocks_give_away_no_pairs(spark, monkeypatch):
-    """Forty texts share half of their words: each pair shares blocks, few of them pass the bound, none is linked."""
-    rows = [(i, " ".join([*(f"s{k}" for k in range(40)), *(f"t{i}x{k}" for k in range(12))])) for i in range(40)]
+    """Forty texts share most of their many words: each pair shares a block and passes the summed minima, none is linked."""
+    rows = [(i, " ".join([*(f"s{k}" for k in range(3800)), *(f"t{i}x{k}" for k in range(1200))])) for i in range(40)]
     made = []
     over = ngram_join.c.over_groups
 
@@ -100,7 +100,6 @@ def test_blocks_give_away_no_pairs(spark, monkeypatch):
         return out
 
     monkeypatch.setattr(ngram_join.c, "over_groups", counted)
-    monkeypatch.setattr(ngram_join, "overlap_bound", lambda x, y: np.full(len(x), 10**6))  # as weak as for very large sets
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = collections.Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in ngram_join.join(df).collect())
     assert got == linked(rows)

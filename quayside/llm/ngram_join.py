@@ -55,6 +55,8 @@ TILE_SHINGLES = 1 << 22
 DEAL = 64
 OFTEN = 2000
 STAR_ROUNDS = 2
+#: A block or group, and two of its tiles.
+PLACE = ["h", "ti", "tj"]
 
 _U = np.uint64
 
@@ -279,10 +281,8 @@ def _whole_sets(keys: DataFrame, texts: DataFrame, owner: DataFrame, width: int)
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, owner: DataFrame, width: int, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) whose sets are that similar; `owner` has a document of each class."""
+    """The pairs (a, b) whose sets are that similar, written; `owner` has a document of each class."""
     kind, schema = c.arrow_schema("a long, b long")
-    pairs = c.stored(pairs, "ngram-pairs")
-    sets = _whole_sets(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), texts, owner, width)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -295,12 +295,14 @@ def _verified(pairs: DataFrame, texts: DataFrame, owner: DataFrame, width: int,
                 ok[i] = den * common >= num * (len(x) + len(y) - common)
             yield from c.emit({"a": batch.column(0).to_numpy()[ok], "b": batch.column(1).to_numpy()[ok]}, schema)
 
-    return (
-        pairs.join(sets.select(F.col("key").alias("b"), F.col("shingles").alias("y")), "b")
-        .join(sets.select(F.col("key").alias("a"), F.col("shingles").alias("x")), "a")
-        .select("a", "b", "x", "y")
-        .mapInArrow(run, kind)
-    )
+    with c.dropping(texts.sparkSession) as keep:
+        sets = _whole_sets(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), texts, owner, width)
+        both = (
+            pairs.join(sets.select(F.col("key").alias("b"), F.col("shingles").alias("y")), "b")
+            .join(sets.select(F.col("key").alias("a"), F.col("shingles").alias("x")), "a")
+            .select("a", "b", "x", "y")
+        )
+        return keep(c.stored(both.mapInArrow(run, kind), "ngram-links"))
 
 
 def _with_counts(pairs: DataFrame, points: DataFrame, num: int, den: int) -> DataFrame:
@@ -487,27 +489,30 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width:
     points = c.stored(points.join(owner.join(shared, "key"), ["key", "id"], "left_semi").dropDuplicates(["key"]).drop("id"), "ngram-points")
     best = F.max_by("a", F.struct("slack", "a")).alias("a")
     nearest = c.stored(_bounded(_with_counts(tried, points, num, den), num, den).groupBy("b").agg(best).select("a", "b"), "ngram-nearest")
-    links = c.stored(_verified(nearest, texts, owner, width, num, den), "ngram-links")
+    links = _verified(nearest, texts, owner, width, num, den)
     block = posting.select(F.coalesce("top", "h").alias("h"), "key").distinct()
     for round_ in range(1, STAR_ROUNDS):
-        member, split = _unsettled(block, links)
-        other = F.min_by("key", F.xxhash64("key", F.lit(round_))).alias("a")
-        head = member.join(split.select("h"), "h").groupBy("h").agg(other).join(member.select("h", F.col("key").alias("a"), F.col("label").alias("of")), ["h", "a"])
-        pairs = member.join(head, "h").where("label <> of").select(F.least("a", "key").alias("a"), F.greatest("a", "key").alias("b")).distinct()
-        pairs = _bounded(_with_counts(pairs.join(nearest, ["a", "b"], "left_anti"), points, num, den), num, den)
-        pairs = c.stored(pairs.groupBy("b").agg(best).select("a", "b"), "ngram-nearest")
+        with c.dropping(spark) as keep:
+            member, split = _unsettled(block, links)
+            other = F.min_by("key", F.xxhash64("key", F.lit(round_))).alias("a")
+            head = member.join(split.select("h"), "h").groupBy("h").agg(other).join(member.select("h", F.col("key").alias("a"), F.col("label").alias("of")), ["h", "a"])
+            pairs = member.join(head, "h").where("label <> of").select(F.least("a", "key").alias("a"), F.greatest("a", "key").alias("b")).distinct()
+            pairs = _bounded(_with_counts(pairs.join(nearest, ["a", "b"], "left_anti"), points, num, den), num, den)
+            pairs = keep(c.stored(pairs.groupBy("b").agg(best).select("a", "b"), "ngram-nearest"))
         nearest = nearest.unionByName(pairs)
-        links = links.unionByName(c.stored(_verified(pairs, texts, owner, width, num, den), "ngram-links"))
-    member, split = _unsettled(block, links)
-    place = ["h", "ti", "tj"]
-    dealt = _dealt(member.join(split, "h"), f"ceil(m / {TILE})").join(points, "key")
-    ties = c.over_groups(dealt, place, [], _tree_ties(num, den), "a long, b long")
-    tied = components(ties).select(F.col("node").alias("key"), F.col("root").alias("h"))
-    tied = c.stored(tied.join(member.select("key", "label").distinct(), "key").join(points.select("key", "n"), "key"), "ngram-tied")
-    groups = tied.groupBy("h").agg(F.count("*").alias("m"), F.sum("n").alias("total"))
-    dealt = _dealt(tied.join(groups, "h"), f"greatest(ceil(m / {GROUP_TILE}), ceil(total / {TILE_SHINGLES}))")
-    sets = _whole_sets(tied.select("key"), texts, owner, width)
-    links = links.unionByName(c.over_groups(dealt.join(sets, "key"), place, [], _tree_links(num, den), "a long, b long"))
+        links = links.unionByName(_verified(pairs, texts, owner, width, num, den))
+    with c.dropping(spark) as keep:
+        member, split = _unsettled(block, links)
+        dealt = _dealt(member.join(split, "h"), f"ceil(m / {TILE})").join(points, "key")
+        ties = c.over_groups(dealt, PLACE, [], _tree_ties(num, den), "a long, b long")
+        tied = components(ties).select(F.col("node").alias("key"), F.col("root").alias("h"))
+        tied = keep(c.stored(tied.join(member.select("key", "label").distinct(), "key").join(points.select("key", "n"), "key"), "ngram-tied"))
+    with c.dropping(spark) as keep:
+        groups = tied.groupBy("h").agg(F.count("*").alias("m"), F.sum("n").alias("total"))
+        dealt = _dealt(tied.join(groups, "h"), f"greatest(ceil(m / {GROUP_TILE}), ceil(total / {TILE_SHINGLES}))")
+        sets = _whole_sets(tied.select("key"), texts, owner, width)
+        found = c.over_groups(dealt.join(sets, "key"), PLACE, [], _tree_links(num, den), "a long, b long")
+        links = links.unionByName(keep(c.stored(found, "ngram-links")))
 
     root = components(links).select(F.col("node").alias("key"), "root")
     row = named.join(root, "key", "left").withColumn("root", F.coalesce("root", "key"))

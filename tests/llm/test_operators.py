@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import math
+import pathlib
 import re
 import zlib
 from fractions import Fraction
@@ -163,6 +164,20 @@ def line_decisions(rows, threshold):
     return out
 
 
+def test_ngram_join_leaves_no_sets_members_or_shuffles(spark, documents):
+    """Whole sets and memberships of blocks go when they have been used, shuffle files with the write they served."""
+    root, local = pathlib.Path(spark.conf.get("spark.checkpoint.dir")), pathlib.Path(spark._jsc.sc().env().blockManager().diskBlockManager().localDirsString()[0])
+    cleans = spark.conf.get(common.CLEAN_SHUFFLES)
+    before, shuffles = set(root.iterdir()), set(local.rglob("shuffle_*.data"))
+    found = ngram_join.join(documents)
+    made = {x.name.rsplit("-", 1)[0] for x in set(root.iterdir()) - before}
+    assert "ngram-links" in made and not made & {"ngram-sets", "ngram-asked", "ngram-members", "ngram-blocks"}
+    written = set(local.rglob("shuffle_*.data")) - shuffles
+    assert sum(x.stat().st_size for x in written) < 2e6, "only those of counts that the driver collects"
+    assert spark.conf.get(common.CLEAN_SHUFFLES) == cleans
+    assert found.count() == documents.count()
+
+
 @pytest.mark.parametrize("name", ["edge", "documents", "nothing"])
 @pytest.mark.parametrize("threshold", [0.9, 0.6])
 def test_lines(name, threshold, request):

@@ -3,14 +3,14 @@
 A line is the set of its words. Two lines match when the Jaccard similarity of their sets is
 `threshold` or more; a line is removed when a line that comes earlier, by (document, line), matches.
 
-1. Rarity: words are counted in 2^18 hashed buckets, 1 MB whatever the input. Each line's words are
+1. Rarity: words are counted in 2^18 hashed buckets, 2 MB whatever the input. Each line's words are
    ordered by (bucket count, name), one total order for all lines, which is all exactness needs.
 2. Equal sets: every line but the first of its set goes; first lines stand for their set from here.
 3. Prefix filter: matching sets share a word among the first n - ceil(threshold * n) + 1 of each.
    Position and length filters bound the overlap that is left after the shared word, and a 64-bit
    parity sketch bounds the symmetric difference, all inside the join condition.
 4. First each set meets the earliest set of its prefix words only, which settles groups of near
-   copies with as many pairs as sets. What is not removed by then meets every earlier set.
+   copies with as many pairs as sets. What is not removed by then meets every earlier set but those.
 5. Candidates are verified on their whole sets.
 """
 
@@ -40,9 +40,9 @@ def _ratio(threshold: float) -> tuple[int, int]:
     return f.numerator, f.denominator
 
 
-def _names(text: str) -> str:
-    """SQL for the names of the words of a text; one name, of the empty word, for a blank text."""
-    return f"transform(split(btrim({text}, '{BLANKS}'), r'{SPLIT}'), w -> xxhash64(w))"
+def _words(text: str) -> str:
+    """SQL for the words of a text; one empty word for a blank text."""
+    return f"split(btrim({text}, '{BLANKS}'), r'{SPLIT}')"
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -50,19 +50,21 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 
 def rarity(docs: DataFrame) -> DataFrame:
-    """One row: the rank of each bucket as an array, larger for buckets with more words."""
-    word = docs.where("text is not null").select(F.explode(F.expr(_names("text"))).alias("w"))
+    """One row: the rank of each bucket as an array, larger for buckets with more words, in the bits above a name."""
+    # words are named after they are exploded: compiled code, which a lambda over their array is not
+    word = docs.where("text is not null").select(F.explode(F.expr(_words("text"))).alias("w")).select(F.xxhash64("w").alias("w"))
     count = word.groupBy(F.expr(f"cast(shiftrightunsigned(w, {64 - BUCKET_BITS}) as int)").alias("bucket")).count()
-    rank = F.expr("cast(least(log2(count + 1) * 32, 2047) as int)")
+    rank = F.expr(f"shiftleft(cast(least(log2(count + 1) * 32, 2047) as bigint), {NAME_BITS})")
     return dense(count.select(F.col("bucket").cast("long").alias("index"), rank.alias("value")), 1 << BUCKET_BITS).withColumnRenamed("values", "ranks")
 
 
 def _with_sets(lines: DataFrame, ranks: DataFrame) -> DataFrame:
     """Adds `words`, the line's distinct ordered words; rare ones first."""
     mask = (1 << NAME_BITS) - 1
+    # an array that holds no null is sorted without comparing objects
     ordered = (
-        f"sort_array(transform(array_distinct({_names('line')}), "
-        f"h -> shiftleft(cast(ranks[cast(shiftrightunsigned(h, {64 - BUCKET_BITS}) as int)] as bigint), {NAME_BITS}) | (h & {mask})))"
+        f"sort_array(array_distinct(transform({_words('line')}, "
+        f"w -> coalesce(ranks[shiftrightunsigned(xxhash64(w), {64 - BUCKET_BITS})], 0L) | (xxhash64(w) & {mask}))))"
     )
     return lines.withColumn("ranks", ranks.scalar()).withColumn("words", F.expr(ordered)).drop("ranks")
 
@@ -117,7 +119,7 @@ def _decide(docs: DataFrame, id_col: str, text_col: str, threshold: float, min_w
     )
     group = Window.partitionBy("word")
     posting = stored(
-        posting.withColumn("low", F.min(F.struct("at", "n", "p", "s")).over(group)).withColumn("high", F.max("at").over(group)).where("low.at < high").drop("high"),
+        posting.withColumn("low", F.min(F.struct("at", "n", "p", "s")).over(group)).withColumn("size", F.count("*").over(group)).where("size > 1"),
         "line-postings",
     )
     fits = _fits(num, den)
@@ -129,8 +131,10 @@ def _decide(docs: DataFrame, id_col: str, text_col: str, threshold: float, min_w
         .distinct()
     )
     gone = stored(_verified(star, plain, ranks, num, den).select("at").distinct(), "lines-gone")
-    later = posting.join(gone, "at", "left_anti").select("word", "n", "p", "s", "at")
-    earlier = posting.select("word", F.col("n").alias("m"), F.col("p").alias("q"), F.col("s").alias("t"), F.col("at").alias("with"))
+    # whatever meets the earliest set of a word has done so by now
+    posting = posting.where("size > 2")
+    later = posting.where("at > low.at").join(gone, "at", "left_anti").select("word", "n", "p", "s", "at")
+    earlier = posting.where("struct(at, n, p, s) <> low").select("word", F.col("n").alias("m"), F.col("p").alias("q"), F.col("s").alias("t"), F.col("at").alias("with"))
     more = later.join(earlier, "word").where("`with` < at").where(fits).select("at", "with").distinct()
     gone = gone.unionByName(_verified(more, plain, ranks, num, den).select("at")).distinct()
 
